@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from turnloom.functions import markup
 from turnloom.functions import text as T
+from turnloom.functions.binding import let
 from turnloom.operators import jsonwalk, segment
 from turnloom.operators.dedup import dedup_rows
-from turnloom.operators.segment import TURNS, _explode
+from turnloom.operators.segment import TURNS, explode_turns
 
 # A message in an export array, and the script tag of embedded application state.
 EXPORT_MESSAGE = r'\["([\s\S]*?)",null,null,null,null,null,null,null,"(user|model)"'
@@ -46,7 +47,7 @@ def export_turns(raw: Column) -> Column:
 
 def extract_export_array(df: DataFrame, keys: Sequence[str], raw: str = "raw") -> DataFrame:
     """Turns of raw exports, repeated texts of one export dropped; turn numbers may have gaps."""
-    turns = _explode(df.withColumn(TURNS, export_turns(F.col(raw))), keys)
+    turns = explode_turns(df.withColumn(TURNS, export_turns(F.col(raw))), keys)
     return dedup_rows(turns, "text", ["turn"], list(keys))
 
 
@@ -55,23 +56,22 @@ def state_turns(html: Column) -> Column:
 
     Items without a ``message`` object are passed over, so plain role/content lists give nothing.
     """
-    state = F.regexp_extract(html, STATE_SCRIPT, 1)
-    items = jsonwalk.find_messages(F.when(F.length(state) > 0, state))
     turn_of = lambda m: F.struct(
         F.coalesce(F.get_json_object(m, "$.message.author.role"), F.lit(UNKNOWN_ROLE)).alias("role"),
         F.array_join(_string_parts(F.get_json_object(m, "$.message.content.parts")), "").alias("text"),
     )
+    items = jsonwalk.find_messages(F.nullif(F.regexp_extract(html, STATE_SCRIPT, 1), F.lit("")))
     turns = F.filter(F.transform(items, turn_of), lambda t: F.length(t["text"]) > 0)
     return F.coalesce(turns.cast(TURN_ARRAY), F.array().cast(TURN_ARRAY))
 
 
 def _string_parts(parts: Column) -> Column:
-    kids = jsonwalk.children(F.lit("ARRAY"), F.coalesce(parts, F.lit("[]")))
+    kids = let(F.coalesce(parts, F.lit("[]")), lambda p: jsonwalk.children(F.lit("ARRAY"), p))
     return F.transform(F.filter(kids, lambda k: k["kind"] == "STRING"), lambda k: k["raw"])
 
 
 def extract_next_data(df: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
-    return _explode(df.withColumn(TURNS, state_turns(F.col(html))), keys)
+    return explode_turns(df.withColumn(TURNS, state_turns(F.col(html))), keys)
 
 
 def page_turns(df: DataFrame, html: str = "html") -> DataFrame:
@@ -86,7 +86,7 @@ def page_turns(df: DataFrame, html: str = "html") -> DataFrame:
 
 def extract_precedence(df: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
     """Turns by the first extractor that finds any, with the method used."""
-    return _explode(page_turns(df, html), [*keys, "method"])
+    return explode_turns(page_turns(df, html), [*keys, "method"])
 
 
 def conversation_turns(df: DataFrame, json: str = "json") -> DataFrame:
@@ -105,15 +105,18 @@ def conversation_turns(df: DataFrame, json: str = "json") -> DataFrame:
         ),
         "_script",
     )
-    by_key = lambda m, first, second: F.coalesce(
-        F.when(F.array_contains(F.json_object_keys(m), first), F.get_json_object(m, f"$.{first}")).otherwise(
-            F.coalesce(F.get_json_object(m, f"$.{second}"), F.lit(""))
-        )
-    )
+    def by_key(keys: Column, m: Column, first: str, second: str) -> Column:
+        named = F.when(F.array_contains(keys, first), F.get_json_object(m, f"$.{first}"))
+        return named.when(F.array_contains(keys, second), F.get_json_object(m, f"$.{second}")).otherwise("")
+
     objects = F.transform(
         "_kids",
-        lambda k: F.struct(
-            by_key(k["raw"], "role", "from").alias("role"), by_key(k["raw"], "content", "value").alias("text")
+        lambda k: let(
+            F.json_object_keys(k["raw"]),
+            lambda keys: F.struct(
+                by_key(keys, k["raw"], "role", "from").alias("role"),
+                by_key(keys, k["raw"], "content", "value").alias("text"),
+            ),
         ),
     ).cast(TURN_ARRAY)
     strings = segment.alternating_turns(F.transform("_kids", lambda k: k["raw"])).cast(TURN_ARRAY)
@@ -123,7 +126,7 @@ def conversation_turns(df: DataFrame, json: str = "json") -> DataFrame:
 
 
 def json_find_conversation(df: DataFrame, keys: Sequence[str], json: str = "json") -> DataFrame:
-    return _explode(conversation_turns(df, json), keys)
+    return explode_turns(conversation_turns(df, json), keys)
 
 
 def routed_turns(df: DataFrame, text: str = "text") -> DataFrame:
@@ -142,15 +145,15 @@ def routed_turns(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def route_json_text(df: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
-    return _explode(routed_turns(df, text), [*keys, "route"])
+    return explode_turns(routed_turns(df, text), [*keys, "route"])
 
 
-def quarantine(df_with_turns: DataFrame, keys: Sequence[str], raw: str, source: Column) -> DataFrame:
+def quarantine(df_with_turns: DataFrame, keys: Sequence[str], raw: Column, source: Column) -> DataFrame:
     """Records whose dialogue could not be parsed, kept whole with the reason."""
-    body = F.col(raw)
-    note = F.when(F.startswith(body, F.lit("http")), "URL instead of content").otherwise(
+    note = F.when(F.startswith(raw, F.lit("http")), "URL instead of content").otherwise(
         "Failed to parse dialogue structure"
     )
-    return df_with_turns.filter(F.coalesce(F.size(TURNS), F.lit(0)) <= 0).select(
-        *keys, body.alias("raw_dump"), source.alias("source"), note.alias("note")
-    )
+    record = F.struct(raw.alias("raw_dump"), source.alias("source"), note.alias("note"))
+    # generated rather than filtered, so that the turn array is not worked out again for a filter further down
+    unparsed = F.when(F.coalesce(F.size(TURNS), F.lit(0)) <= 0, F.array(record))
+    return df_with_turns.select(*keys, F.inline(unparsed))

@@ -13,6 +13,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from turnloom.functions.binding import let
+from turnloom.functions.text import strip
+
 # Keys searched, in order of preference.
 CONVERSATION_KEYS = ("link", "conversations", "messages", "history", "chat")
 ROLE_KEYS = ("role", "from")
@@ -48,7 +51,7 @@ def children(kind: Column, raw: Column) -> Column:
 
 def json_kind(json: Column) -> Column:
     """Type of a whole document; NULL when it is not JSON."""
-    return F.nullif(_kind(F.try_parse_json(json)), F.when(F.try_parse_json(json).isNull(), "VOID"))
+    return let(F.try_parse_json(json), lambda v: F.when(v.isNotNull(), _kind(v)))
 
 
 def _walk(
@@ -58,6 +61,10 @@ def _walk(
     opened: Callable[[Column, Column], Column],
 ) -> Column:
     """All hits of the tree. ``hit(node, kids)`` is a HIT or NULL; ``opened(node, kids)`` the NODEs to visit next."""
+    return let(root_raw, lambda raw: _walk_bound(root_kind, raw, hit, opened))
+
+
+def _walk_bound(root_kind: Column, root_raw: Column, hit, opened) -> Column:
     brackets = F.length(root_raw) - F.length(F.translate(root_raw, "[{", ""))
     levels = F.sequence(F.lit(0), F.least(brackets, F.lit(PARSER_DEPTH)).cast("int"))
     root = F.array(
@@ -70,21 +77,23 @@ def _walk(
     ).cast(f"array<{NODE}>")
     start = F.struct(root.alias("open"), F.array().cast(f"array<{HIT}>").alias("hits"))
 
-    def level(state: Column, _: Column) -> Column:
-        wide = F.transform(
-            state["open"], lambda n: F.struct(n.alias("node"), children(n["kind"], n["raw"]).alias("kids"))
-        )
-        looked = F.transform(
-            wide,
-            lambda w: F.struct(
-                hit(w["node"], w["kids"]).cast(HIT).alias("hit"),
-                opened(w["node"], w["kids"]).cast(f"array<{NODE}>").alias("next"),
+    def looked_at(node: Column) -> Column:
+        return let(
+            children(node["kind"], node["raw"]),
+            lambda kids: F.struct(
+                hit(node, kids).cast(HIT).alias("hit"), opened(node, kids).cast(f"array<{NODE}>").alias("next")
             ),
         )
-        found = F.filter(F.transform(looked, lambda x: x["hit"]), lambda h: h.isNotNull())
-        return F.struct(
-            F.flatten(F.transform(looked, lambda x: x["next"])).cast(f"array<{NODE}>").alias("open"),
-            F.concat(state["hits"], found).cast(f"array<{HIT}>").alias("hits"),
+
+    def level(state: Column, _: Column) -> Column:
+        return let(
+            F.transform(state["open"], lambda n: looked_at(n)),
+            lambda looked: F.struct(
+                F.flatten(F.transform(looked, lambda x: x["next"])).cast(f"array<{NODE}>").alias("open"),
+                F.concat(
+                    state["hits"], F.filter(F.transform(looked, lambda x: x["hit"]), lambda h: h.isNotNull())
+                ).cast(f"array<{HIT}>").alias("hits"),
+            ),
         )
 
     # an empty level costs nothing to step over
@@ -126,10 +135,10 @@ def _first(hits: Column) -> Column:
 
 def _keyed(kids: Column, keys: Sequence[str], kinds: Sequence[str] | None = None) -> Column:
     """The child under the first of ``keys`` that is present (with one of ``kinds``, if given)."""
-    found = [
-        F.filter(kids, lambda k, key=key: (k["key"] == key) & (k["kind"].isin(*kinds) if kinds else F.lit(True)))
-        for key in keys
-    ]
+    def under(key: str) -> Column:
+        return F.filter(kids, lambda k: (k["key"] == key) & (k["kind"].isin(*kinds) if kinds else F.lit(True)))
+
+    found = [under(key) for key in keys]
     return F.get(F.concat(*found), F.lit(0))
 
 
@@ -144,9 +153,11 @@ def find_conversation(json: Column) -> Column:
         return F.when(_truthy(kind, raw), F.struct(path.alias("path"), kind.alias("kind"), raw.alias("raw")).cast(HIT))
 
     def head_is_message(kids: Column) -> Column:
-        head = F.get(kids, F.lit(0))
-        names = F.coalesce(F.json_object_keys(F.when(head["kind"] == "OBJECT", head["raw"])), F.array().cast("array<string>"))
-        return (head["kind"] == "STRING") | F.arrays_overlap(names, F.array(*[F.lit(k) for k in ROLE_KEYS]))
+        def is_message(head: Column) -> Column:
+            names = F.json_object_keys(F.when(head["kind"] == "OBJECT", head["raw"]))
+            return (head["kind"] == "STRING") | F.arrays_overlap(names, F.array(*[F.lit(k) for k in ROLE_KEYS]))
+
+        return let(F.get(kids, F.lit(0)), is_message)
 
     def stops(node: Column, kids: Column) -> Column:
         as_object = (node["kind"] == "OBJECT") & _keyed(kids, CONVERSATION_KEYS).isNotNull()
@@ -154,10 +165,10 @@ def find_conversation(json: Column) -> Column:
         return F.coalesce(as_object | as_array, F.lit(False))
 
     def hit(node: Column, kids: Column) -> Column:
-        under = _keyed(kids, CONVERSATION_KEYS)
-        value = F.when(node["kind"] == "OBJECT", kept(node["path"], under["kind"], under["raw"])).otherwise(
-            kept(node["path"], node["kind"], node["raw"])
-        )
+        value = F.when(
+            node["kind"] == "OBJECT",
+            let(_keyed(kids, CONVERSATION_KEYS), lambda k: kept(node["path"], k["kind"], k["raw"])),
+        ).otherwise(kept(node["path"], node["kind"], node["raw"]))
         return F.when(stops(node, kids), value)
 
     def opened(node: Column, kids: Column) -> Column:
@@ -168,8 +179,6 @@ def find_conversation(json: Column) -> Column:
 
 def find_url(json: Column) -> Column:
     """First URL of a JSON document, link-like keys first at every object; NULL if none."""
-    from turnloom.functions.text import strip
-
     def hit(node: Column, kids: Column) -> Column:
         url = strip(node["raw"])
         return F.when(
@@ -181,10 +190,12 @@ def find_url(json: Column) -> Column:
         preferred = F.array_position(F.array(*[F.lit(x) for x in URL_KEYS]), F.coalesce(k["key"], F.lit("")))
         return F.when(preferred > 0, preferred - 1).otherwise(i + len(URL_KEYS))
 
-    root = json_kind(json)
-    # a document that is one string is searched by its value, not by its quoted text
-    raw = F.when(root == "STRING", F.try_variant_get(F.try_parse_json(json), "$", "string")).otherwise(json)
-    return _first(_walk(root, raw, hit, lambda n, kids: _descend(n, kids, rank)))["raw"]
+    def walk(root: Column) -> Column:
+        # a document that is one string is searched by its value, not by its quoted text
+        raw = F.when(root == "STRING", F.try_variant_get(F.try_parse_json(json), "$", "string")).otherwise(json)
+        return _first(_walk(root, raw, hit, lambda n, kids: _descend(n, kids, rank)))["raw"]
+
+    return let(json_kind(json), walk)
 
 
 def find_messages(json: Column) -> Column:
@@ -197,18 +208,19 @@ def find_messages(json: Column) -> Column:
         return F.coalesce(_keyed(kids, ["mapping"], ["OBJECT"]), _keyed(kids, ["messages"], ["ARRAY"]))
 
     def hit(node: Column, kids: Column) -> Column:
-        found = under(kids)
-        return F.when(
-            (node["kind"] == "OBJECT") & found.isNotNull() & ~found["raw"].isin("{}", "[]"),
-            F.struct(node["path"].alias("path"), found["kind"].alias("kind"), found["raw"].alias("raw")).cast(HIT),
+        kept = lambda k: F.when(
+            (node["kind"] == "OBJECT") & k.isNotNull() & ~k["raw"].isin("{}", "[]"),
+            F.struct(node["path"].alias("path"), k["kind"].alias("kind"), k["raw"].alias("raw")).cast(HIT),
         )
+        return let(under(kids), kept)
 
     def opened(node: Column, kids: Column) -> Column:
         stop = (node["kind"] == "OBJECT") & under(kids).isNotNull()
         return F.when(F.coalesce(stop, F.lit(False)), _no_nodes()).otherwise(_descend(node, kids))
 
     found = _first(_walk(json_kind(json), json, hit, opened))
-    return F.transform(F.filter(children(found["kind"], found["raw"]), lambda k: k["kind"] == "OBJECT"), lambda k: k["raw"])
+    kids = let(found, lambda f: children(f["kind"], f["raw"]))
+    return F.transform(F.filter(kids, lambda k: k["kind"] == "OBJECT"), lambda k: k["raw"])
 
 
 # Type names shown by the profile.

@@ -39,10 +39,14 @@ HEADING = rf"(?iu)\n[{T.WS_CLASS}]*(?:\*\*)?(User|Model)(?:\*\*)?[{T.WS_CLASS}]*
 LINES, OPENERS, TURNS = "_lines", "_openers", "_turns"
 
 
-def _explode(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*keys, F.posexplode(TURNS).alias("turn", "t")).select(
-        *keys, F.col("turn").cast("bigint").alias("turn"), "t.role", F.col("t.text").alias("text")
-    )
+def explode_turns(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row a turn of the turn array.
+
+    The outer form, because for the plain one Spark infers a filter on the array and moves it, with the whole
+    expression that makes the array, below every projection: each text would be cut several times.
+    """
+    exploded = df.select(*keys, F.posexplode_outer(TURNS).alias("turn", "t")).filter(F.col("turn").isNotNull())
+    return exploded.select(*keys, F.col("turn").cast("bigint").alias("turn"), "t.role", F.col("t.text").alias("text"))
 
 
 def _cut(
@@ -91,7 +95,7 @@ def transcript_turns(df: DataFrame, text: str = "text") -> DataFrame:
 
 def segment_transcript(df: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
     """``User: …`` / ``AI: …`` transcripts; continuation lines stay as they are, empty turns are kept."""
-    return _explode(transcript_turns(df, text), keys)
+    return explode_turns(transcript_turns(df, text), keys)
 
 
 def _stripped_turns(df: DataFrame, text: str, user: str, assistant: str) -> DataFrame:
@@ -117,7 +121,7 @@ def page_role_turns(df: DataFrame, text: str = "text", strict: bool = False) ->
 
 def segment_page_roles(df: DataFrame, keys: Sequence[str], text: str = "text", strict: bool = False) -> DataFrame:
     """Page text with role labels. The colon is optional, so ``Users like`` opens a turn; ``strict`` needs it."""
-    return _explode(page_role_turns(df, text, strict), keys)
+    return explode_turns(page_role_turns(df, text, strict), keys)
 
 
 def ui_dump_turns(df: DataFrame, text: str = "text") -> DataFrame:
@@ -127,7 +131,7 @@ def ui_dump_turns(df: DataFrame, text: str = "text") -> DataFrame:
 
 def segment_ui_dump(df: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
     """``Input:`` / ``Output:`` dumps; the colon is required."""
-    return _explode(ui_dump_turns(df, text), keys)
+    return explode_turns(ui_dump_turns(df, text), keys)
 
 
 def heading_turns(df: DataFrame, text: str = "text", legacy: bool = False) -> DataFrame:
@@ -160,7 +164,7 @@ def heading_turns(df: DataFrame, text: str = "text", legacy: bool = False) -> Da
 
 def segment_headings(df: DataFrame, keys: Sequence[str], text: str = "text", legacy: bool = False) -> DataFrame:
     """Heading lines to turns. ``legacy`` takes only the exact word ``Model`` as the assistant."""
-    return _explode(heading_turns(df, text, legacy), keys)
+    return explode_turns(heading_turns(df, text, legacy), keys)
 
 
 def alternating_turns(items: Column) -> Column:
@@ -171,4 +175,4 @@ def alternating_turns(items: Column) -> Column:
 
 
 def segment_alternating(df: DataFrame, keys: Sequence[str], items: str = "messages") -> DataFrame:
-    return _explode(df.withColumn(TURNS, alternating_turns(F.col(items))), keys)
+    return explode_turns(df.withColumn(TURNS, alternating_turns(F.col(items))), keys)

@@ -109,7 +109,7 @@ def quarantine_unparsed(spark, folder):
     # a URL found where a conversation should be is reported as the URL
     shown = F.coalesce(F.when(F.startswith(F.col("_found.raw"), F.lit("http")), F.col("_found.raw")), F.col("raw"))
     source = F.concat(F.lit("doc/"), F.col("doc_id").cast("string"))
-    return extract.quarantine(routed.withColumn("_shown", shown), ["doc_id"], "_shown", source)
+    return extract.quarantine(routed, ["doc_id"], shown, source)
 
 
 # ---- segmenters
@@ -444,7 +444,7 @@ def _messages(df):
 @query
 def prompt_history_messages(spark, folder):
     past = F.array(F.struct(I().alias("user"), O().alias("bot")), F.struct(N().alias("user"), I().alias("bot")))
-    made = prompts.history_messages(past, F.upper(I()))
+    made = prompts.history_messages(past, F.concat(I(), F.lit("?")))
     return _messages(rows(spark, folder).select("conv_id", "turn", made.alias("messages")))
 
 
@@ -665,7 +665,7 @@ def _log(spark, folder):
 @query
 def runlog_windows(spark, folder):
     df = runlog.accumulation_windows(_log(spark, folder), FLUSH_SIZE)
-    return df.withColumn("accumulated", F.round("accumulated", 6))
+    return df.withColumn("accumulated", F.round("accumulated", 9))
 
 
 @query
