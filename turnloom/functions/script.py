@@ -15,7 +15,8 @@ HAN_ALL = (
 )
 ACCENTED_LATIN = r"\x{C0}-\x{24F}"
 
-NON_CONTENT = r"[" + T.WS_CLASS + r"\p{P}]"
+# runs, not single characters: one replacement a run
+NON_CONTENT = r"[" + T.WS_CLASS + r"\p{P}]+"
 
 # Thresholds and replies of the answer filters.
 MOSTLY_SHARE = 0.5
@@ -37,7 +38,7 @@ def content_chars(c: Column) -> Column:
 
 def script_chars(c: Column, script: str = HAN) -> Column:
     """How many characters belong to the script."""
-    return F.length(F.regexp_replace(c, f"[^{script}]", ""))
+    return F.length(F.regexp_replace(c, f"[^{script}]+", ""))
 
 
 def is_mostly_script(c: Column, script: str = HAN_ALL) -> Column:

@@ -48,7 +48,7 @@ THOUGHTS_LABEL = "Expand to view model thoughts"
 PROMPT_TAGS = ("[/INST]", "[INST]", "<<SYS>>", "<</SYS>>")
 
 # Pictograph block, and the only code points whose Unicode name says EMOJI.
-EMOJI_RANGE = r"[\x{1F300}-\x{1F9FF}]"
+EMOJI_RANGE = r"[\x{1F300}-\x{1F9FF}]+"
 NAMED_EMOJI = r"[\x{1F3FB}-\x{1F3FF}\x{1F9B0}-\x{1F9B3}]"
 
 # Sentence ends, sentence buffer length, characters an answer may hold.
@@ -155,7 +155,7 @@ def format_terms(c: Column) -> Column:
 
 
 def allowlist_pattern(script: str) -> str:
-    return f"[^{script}A-Za-z0-9 \\n{ALLOWED_PUNCTUATION}]"
+    return f"[^{script}A-Za-z0-9 \\n{ALLOWED_PUNCTUATION}]+"
 
 
 def keep_allowed(c: Column, script: str) -> Column:
