@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from turnloom.functions import text as T
+from turnloom.functions.binding import let
 
 # The basic Han block, and every block of characters named CJK UNIFIED IDEOGRAPH.
 HAN = r"\x{4E00}-\x{9FFF}"
@@ -43,14 +44,17 @@ def script_chars(c: Column, script: str = HAN) -> Column:
 
 def is_mostly_script(c: Column, script: str = HAN_ALL) -> Column:
     """Share of script characters over one half, Latin terms not counted; empty text passes."""
-    rest = F.regexp_replace(content_chars(c), "[A-Za-z]+", "")
-    return (F.length(rest) == 0) | (script_chars(rest, script) > MOSTLY_SHARE * F.length(rest))
+    return let(
+        F.regexp_replace(content_chars(c), "[A-Za-z]+", ""),
+        lambda rest: (F.length(rest) == 0) | (script_chars(rest, script) > MOSTLY_SHARE * F.length(rest)),
+    )
 
 
 def script_share(c: Column, script: str = HAN) -> Column:
     """Script share of the content characters; NULL when there are none."""
-    body = content_chars(c)
-    return F.when(F.length(body) > 0, script_chars(body, script) / F.length(body))
+    return let(
+        content_chars(c), lambda body: F.when(F.length(body) > 0, script_chars(body, script) / F.length(body))
+    )
 
 
 def passes_gate(c: Column, script: str = HAN, share: float = GATE_SHARE) -> Column:
@@ -60,23 +64,27 @@ def passes_gate(c: Column, script: str = HAN, share: float = GATE_SHARE) -> Colu
 
 def filter_answer(c: Column, script: str = HAN) -> Column:
     """Full answer filter: the cleaned answer, or NULL when it must be generated again."""
-    bare = T.remove_named_emoji(T.strip_prompt_tags(c))
-    cut = T.segment_sentences(bare)
-    shaped = T.keep_allowed(T.format_terms(cut), script)
-    share_ok = F.coalesce(script_share(bare, script) >= GATE_SHARE, F.lit(True))
-    return F.when((F.length(c) > 0) & share_ok, shaped)
+
+    def shaped(bare: Column) -> Column:
+        share_ok = F.coalesce(script_share(bare, script) >= GATE_SHARE, F.lit(True))
+        return F.when(share_ok, T.keep_allowed(T.format_terms(T.segment_sentences(bare)), script))
+
+    return F.when(F.length(c) > 0, let(T.remove_named_emoji(T.strip_prompt_tags(c)), shaped))
 
 
 def verdict(c: Column, script: str = HAN) -> Column:
     """First failing check of an answer (``script``, ``short``, ``sentences``) or ``ok``."""
-    bare = T.strip_prompt_tags(c)
-    full = F.filter(F.split(bare, "。"), lambda s: F.length(T.strip(s)) > 0)
-    return (
-        F.when(script_chars(bare, script) < F.length(bare) * VERDICT_SHARE, "script")
-        .when(F.length(bare) < VERDICT_MIN_CHARS, "short")
-        .when(F.size(full) < VERDICT_MIN_SENTENCES, "sentences")
-        .otherwise("ok")
-    )
+
+    def checked(bare: Column) -> Column:
+        full = F.filter(F.split(bare, "。"), lambda s: F.length(T.strip(s)) > 0)
+        return (
+            F.when(script_chars(bare, script) < F.length(bare) * VERDICT_SHARE, "script")
+            .when(F.length(bare) < VERDICT_MIN_CHARS, "short")
+            .when(F.size(full) < VERDICT_MIN_SENTENCES, "sentences")
+            .otherwise("ok")
+        )
+
+    return let(T.strip_prompt_tags(c), checked)
 
 
 def verdict_reply(c: Column, code: Column, script: str = HAN) -> Column:

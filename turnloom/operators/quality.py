@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from turnloom.functions import script as S
 from turnloom.functions import text as T
+from turnloom.functions.binding import let
 
 # Attempts, acceptance limits and the reply when every attempt fails.
 MAX_ATTEMPTS = 3
@@ -25,14 +26,16 @@ FALLBACK_ANSWER = (
 
 def score_candidates(candidates: DataFrame, script: str = S.HAN) -> DataFrame:
     """Add ``answer`` (filtered), ``share``, ``sentences`` and ``score``; the score is NULL for a rejected answer."""
-    answer = S.filter_answer(T.strip(F.col("text")), script)
     said = F.filter(F.split("answer", "[。！？]"), lambda s: F.length(T.strip(s)) >= MIN_SENTENCE_CHARS)
-    body = S.content_chars(F.col("answer"))
-    valid = (F.length("answer") >= MIN_ANSWER_CHARS) & (F.length(body) > 0) & (F.col("sentences") >= 1)
+    valid = (F.length("answer") >= MIN_ANSWER_CHARS) & F.col("share").isNotNull() & (F.col("sentences") >= 1)
+    of_content = let(
+        S.content_chars(F.col("answer")),
+        lambda body: F.when(F.length(body) > 0, S.script_chars(F.col("answer"), script) / F.length(body)),
+    )
     return (
-        candidates.withColumn("answer", answer)
+        candidates.withColumn("answer", S.filter_answer(T.strip(F.col("text")), script))
         .withColumn("sentences", F.size(said))
-        .withColumn("share", F.when(F.length(body) > 0, S.script_chars(F.col("answer"), script) / F.length(body)))
+        .withColumn("share", of_content)
         .withColumn("score", F.when(valid, F.col("share") + SENTENCE_BONUS * F.col("sentences")))
     )
 

@@ -478,8 +478,8 @@ def script_ratio_gate(spark, folder):
 @query
 def filter_response_full(spark, folder):
     cand = X.candidates(docs(spark, folder))
-    answer = script.filter_answer(F.col("text"))
-    return cand.select("prompt_id", "attempt", answer.alias("answer"), answer.isNull().alias("regenerate"))
+    cand = cand.withColumn("answer", script.filter_answer(F.col("text")))
+    return cand.select("prompt_id", "attempt", "answer", F.col("answer").isNull().alias("regenerate"))
 
 
 def _verdicts(spark, folder):
@@ -637,7 +637,7 @@ def longest_preview(spark, folder):
 
 @query
 def json_profile(spark, folder):
-    return jsonwalk.json_profile(table(spark, folder, "events"), "props")
+    return jsonwalk.json_profile(readers.spread(table(spark, folder, "events")), "props")
 
 
 @query

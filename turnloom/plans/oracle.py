@@ -364,7 +364,7 @@ def terms(e: str) -> str:
 
 
 def allowed(e: str) -> str:
-    return sub(e, T.allowlist_pattern(script.HAN))
+    return sub(e, f"[^{script.HAN}A-Za-z0-9 \\n{T.ALLOWED_PUNCTUATION}]")
 
 
 ORACLES["clean_term_format"] = f"SELECT doc_id, {terms(TERMED)} AS text FROM documents"
