@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from turnloom.functions.binding import let
+
 # The code points a Unicode-aware strip() removes.
 WS_CLASS = (
     r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
@@ -151,7 +153,7 @@ def sentences(c: Column, ends: str = SENTENCE_ENDS, buffer: int = SENTENCE_BUFFE
 
 def segment_sentences(c: Column, ends: str = SENTENCE_ENDS, buffer: int = SENTENCE_BUFFER) -> Column:
     """One sentence a line; NULL (reject) when nothing is left."""
-    return F.nullif(F.array_join(sentences(c, ends, buffer), "\n"), F.lit(""))
+    return let(F.array_join(sentences(c, ends, buffer), "\n"), lambda out: F.when(F.length(out) > 0, out))
 
 
 def format_terms(c: Column) -> Column:

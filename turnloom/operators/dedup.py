@@ -13,7 +13,8 @@ def dedup_rows(df: DataFrame, text: str, order: list[str], within: list[str] | N
     """Keep the first row, by ``order``, of every non-empty text (of every ``within`` and text).
 
     An aggregate, not a window: copies collapse on the map side, so a text that fills a third of the table
-    costs its task one row per map partition.
+    costs its task one row per map partition. The hash leads the key, so that sorting compares numbers and looks at
+    whole texts only when they agree.
     """
     key = [*(within or []), text]
     rest = [c for c in df.columns if c not in key and c not in order]
@@ -21,7 +22,7 @@ def dedup_rows(df: DataFrame, text: str, order: list[str], within: list[str] | N
     row = F.struct(*firsts, *rest)
     return (
         df.filter(F.length(text) > 0)
-        .groupBy(*key)
+        .groupBy(F.xxhash64(text).alias("_hash"), *key)
         .agg(F.min_by(row, F.struct(*firsts)).alias("_first"))
         .select(*[F.col(f"_first.{c}").alias(c) if c not in key else F.col(c) for c in df.columns])
     )

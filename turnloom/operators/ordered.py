@@ -15,14 +15,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 SPAN = 16_384
 BLOCK = "_block"
-BLOCK_END = "_block_end"
+BLOCK_START, BLOCK_END = "_block_start", "_block_end"
+BEFORE = "_block_before"
 
 
 def longest_order(df: DataFrame, order: str) -> int:
@@ -33,10 +35,13 @@ def longest_order(df: DataFrame, order: str) -> int:
     return df.agg(F.max(order)).first()[0] or 0
 
 
-def _over(kind: str, value: Column, window) -> Column:
+def _over(kind: str, value: Column, window: WindowSpec) -> Column:
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    if kind == "prev":
+        return F.lag(value).over(window)
     if kind == "last":
-        return F.last(value, ignorenulls=True).over(window)
-    return {"sum": F.sum, "min": F.min, "max": F.max}[kind](value).over(window)
+        return F.last(value, ignorenulls=True).over(before)
+    return {"sum": F.sum, "min": F.min, "max": F.max}[kind](value).over(before)
 
 
 def _join(kind: str, earlier: Column, later: Column) -> Column:
@@ -55,30 +60,56 @@ def fold_before(
     span: int = SPAN,
     longest: int | None = None,
 ) -> DataFrame:
-    """Add, per name, the fold (``last`` non-null, ``sum``, ``min``, ``max``) over the earlier rows of the group.
+    """Add, per name, a fold over the earlier rows of the group: ``prev`` (the row before), ``last`` non-null, ``sum``,
+    ``min`` or ``max``.
 
-    ``order`` must be an integer column, unique in its group. NULL where no earlier row counts.
+    ``order`` must be an integer column, unique in its group. NULL where no earlier row counts. Rows without a group
+    or order value have no place in any group and are left out.
+
+    A window argument that is an expression is worked out below the window's shuffle and travels beside its inputs.
+    ``prev`` is for plain columns, which travel once; a ``last`` expression is worked out after an explicit shuffle.
     """
     group = list(group)
+    df = df.filter(reduce(and_, [F.col(c).isNotNull() for c in [*group, order]]))
     if longest is not None and longest < span:
-        before = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumns({name: _over(kind, value, before) for name, (kind, value) in folds.items()})
+        window = Window.partitionBy(*group).orderBy(order)
+        if any(kind == "last" for kind, _ in folds.values()):
+            df = df.repartition(*group)
+        return df.withColumns({name: _over(kind, value, window) for name, (kind, value) in folds.items()})
 
+    # both branches below read this one shuffle; a block that could be NULL would get a filter on one side only
     block = Window.partitionBy(*group, BLOCK).orderBy(order)
-    before = block.rowsBetween(Window.unboundedPreceding, -1)
-    inside = df.withColumn(BLOCK, F.expr(f"`{order}` div {span}")).withColumns(
-        {name: _over(kind, value, before) for name, (kind, value) in folds.items()}
-        | {BLOCK_END: F.lead(order).over(block).isNull()}
+    inside = (
+        df.withColumn(BLOCK, F.expr(f"coalesce(`{order}` div {span}, 0)"))
+        .repartition(*group, BLOCK)
+        .withColumns(
+            {name: _over(kind, value, block) for name, (kind, value) in folds.items()}
+            | {BLOCK_START: F.lag(order).over(block).isNull(), BLOCK_END: F.lead(order).over(block).isNull()}
+        )
     )
-    ends = inside.filter(BLOCK_END).select(
-        *group, BLOCK, *[_join(kind, F.col(name), value).alias(name) for name, (kind, value) in folds.items()]
+    at_end = {
+        name: value if kind == "prev" else _join(kind, F.col(name), value) for name, (kind, value) in folds.items()
+    }
+    blocks = Window.partitionBy(*group).orderBy(BLOCK)
+    carried = (
+        inside.filter(BLOCK_END)
+        .select(*group, BLOCK, *[value.alias(name) for name, value in at_end.items()])
+        .select(
+            *group,
+            BLOCK,
+            F.lag(BLOCK).over(blocks).alias(BEFORE),
+            *[_over(kind, F.col(name), blocks).alias(f"_in_{name}") for name, (kind, _) in folds.items()],
+        )
+        .filter(F.col(BEFORE).isNotNull())
+        .drop(BEFORE)
     )
-    earlier = Window.partitionBy(*group).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(
-        *group, BLOCK, *[_over(kind, F.col(name), earlier).alias(f"_in_{name}") for name, (kind, _) in folds.items()]
-    ).filter(reduce(or_, [F.col(f"_in_{name}").isNotNull() for name in folds]))
+
+    def whole(name: str, kind: str) -> Column:
+        earlier, later = F.col(f"_in_{name}"), F.col(name)
+        return F.when(F.col(BLOCK_START), earlier).otherwise(later) if kind == "prev" else _join(kind, earlier, later)
+
     return (
         inside.join(carried, [*group, BLOCK], "left")
-        .withColumns({name: _join(kind, F.col(f"_in_{name}"), F.col(name)) for name, (kind, _) in folds.items()})
-        .drop(BLOCK, BLOCK_END, *[f"_in_{name}" for name in folds])
+        .withColumns({name: whole(name, kind) for name, (kind, _) in folds.items()})
+        .drop(BLOCK, BLOCK_START, BLOCK_END, *[f"_in_{name}" for name in folds])
     )

@@ -32,17 +32,21 @@ def normalize_role(role: Column) -> Column:
 
 
 def _previous(turns: DataFrame, span: int, longest: int | None) -> DataFrame:
-    row = F.struct(TURN, "role", "text")
-    return fold_before(turns, [CONV], TURN, {"prev": ("last", row)}, span, longest)
+    """Add the turn before: ``prev_turn``, ``prev_role``, ``prev_text``."""
+    return fold_before(turns, [CONV], TURN, _before_row(), span, longest)
+
+
+def _before_row() -> dict[str, tuple[str, Column]]:
+    return {f"prev_{c}": ("prev", F.col(c)) for c in (TURN, "role", "text")}
 
 
 def pair_adjacent(turns: DataFrame, span: int = SPAN, longest: int | None = None) -> DataFrame:
     """A user turn directly followed by an assistant turn. Keyed by the user turn."""
     rows = _previous(turns, span, longest)
-    return rows.filter((F.col("role") == "assistant") & (F.col("prev.role") == "user")).select(
+    return rows.filter((F.col("role") == "assistant") & (F.col("prev_role") == "user")).select(
         CONV,
-        F.col("prev.turn").alias(TURN),
-        F.col("prev.text").alias("instruction"),
+        F.col("prev_turn").alias(TURN),
+        F.col("prev_text").alias("instruction"),
         F.lit("").alias("input"),
         F.col("text").alias("output"),
     )
@@ -54,7 +58,7 @@ def pair_stats(turns: DataFrame, span: int = SPAN, longest: int | None = None) -
     A scan step that forms no pair is a row that has a successor and belongs to no pair.
     """
     rows = _previous(turns.withColumn("text", F.lit("")), span, longest)
-    closes = F.coalesce((F.col("role") == "assistant") & (F.col("prev.role") == "user"), F.lit(False))
+    closes = F.coalesce((F.col("role") == "assistant") & (F.col("prev_role") == "user"), F.lit(False))
     per_conv = (
         rows.withColumn("closes", closes)
         .groupBy(CONV)
@@ -95,7 +99,7 @@ def pair_outer(
         CONV,
         TURN,
         F.lit(ANSWER_INSTRUCTION).alias("instruction"),
-        F.when(F.col("prev.role") == "user", F.col("prev.text")).otherwise("").alias("input"),
+        F.when(F.col("prev_role") == "user", F.col("prev_text")).otherwise("").alias("input"),
         F.col("text").alias("output"),
         (F.lit(None).cast("string") if source is None else source).alias("source"),
     )
@@ -121,9 +125,8 @@ def pair_history(
     ``max_turns`` keeps only the latest turns of every history.
     """
     kept = survivors(turns)
-    row = F.struct(TURN, "role", "text")
     ranked = fold_before(
-        kept, [CONV], TURN, {"prev": ("last", row), "rank": ("sum", F.lit(1).cast("bigint"))}, span, longest
+        kept, [CONV], TURN, _before_row() | {"rank": ("sum", F.lit(1).cast("bigint"))}, span, longest
     ).withColumn("rank", F.coalesce("rank", F.lit(0)))
 
     short = longest is not None and longest < inline_turns
@@ -142,11 +145,11 @@ def pair_history(
 def _history_pairs(rows: DataFrame) -> DataFrame:
     said = F.transform("history", lambda h: F.concat(h["role"], F.lit(": "), h["content"], F.lit("\n")))
     context = F.when(F.size("history") > 0, F.concat(F.lit(CONTEXT_INTRO), F.array_join(said, ""))).otherwise("")
-    return rows.filter((F.col("role") == "assistant") & (F.col("prev.role") == "user")).select(
+    return rows.filter((F.col("role") == "assistant") & (F.col("prev_role") == "user")).select(
         CONV,
         TURN,
         F.concat(F.lit(CONTINUE_INSTRUCTION), context).alias("instruction"),
-        F.col("prev.text").alias("input"),
+        F.col("prev_text").alias("input"),
         F.col("text").alias("output"),
         "history",
         (F.col("rank") - 1).alias("history_len"),

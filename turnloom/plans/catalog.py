@@ -499,8 +499,8 @@ def response_verdict_counts(spark, folder):
 
 @query
 def best_of_n(spark, folder):
-    df = docs(spark, folder)
-    return quality.best_of_n(df.select(F.col("doc_id").alias("prompt_id")), X.candidates(df))
+    asked = table(spark, folder, "documents").select(F.col("doc_id").alias("prompt_id"))
+    return quality.best_of_n(asked, X.candidates(docs(spark, folder)))
 
 
 # ---- scoring
