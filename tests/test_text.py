@@ -350,3 +350,13 @@ def test_prompts(spark):
         "[INST] <<SYS>>\nS\n<</SYS>>\n\nq\n\n补充信息：in [/INST]",
     ]
     assert [tuple(m) for m in shown(prompts.messages)[1]][1:] == [("user", "q\nin"), ("assistant", "a")]
+
+
+def test_content_chars(spark):
+    import unicodedata
+
+    # every assigned character of the basic planes that Spark's and Python's Unicode tables both know
+    every = [chr(i) for i in range(1, 0x3100) if unicodedata.category(chr(i)) not in ("Cs", "Cn")]
+    text = "a".join(every)
+    want = "".join(c for c in text if not c.isspace() and not unicodedata.category(c).startswith("P"))
+    assert one(spark, text, script.content_chars) == want

@@ -525,7 +525,7 @@ def count_of(e: str, cls: str) -> str:
 
 
 def content(e: str) -> str:
-    return sub(e, script.NON_CONTENT)
+    return sub(e, f"[{T.WS_CLASS}\\p{{P}}]+")
 
 
 def mostly(e: str, cls: str) -> str:
