@@ -414,13 +414,19 @@ def prompt_inst(spark, folder):
 
 @query
 def prompt_inst_sys(spark, folder):
-    return _prompt(spark, folder, prompt=prompts.inst_sys(I(), T.truncate(O(), 300), N()))
+    none = F.lit("")
+    return _prompt(
+        spark,
+        folder,
+        prompt=prompts.inst_sys(I(), T.truncate(O(), 300), N()),
+        expert_prompt=prompts.inst_sys(I(), none, none, prompts.EXPERT_SYSTEM, prompts.EXPERT_LEAD),
+    )
 
 
 @query
 def prompt_inst_context(spark, folder):
     return _prompt(
-        spark, folder, prompt=prompts.inst_context(I(), N()), without_context=prompts.inst_context(I())
+        spark, folder, prompt=prompts.inst_context(I(), N()), without_context=prompts.inst_context(I(), system=prompts.PLAIN_SYSTEM)
     )
 
 

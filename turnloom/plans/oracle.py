@@ -489,7 +489,9 @@ ORACLES["prompt_inst"] = prompt_sql(prompt=INST, training_text=f"{INST} || ' ' |
 ORACLES["prompt_inst_sys"] = prompt_sql(
     prompt=f"""'[INST] <<SYS>>' || chr(10) || {q(prompts.QA_SYSTEM)} || chr(10) || '<</SYS>>' || chr(10) || chr(10)
     || CASE WHEN output <> '' THEN {q(prompts.CONTEXT_INTRO_REFERENCE)} || {truncated('output', 300)} || chr(10) || chr(10) ELSE '' END
-    || instruction || CASE WHEN input <> '' THEN {q(prompts.EXTRA_INTRO)} || input ELSE '' END || ' [/INST]'"""
+    || instruction || CASE WHEN input <> '' THEN {q(prompts.EXTRA_INTRO)} || input ELSE '' END || ' [/INST]'""",
+    expert_prompt=f"""concat('[INST] <<SYS>>', chr(10), {q(prompts.EXPERT_SYSTEM)}, chr(10), '<</SYS>>', chr(10), chr(10),
+    {q(prompts.EXPERT_LEAD)}, instruction, ' [/INST]')""",
 )
 
 
@@ -499,7 +501,8 @@ def inst_context(instruction: str, context: str) -> str:
 
 
 ORACLES["prompt_inst_context"] = prompt_sql(
-    prompt=inst_context("instruction", "input"), without_context=inst_context("instruction", "''")
+    prompt=inst_context("instruction", "input"),
+    without_context=f"'[INST] ' || {q(prompts.PLAIN_SYSTEM)} || chr(10) || chr(10) || instruction || ' [/INST]'",
 )
 S1, S2, S3 = prompts.SECTION_TITLES
 ORACLES["prompt_sections"] = prompt_sql(prompt=f"{q(S1)} || instruction || {q(S2)} || input || {q(S3)} || output")
@@ -735,6 +738,35 @@ WITH nodes AS (
     SELECT '$.' || k, {JSON_TYPES.format(v="json_extract(props, '$.' || k)")} FROM (SELECT props, unnest(json_keys(props)) AS k FROM events)
 )
 SELECT path, type, count(*) AS rows, NULL::BIGINT AS min_length, NULL::BIGINT AS max_length FROM nodes GROUP BY path, type"""
+ITEMS_JSON = lambda role, body: (
+    f"to_json(list_transform({lines()}, lambda l, i: {{'{role}': {cycle(X.ITEM_ROLES)}, '{body}': l}}))::VARCHAR"
+)
+LINES_JSON = f"to_json({lines()})::VARCHAR"
+SCRIPT = joined(f"list_transform({lines()}, lambda l, i: CASE WHEN i % 2 = 1 THEN 'User: ' ELSE 'AI: ' END || l)")
+TREES = f"""SELECT doc_id, (CASE doc_id % 9
+    WHEN 0 THEN '{{"meta":{{"title":"t"}},"conversations":' || {ITEMS_JSON('role', 'content')} || '}}'
+    WHEN 1 THEN '{{"a":{{"b":{{"messages":' || {ITEMS_JSON('from', 'value')} || '}}}},"note":1}}'
+    WHEN 2 THEN {LINES_JSON}
+    WHEN 3 THEN '{{"data":{{"link":"https://x.example/' || doc_id || '"}}}}'
+    WHEN 4 THEN '{{"chat":' || to_json({SCRIPT})::VARCHAR || '}}'
+    WHEN 5 THEN '{{"x":{{"messages":[]}},"y":[0,{{"history":' || {ITEMS_JSON('role', 'content')} || '}}]}}'
+    WHEN 6 THEN '{{"z":[1,[2,[[],' || {ITEMS_JSON('role', 'content')} || ']]]}}'
+    WHEN 7 THEN '{{"k":1,"body":{{"m":[true,null,' || substr({LINES_JSON}, 2) || '}}}}'
+    ELSE repeat('{{"d":', 12) || '{{"chat":' || {LINES_JSON} || repeat('}}', 13) END)::JSON AS j FROM documents"""
+ORACLES["json_profile_trees"] = f"""
+WITH RECURSIVE nodes(path, j) AS (
+    SELECT '$', j FROM ({TREES})
+    UNION ALL
+    SELECT path || step.suffix, step.j FROM nodes, LATERAL (
+        SELECT '.' || k AS suffix, json_extract(nodes.j, '$."' || k || '"') AS j
+        FROM (SELECT unnest(json_keys(nodes.j)) AS k) WHERE json_type(nodes.j) = 'OBJECT'
+        UNION ALL
+        SELECT '[0]', json_extract(nodes.j, '$[0]') WHERE json_type(nodes.j) = 'ARRAY' AND json_array_length(nodes.j) > 0
+    ) step
+), typed AS (
+    SELECT path, {JSON_TYPES.format(v='j')} AS type, CASE WHEN json_type(j) = 'ARRAY' THEN json_array_length(j)::BIGINT END AS n FROM nodes
+)
+SELECT path, type, count(*) AS rows, min(n) AS min_length, max(n) AS max_length FROM typed GROUP BY path, type"""
 ORACLES["head_preview"] = f"SELECT doc_id, left(text, {profile.PREVIEW_CHARS}) AS preview FROM documents"
 ORACLES["token_budget"] = f"""
 SELECT budget, count(*) AS rows, count(*) FILTER (WHERE tokens > budget) AS over, round(over / count(*), 6) AS share
