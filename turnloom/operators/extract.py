@@ -33,14 +33,17 @@ def unescape_json(body: Column) -> Column:
 
 def export_turns(raw: Column) -> Column:
     """Turn array of one raw export blob, empty messages dropped."""
-    pattern = F.lit(EXPORT_MESSAGE)
-    turns = F.zip_with(
-        F.regexp_extract_all(raw, pattern, F.lit(2)),
-        F.regexp_extract_all(raw, pattern, F.lit(1)),
-        lambda role, body: F.struct(
-            F.when(role == "user", "user").otherwise("assistant").alias("role"),
-            T.strip(F.replace(unescape_json(body), F.lit(T.THOUGHTS_LABEL), F.lit(""))).alias("text"),
-        ),
+
+    def turn(found: Column, user: bool) -> Column:
+        # opening bracket and quote in front; closing quote, NULLs and role behind
+        close = len('"' + ",null" * 7 + (',"user"' if user else ',"model"'))
+        body = F.substr(found, F.lit(3), F.length(found) - 2 - close)
+        text = let(body, lambda b: T.strip(F.replace(unescape_json(b), F.lit(T.THOUGHTS_LABEL), F.lit(""))))
+        return F.struct(F.lit("user" if user else "assistant").alias("role"), text.alias("text"))
+
+    turns = F.transform(
+        F.regexp_extract_all(raw, F.lit(EXPORT_MESSAGE), F.lit(0)),
+        lambda found: F.when(F.endswith(found, F.lit('"user"')), turn(found, True)).otherwise(turn(found, False)),
     )
     return F.filter(turns, lambda t: F.length(t["text"]) > 0)
 
