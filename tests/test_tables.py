@@ -126,6 +126,18 @@ def test_sinks(spark, folder):
     assert spark.read.text(f"{folder}/prompts").first().value == "你好"
 
 
+def test_read_run_log_and_results(spark, folder):
+    os.mkdir(f"{folder}/log")
+    with open(f"{folder}/log/a.jsonl", "w") as f:
+        f.write('{"step": 1, "loss": 0.5, "lr": 1e-7}\n{"step": 20, "loss": 0.4, "lr": 2e-6, "eval_loss": 0.9}\n')
+    made = [tuple(r) for r in readers.read_run_log(spark, f"{folder}/log").orderBy("step").collect()]
+    assert made == [("a.jsonl", 1, 0.5, 1e-7, None), ("a.jsonl", 20, 0.4, 2e-6, 0.9)]
+    rows = spark.createDataFrame([("p", "e", "g")], "prompt string, expected string, generated string")
+    sinks.append_json(rows, f"{folder}/res")
+    sinks.append_json(rows, f"{folder}/res")
+    assert [tuple(r) for r in readers.read_results(spark, f"{folder}/res").collect()] == [("p", "e", "g")] * 2
+
+
 def test_flow_from_export_file(spark, folder):
     tail = ",null,null,null,null,null,null,null,"
     with open(f"{folder}/raw.json", "w") as f:

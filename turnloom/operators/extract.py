@@ -92,6 +92,17 @@ def extract_precedence(df: DataFrame, keys: Sequence[str], html: str = "html") -
     return explode_turns(page_turns(df, html), [*keys, "method"])
 
 
+def heading_pages(df: DataFrame, html: str = "html") -> DataFrame:
+    """Add ``title`` and the turn array of saved pages whose turns stand under heading lines."""
+    titled = df.withColumn("title", markup.title(F.col(html))).withColumn("_markdown", markup.markdown(F.col(html)))
+    return segment.heading_turns(titled, "_markdown").drop("_markdown")
+
+
+def extract_heading_pages(df: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
+    """``keys, title, turn, role, text`` of saved pages; pages without a turn give no row."""
+    return explode_turns(heading_pages(df, html), [*keys, "title"])
+
+
 def conversation_turns(df: DataFrame, json: str = "json") -> DataFrame:
     """Add the turn array of the conversation found in a JSON document.
 

@@ -181,6 +181,11 @@ def extract_precedence(spark, folder):
     return extract.extract_precedence(X.state_pages(docs(spark, folder)), ["doc_id"])
 
 
+@query
+def extract_heading_pages(spark, folder):
+    return extract.extract_heading_pages(X.chat_pages(pages(spark, folder)), ["page_id"])
+
+
 @query
 def extract_export_array(spark, folder):
     return extract.extract_export_array(X.exports(docs(spark, folder)), ["doc_id"])
@@ -303,7 +308,7 @@ def dedup_turns(spark, folder):
 
 @query
 def dedup_turns_in_conversation(spark, folder):
-    df = X.with_copies(turns(spark, folder)).withColumn("text", F.left("text", F.lit(1)))
+    df = X.with_copies(X.ragged(turns(spark, folder))).withColumn("text", F.col("role"))
     return dedup.dedup_turns(df, scope="conversation")
 
 

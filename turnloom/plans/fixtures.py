@@ -149,6 +149,12 @@ def run_log(events: DataFrame) -> DataFrame:
     )
 
 
+def chat_pages(pages: DataFrame) -> DataFrame:
+    """Pages with the heading lines of a chat put between their blocks."""
+    html = F.replace(F.col("html"), F.lit("</h1>"), F.lit("</h1><p><b>Model</b></p>"))
+    return pages.select("page_id", F.replace(html, F.lit("<br>"), F.lit("<p>User</p>")).alias("html"))
+
+
 def _json_string(text: Column) -> Column:
     quoted = F.to_json(F.array(text))
     return F.substr(quoted, F.lit(2), F.length(quoted) - 2)

@@ -301,6 +301,13 @@ def markdown(e: str) -> str:
 
 ORACLES["page_markdown"] = f"SELECT page_id, {markdown('html')} AS markdown FROM pages"
 
+CHAT_PAGES = """SELECT page_id, replace(replace(html, '</h1>', '</h1><p><b>Model</b></p>'), '<br>', '<p>User</p>') AS html
+    FROM pages"""
+ORACLES["extract_heading_pages"] = f"""
+SELECT doc_id AS page_id, t.title, turn, role, text
+FROM ({headings(f"SELECT page_id AS doc_id, {markdown('html')} AS text FROM ({CHAT_PAGES})", "lower(label) = 'model'")})
+JOIN ({ORACLES['page_title']}) t ON t.page_id = doc_id"""
+
 SHOWN_HTML = unhidden("html", ("head", "script", "style"))
 NODES = lambda g: f"unnest(regexp_extract_all(h, {q(markup.TEXT_NODE)}, {g}))"
 ORACLES["page_text_blocks"] = f"""
@@ -403,7 +410,7 @@ def first_copies(turns: str, key: str = "text", order: str = "conv_id, turn") ->
 ALL_TURNS = "SELECT conv_id, turn, role, text FROM conversations"
 ORACLES["dedup_turns"] = first_copies(COPIES(ALL_TURNS))
 ORACLES["dedup_turns_in_conversation"] = first_copies(
-    f"SELECT conv_id, turn, role, left(text, 1) AS text FROM ({COPIES(ALL_TURNS)})", "conv_id, text", "turn"
+    f"SELECT conv_id, turn, role, role AS text FROM ({COPIES(RAGGED)})", "conv_id, text", "turn"
 )
 ORACLES["dedup_documents"] = first_copies("SELECT doc_id, text, lang FROM documents", "text", "doc_id")
 KEPT = first_copies(COPIES(RAGGED))

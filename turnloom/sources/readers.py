@@ -82,3 +82,14 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 def read_exports(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """``file, raw`` of raw export blobs."""
     return whole_text(spark, path, glob).withColumnRenamed("value", "raw")
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """Evaluation rows written line by line: ``prompt, expected, generated``."""
+    return spark.read.schema("prompt string, expected string, generated string").json(path)
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """Training-log lines of one or more runs: ``run, step, loss, lr, eval_loss``; the run is the file name."""
+    raw = spark.read.schema("step bigint, loss double, lr double, eval_loss double").json(path)
+    return raw.select(F.col("_metadata.file_name").alias("run"), "step", "loss", "lr", "eval_loss")
