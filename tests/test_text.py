@@ -280,6 +280,30 @@ def test_json_search_has_no_depth_limit(spark):
     assert one(spark, "not json", jsonwalk.find_conversation) is None
 
 
+def test_only_whole_json_is_json(spark):
+    good = ['{"a":1}', " [1, 2] ", "5", '"x"', "null", "true", '{"a":{"b":1,"b":2}}', '{"a":[{"b":1,"b":[2]}],"a":3}', "[]", "{}"]
+    bad = ["5 apples", '"x" he said', "true story", "[1] see", '{"a":1} x', '{"a":1', '{"a":1,}', "1,2", "1] x", "1], [2", '1} x']
+    bad += ['5,"w":6', "", "User: hi", "{'a':1}", '{"a":"x\ny"}', "[1,]", '{"a":1}{"b":2}', '1],"w":[2', "01"]
+    for text in good:
+        json.loads(text)
+    for text in bad:
+        with pytest.raises(ValueError):
+            json.loads(text)
+    kinds = many(spark, good + bad, jsonwalk.json_kind)
+    assert [k is not None for k in kinds] == [True] * len(good) + [False] * len(bad)
+
+
+def test_repeated_keys_do_not_hide_a_conversation(spark):
+    doc = '{"z":{"k":1,"k":2},"y":[{"chat":["a","b"]}]}'
+    assert one(spark, doc, jsonwalk.find_conversation).raw == '["a","b"]'
+
+
+def test_text_that_starts_like_json_is_a_transcript(spark):
+    df = spark.createDataFrame([(1, "5 notes\nUser: hi\nAI: yo"), (2, "[1]\nUser: a"), (3, "[1]")], "doc_id long, text string")
+    made = sorted((r.doc_id, r.route, r.role, r.text) for r in extract.route_json_text(df, ["doc_id"]).collect())
+    assert made == [(1, "text", "assistant", "yo"), (1, "text", "user", "hi"), (2, "text", "user", "a")]
+
+
 def test_json_conversation_shapes(spark):
     docs = [
         '{"messages":[{"from":"human","value":"a"},{"role":"gpt","content":null},{"role":"x"}]}',

@@ -148,7 +148,7 @@ def routed_turns(df: DataFrame, text: str = "text") -> DataFrame:
 
     Valid JSON without a conversation yields nothing; it does not fall back.
     """
-    is_json = F.try_parse_json(F.col(text)).isNotNull()
+    is_json = jsonwalk.json_kind(F.col(text)).isNotNull()
     routed = df.withColumn("route", F.when(is_json, "json").otherwise("text"))
     by_json = conversation_turns(
         routed.withColumn("_json", F.when(F.col("route") == "json", F.col(text))), "_json"

@@ -27,31 +27,61 @@ NODE = "struct<path:array<int>,name:string,kind:string,raw:string>"
 HIT = "struct<path:array<int>,kind:string,raw:string>"
 
 
+STRICT = {"allowSingleQuotes": "false"}
+KIDS = f"array<{KID}>"
+
+
 def _kind(v: Column) -> Column:
     return F.regexp_extract(F.coalesce(F.schema_of_variant(v), F.lit("VOID")), "^[A-Z]+", 0)
 
 
+def _looks_like(raw: Column) -> Column:
+    """Type by the first character, for the rare container whose variant parse fails (repeated keys further down)."""
+    return (
+        F.when(raw.isNull(), "VOID")
+        .when(F.startswith(raw, F.lit("{")), "OBJECT")
+        .when(F.startswith(raw, F.lit("[")), "ARRAY")
+        .otherwise("STRING")
+    )
+
+
 def children(kind: Column, raw: Column) -> Column:
     """``array<struct<key, kind, raw>>`` of an object (in key order) or array node; empty for scalars."""
-    entry = lambda key, v, text: F.struct(key.alias("key"), _kind(v).alias("kind"), text.alias("raw"))
-    of_object = F.zip_with(
+    entry = lambda key, kind, text: F.struct(key.alias("key"), kind.alias("kind"), text.alias("raw"))
+
+    def typed(pairs: Column, variants: Column) -> Column:
+        """``pairs`` of key and text, typed by the variants parsed beside them."""
+        exact = F.zip_with(pairs, variants, lambda p, v: entry(p["key"], _kind(v), p["value"]))
+        guessed = F.transform(pairs, lambda p: entry(p["key"], _looks_like(p["value"]), p["value"]))
+        return F.coalesce(exact, guessed)
+
+    of_object = let(
         F.map_entries(F.from_json(raw, "map<string,string>")),
-        F.map_values(F.from_json(raw, "map<string,variant>")),
-        lambda e, v: entry(e["key"], v, e["value"]),
+        lambda pairs: typed(pairs, F.map_values(F.from_json(raw, "map<string,variant>"))),
     )
-    of_array = F.zip_with(
-        F.from_json(raw, "array<string>"),
-        F.from_json(raw, "array<variant>"),
-        lambda t, v: entry(F.lit(None).cast("string"), v, t),
+    keyless = lambda t: F.struct(F.lit(None).cast("string").alias("key"), t.alias("value"))
+    of_array = let(
+        F.transform(F.from_json(raw, "array<string>"), keyless),
+        lambda pairs: typed(pairs, F.from_json(raw, "array<variant>")),
     )
-    return F.when(kind == "OBJECT", of_object).when(kind == "ARRAY", of_array).otherwise(
-        F.array().cast(f"array<{KID}>")
-    ).cast(f"array<{KID}>")
+    found = F.when(kind == "OBJECT", of_object.cast(KIDS)).when(kind == "ARRAY", of_array.cast(KIDS))
+    return F.coalesce(found, F.array().cast(KIDS))
 
 
 def json_kind(json: Column) -> Column:
-    """Type of a whole document; NULL when it is not JSON."""
-    return let(F.try_parse_json(json), lambda v: F.when(v.isNotNull(), _kind(v)))
+    """Type of a whole document; NULL when it is not JSON from its first to its last character.
+
+    The parsers stop at the end of the first value, so ``5 apples`` passes them. The text is therefore also read
+    inside ``[...]`` and inside ``{"v":...}``: what follows a first value cannot close both.
+    """
+    in_list = F.json_array_length(F.concat(F.lit("["), json, F.lit("]"))) == 1
+    in_object = F.json_object_keys(F.concat(F.lit('{"v":'), json, F.lit("}"))) == F.array(F.lit("v"))
+    kind = (
+        F.when(F.from_json(json, "map<string,string>", STRICT).isNotNull(), "OBJECT")
+        .when(F.from_json(json, "array<string>", STRICT).isNotNull(), "ARRAY")
+        .otherwise(let(F.try_parse_json(json), lambda v: F.when(v.isNotNull(), _kind(v))))
+    )
+    return F.when(in_list & in_object, kind)
 
 
 def _walk(
