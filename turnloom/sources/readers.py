@@ -24,13 +24,8 @@ def spread(df: DataFrame) -> DataFrame:
 
 def whole_text(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """``file, value``: one row a file, folders searched recursively."""
-    return (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .text(path)
-        .select(F.col("_metadata.file_name").alias("file"), "value")
-    )
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
+    return files.select(F.col("_metadata.file_name").alias("file"), "value")
 
 
 def parse_turn_array(json: Column) -> Column:
