@@ -4,10 +4,10 @@ A plain window puts a whole group into one task. When one conversation (or run,
 of the table that task never ends, so the group is cut into blocks of ``span`` order values:
 
 1. a window per (group, block) folds inside the block;
-2. the last row of every block, one row per block, is folded over the blocks of the group;
+2. the last row of every block, one row per block, is folded over the blocks of the group, again in blocks;
 3. the carried value is joined back by (group, block), on the partitioning the first window already has.
 
-Step 2 is the only place where one task sees one group, and it sees ``rows / span`` short rows.
+With two levels the only window over a whole group sees one short row per ``span * span`` order values.
 When the caller has checked that no group reaches ``span`` rows (``longest``), one window does it all.
 """
 
@@ -22,9 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 SPAN = 16_384
-BLOCK = "_block"
-BLOCK_START, BLOCK_END = "_block_start", "_block_end"
-BEFORE = "_block_before"
+LEVELS = 2
 
 
 def longest_order(df: DataFrame, order: str) -> int:
@@ -59,6 +57,7 @@ def fold_before(
     folds: dict[str, tuple[str, Column]],
     span: int = SPAN,
     longest: int | None = None,
+    levels: int = LEVELS,
 ) -> DataFrame:
     """Add, per name, a fold over the earlier rows of the group: ``prev`` (the row before), ``last`` non-null, ``sum``,
     ``min`` or ``max``.
@@ -77,39 +76,36 @@ def fold_before(
             df = df.repartition(*group)
         return df.withColumns({name: _over(kind, value, window) for name, (kind, value) in folds.items()})
 
+    in_block, starts, ends = f"_block{levels}", f"_starts{levels}", f"_ends{levels}"
     # both branches below read this one shuffle; a block that could be NULL would get a filter on one side only
-    block = Window.partitionBy(*group, BLOCK).orderBy(order)
+    block = Window.partitionBy(*group, in_block).orderBy(order)
     inside = (
-        df.withColumn(BLOCK, F.expr(f"coalesce(`{order}` div {span}, 0)"))
-        .repartition(*group, BLOCK)
+        df.withColumn(in_block, F.expr(f"coalesce(`{order}` div {span}, 0)"))
+        .repartition(*group, in_block)
         .withColumns(
             {name: _over(kind, value, block) for name, (kind, value) in folds.items()}
-            | {BLOCK_START: F.lag(order).over(block).isNull(), BLOCK_END: F.lead(order).over(block).isNull()}
+            | {starts: F.lag(order).over(block).isNull(), ends: F.lead(order).over(block).isNull()}
         )
     )
     at_end = {
         name: value if kind == "prev" else _join(kind, F.col(name), value) for name, (kind, value) in folds.items()
     }
-    blocks = Window.partitionBy(*group).orderBy(BLOCK)
-    carried = (
-        inside.filter(BLOCK_END)
-        .select(*group, BLOCK, *[value.alias(name) for name, value in at_end.items()])
-        .select(
-            *group,
-            BLOCK,
-            F.lag(BLOCK).over(blocks).alias(BEFORE),
-            *[_over(kind, F.col(name), blocks).alias(f"_in_{name}") for name, (kind, _) in folds.items()],
-        )
-        .filter(F.col(BEFORE).isNotNull())
-        .drop(BEFORE)
-    )
+    carry = {f"_in{levels}_{name}": (kind, F.col(f"_at_{name}")) for name, (kind, _) in folds.items()}
+    tails = inside.filter(ends).select(*group, in_block, *[value.alias(f"_at_{name}") for name, value in at_end.items()])
+    if levels > 1:
+        carried = fold_before(tails, group, in_block, carry, span, levels=levels - 1)
+    else:
+        blocks = Window.partitionBy(*group).orderBy(in_block)
+        carried = tails.withColumns({name: _over(kind, value, blocks) for name, (kind, value) in carry.items()})
+    # the first block of a group is told nothing
+    carried = carried.filter(reduce(or_, [F.col(name).isNotNull() for name in carry])).select(*group, in_block, *carry)
 
     def whole(name: str, kind: str) -> Column:
-        earlier, later = F.col(f"_in_{name}"), F.col(name)
-        return F.when(F.col(BLOCK_START), earlier).otherwise(later) if kind == "prev" else _join(kind, earlier, later)
+        earlier, later = F.col(f"_in{levels}_{name}"), F.col(name)
+        return F.when(F.col(starts), earlier).otherwise(later) if kind == "prev" else _join(kind, earlier, later)
 
     return (
-        inside.join(carried, [*group, BLOCK], "left")
+        inside.join(carried, [*group, in_block], "left")
         .withColumns({name: whole(name, kind) for name, (kind, _) in folds.items()})
-        .drop(BLOCK, BLOCK_START, BLOCK_END, *[f"_in_{name}" for name in folds])
+        .drop(in_block, starts, ends, *carry)
     )
