@@ -67,7 +67,7 @@ LEADING_CHUNK_LIMIT = 20_000
 
 
 def strip(c: Column) -> Column:
-    """Trim all Unicode whitespace, as the reference does, not only spaces."""
+    """Trim all Unicode whitespace, not only spaces."""
     return F.btrim(c, F.lit(WS_CHARS))
 
 
