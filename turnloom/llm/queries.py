@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from turnloom.llm import simhash
+from turnloom.llm import lines, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,3 +26,39 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op6_simhash_near_duplicates(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op7_line_dedup(spark, folder):
+    kept = lines.drop_shared_lines(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ORACLES["op7_line_dedup"] = rf"""
+WITH l AS (
+    SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+k AS (
+    SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), '{UPPER}', '{LOWER}') AS key
+    FROM l),
+shared AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(s.key) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE s.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN shared s USING (key) GROUP BY doc_id
+"""
+
+
+@query
+def op2_best_fit_shards(spark, folder):
+    packed = sharding.pack(table(spark, folder, "documents"), shards=8)
+    return packed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query
+def op10_toxic_passages(spark, folder):
+    docs, held = table(spark, folder, "documents"), toxicity.held_out(5, 0)
+    model = toxicity.train(docs, table(spark, folder, "labels"), ~held)
+    return toxicity.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", F.col("toxic").cast("int").alias("predicted"), "passages"
+    )
