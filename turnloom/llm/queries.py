@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnloom.llm import lines, sharding, simhash, toxicity
+from turnloom.llm import lines, pieces, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,3 +62,11 @@ def op10_toxic_passages(spark, folder):
     return toxicity.score(docs, model).select(
         "doc_id", held.alias("held_out"), "score", F.col("toxic").cast("int").alias("predicted"), "passages"
     )
+
+
+@query
+def op3_sentencepiece(spark, folder):
+    ids = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"))
+    back = pieces.decode(ids)
+    same = pieces.round_trip(F.col("text"), F.col("decoded"))
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", same.alias("round_trip"))
