@@ -13,6 +13,7 @@ a space only at their start, so units are independent; runs of spaces, which sha
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
@@ -21,7 +22,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,6 +139,11 @@ def vocabulary_of(model: str) -> Vocabulary:
     return Vocabulary(model)
 
 
+def shipped(spark: SparkSession, model: str) -> Broadcast[bytes]:
+    """One model, a few MB, in a form that needs no installed package on the executors."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(vocabulary_of(model)))
+
+
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     """Positions in the order of the ``depth`` characters from there on, by prefix doubling."""
     n, step = len(codes), 1
@@ -302,13 +309,12 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str = M
     A null text has null ids, an empty one no ids. Whole texts are encoded, row by row, without a shuffle; a column named
     like ``ids`` is replaced, other columns, repeated rows and an empty table pass through. ``model`` is read on the driver.
     """
-    spark = docs.sparkSession
-    vocabulary = spark.sparkContext.broadcast(vocabulary_of(model))  # one model, a few MB
+    vocabulary = shipped(docs.sparkSession, model)
     kept = docs.drop(ids)
     schema = T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary.value)
+        encoder = Encoder(pickle.loads(vocabulary.value))
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             for a, b in in_steps(texts):
@@ -325,12 +331,12 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str = M
 def decode(docs: DataFrame, ids: str = "ids", text: str = "decoded", model: str = MODEL) -> DataFrame:
     """``docs`` with the text that the ids stand for; null ids give null, no ids an empty text, bytes that are no UTF-8
     U+FFFD, and a null id or one outside the vocabulary nothing. A text that has no U+2581 comes back as it was."""
-    vocabulary = docs.sparkSession.sparkContext.broadcast(vocabulary_of(model))
+    vocabulary = shipped(docs.sparkSession, model)
     size = vocabulary_of(model).size
 
     @F.pandas_udf("string")
     def join(lists: pd.Series) -> pd.Series:
-        table = vocabulary.value.table
+        table = pickle.loads(vocabulary.value).table
 
         def one(values) -> str | None:
             if values is None:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnloom.llm import lines, pieces, sharding, simhash, toxicity
+from turnloom.llm import decontaminate, lines, pieces, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,3 +70,8 @@ def op3_sentencepiece(spark, folder):
     back = pieces.decode(ids)
     same = pieces.round_trip(F.col("text"), F.col("decoded"))
     return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", same.alias("round_trip"))
+
+
+@query
+def op5_benchmark_leaks(spark, folder):
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
