@@ -2,9 +2,9 @@
 
 For a document and an item of n words:
 
-1. A window of n words can only be similar if it holds shingles of the item, so windows are laid where shingles of both
-   meet, aligned with the item, and only where enough of them lie inside for the similarity asked (both conditions
-   follow from the similarity, so nothing is lost).
+1. A window of n words can only be similar if it holds shingles of the item. Moved to its first such shingle (or, cut by the
+   start of the text, shortened to its last) it is no less similar, so windows are laid there only, and only where
+   enough shingles lie inside for the similarity asked. Nothing is lost by either condition.
 2. Windows and items get a 64-bit SimHash of their words. Items are indexed by ``radius + 1`` blocks of the fingerprint
    and their size; two fingerprints within the radius share a block, so a window finds every item within it.
 3. What is found is verified on the words themselves: the weighted Jaccard similarity of the five-word shingles, with
@@ -87,8 +87,8 @@ class Index:
             size = min(SHINGLE, len(tokens))
             self.sizes.append(size)
             self.prints.append(fingerprint(hashes))
-            for place, code in enumerate(shingle_codes(hashes, size).tolist()):
-                self.at[size, code].append((number, place))
+            for code in set(shingle_codes(hashes, size).tolist()):
+                self.at[size, code].append(number)
             for key in self.keys(len(tokens), self.prints[-1]):
                 self.blocks[key].append(number)
         self.masks = {}
@@ -103,17 +103,18 @@ class Index:
 
     def windows(self, hashes: np.ndarray) -> set[tuple[int, int]]:
         """``(start, item size)`` of the windows that hold enough shingles of some item of that size."""
-        met: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        met: dict[int, set[int]] = defaultdict(set)
         for size, mask in self.masks.items():
             codes = shingle_codes(hashes, size)
             for place in np.nonzero(mask[codes % np.uint64(FILTER)])[0].tolist():
-                for number, own in self.at.get((size, int(codes[place])), ()):
-                    met[number].append((place, place - own))
+                for number in self.at.get((size, int(codes[place])), ()):
+                    met[number].add(place)
         found = set()
-        for number, pairs in met.items():
+        for number, at in met.items():
             n, size = len(self.items[number][1]), self.sizes[number]
-            places = np.unique([p for p, _ in pairs])
-            starts = np.unique([s for _, s in pairs])
+            places = np.array(sorted(at))
+            cut = places + size - n
+            starts = np.concatenate([cut[cut < 0], places])
             inside = np.searchsorted(places, starts + n - size, side="right") - np.searchsorted(places, starts)
             found.update((s, n) for s in starts[inside >= self.least * (n - size + 1) - 1e-9].tolist())
         return found
