@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnloom.llm import decontaminate, lines, pieces, sharding, simhash, toxicity
+from turnloom.llm import decontaminate, lines, neighbours, pieces, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,3 +75,8 @@ def op3_sentencepiece(spark, folder):
 @query
 def op5_benchmark_leaks(spark, folder):
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op4_permutation_neighbours(spark, folder):
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
