@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnloom.llm import decontaminate, lines, neighbours, pieces, sharding, simhash, toxicity
+from turnloom.llm import chat, decontaminate, lines, neighbours, pieces, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,3 +80,24 @@ def op5_benchmark_leaks(spark, folder):
 @query
 def op4_permutation_neighbours(spark, folder):
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op8_maximal_chats(spark, folder):
+    return chat.format_chats(table(spark, folder, "conversations"))
+
+
+ORACLES["op8_maximal_chats"] = """
+WITH t AS (
+    SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos FROM t),
+c AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY pos) AS said FROM n GROUP BY conv_id),
+kept AS (
+    SELECT conv_id FROM c WHERE NOT EXISTS (
+        SELECT 1 FROM c AS o WHERE o.conv_id <> c.conv_id AND o.said[1] = c.said[1] AND o.said[1:len(c.said)] = c.said
+            AND (len(o.said) > len(c.said) OR o.conv_id < c.conv_id)))
+SELECT conv_id, (pos - 1) // 1024 AS part, count(*) AS n_turns,
+    string_agg('<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY pos) AS text
+FROM n WHERE conv_id IN (SELECT conv_id FROM kept) GROUP BY conv_id, part
+"""
