@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnloom.llm import chat, decontaminate, lines, neighbours, pieces, sharding, simhash, toxicity
+from turnloom.llm import chat, decontaminate, lines, neighbours, pieces, quality_rules, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -101,3 +101,11 @@ SELECT conv_id, (pos - 1) // 1024 AS part, count(*) AS n_turns,
     string_agg('<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY pos) AS text
 FROM n WHERE conv_id IN (SELECT conv_id FROM kept) GROUP BY conv_id, part
 """
+
+
+@query
+def op9_quality_rules(spark, folder):
+    docs, held = table(spark, folder, "documents"), toxicity.held_out(3, 1)
+    model = quality_rules.train(docs, table(spark, folder, "labels"), ~held)
+    scored = quality_rules.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held.alias("held_out"), "score", F.col("good").cast("int").alias("predicted"))
