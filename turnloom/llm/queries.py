@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnloom.llm import chat, decontaminate, lines, neighbours, pieces, quality_rules, sharding, simhash, toxicity
+from turnloom.llm import (
+    chat,
+    common,
+    decontaminate,
+    lines,
+    neighbours,
+    pieces,
+    quality_rules,
+    secret_scan,
+    sharding,
+    simhash,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,3 +121,15 @@ def op9_quality_rules(spark, folder):
     model = quality_rules.train(docs, table(spark, folder, "labels"), ~held)
     scored = quality_rules.score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", held.alias("held_out"), "score", F.col("good").cast("int").alias("predicted"))
+
+
+@query
+def op1_secret_findings(spark, folder):
+    """Findings are labelled by rule (the tables hold no reviewed ones); a fifth of the documents trains nothing."""
+    found = common.settle(secret_scan.candidates(table(spark, folder, "documents")))
+    held = toxicity.held_out(5, 0)
+    label = secret_scan.silver(F.col("assigned"), F.col("entropy"), F.col("length"))
+    forest = secret_scan.train(found.filter(~held).withColumn("label", label))
+    return secret_scan.score(found, forest).select(
+        "doc_id", "start", "length", held.alias("held_out"), label.cast("int").alias("label"), "score", "secret"
+    )
