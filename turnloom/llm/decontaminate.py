@@ -23,7 +23,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -139,6 +139,15 @@ class Index:
         ]
 
 
+def _search(shipped: Broadcast[bytes]) -> Column:
+    @F.pandas_udf(LEAKS)
+    def search(texts: pd.Series) -> pd.Series:
+        index = pickle.loads(shipped.value)
+        return pd.Series([index.leaks(t) for t in texts])
+
+    return search("text")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radius: int = RADIUS) -> Column:
     """Array of the benchmark items that a text of ``docs`` holds: item_id, similarity, first word and number of words of the
     best window.
@@ -158,12 +167,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radi
             cloudpickle.dumps(Index(sorted(map(tuple, own), key=lambda r: (r[0] is None, r)), least, radius))
         )
 
-        @F.pandas_udf(LEAKS)
-        def search(texts: pd.Series, shipped=shipped) -> pd.Series:
-            index = pickle.loads(shipped.value)
-            return pd.Series([index.leaks(t) for t in texts])
-
-        found.append(search("text"))
+        found.append(_search(shipped))
     return F.concat(*found) if found else F.array().cast(LEAKS)
 
 
