@@ -226,3 +226,106 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, leaf: int = LEAF) ->
     least = known.groupBy("component").agg(F.min("least").alias("component_id"))
     named = known.join(least, "component").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+# ---- near copies: the same shards and search, on keys that similar texts share, with an exact check of every link
+
+SIMILARITY = 0.8
+WORDS = 5
+KEYS = 8  # min-hashes: a pair at similarity 0.8 shares none of them in 0.2 ** 8 of cases
+WORD_RADIUS = 20  # of the SimHash of words, far above what texts at similarity 0.8 differ in
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(values: np.ndarray, seed: int) -> np.ndarray:
+    values = (values ^ np.uint64(seed * 0xD1B54A32D192ED03 % 2**64)) * _MIX
+    return values ^ values >> np.uint64(32)
+
+
+def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit codes of the ``size``-word shingles; fewer words are one shingle."""
+    parts = list(shingle_hashes(text, size))
+    return np.unique(np.concatenate(parts)) if parts else np.empty(0, dtype=np.uint64)
+
+
+@F.pandas_udf("fp long, keys array<long>")
+def signature(texts: pd.Series) -> pd.DataFrame:
+    """SimHash of a text's distinct words, and its min-hashes over five-word shingles."""
+    prints, keys = [], []
+    for text in texts:
+        words = set((text or "").encode().lower().split())
+        prints.append(majority(iter([np.array([xxhash.xxh64_intdigest(w, SEED) for w in words], dtype=np.uint64)])))
+        least = [np.uint64(2**64 - 1)] * KEYS
+        for part in shingle_hashes(text, WORDS):
+            least = [min(m, _mixed(part, t + 1).min()) for t, m in enumerate(least)]
+        keys.append([int(m.view(np.int64)) for m in least] if words else [])
+    return pd.DataFrame({"fp": pd.Series(prints, dtype="int64"), "keys": keys})
+
+
+@F.pandas_udf("array<long>")
+def shingle_sets(texts: pd.Series) -> pd.Series:
+    return pd.Series([shingle_set(t).view(np.int64) for t in texts])
+
+
+def alike(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
+    """Whether the Jaccard similarity of two arrays of distinct values is at least ``least``."""
+    if min(len(a), len(b)) < least * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= least * (len(a) + len(b) - both) - 1e-9
+
+
+def similar_links(docs: DataFrame, classes: DataFrame, least: float = SIMILARITY, leaf: int = LEAF) -> DataFrame:
+    """``a, b``: nodes of ``classes`` (``node, fp, keys``; one row a distinct text) whose texts are alike, enough to connect every group.
+
+    Only texts that share a min-hash with another one are looked at; their shingle sets travel to the shards.
+    """
+    shards = F.transform("keys", lambda key, t: F.xxhash64(t, key))
+    rows = classes.select("node", "fp", F.explode(F.array_distinct(shards)).alias("shard"))
+    live = rows.groupBy("shard").agg(F.count("*").alias("_n")).filter("_n > 1").select("shard")
+    rows = common.settle(rows.join(live, "shard", "left_semi"))
+    wanted = rows.select("node").distinct()
+    text = docs.select(_node(F.col("text")).alias("node"), "text").join(wanted, "node", "left_semi")
+    sets = common.one_row_each(text, [F.col("node")], [F.col("node")]).select("node", shingle_sets("text").alias("set"))
+    dealt = leaves(rows, WORD_RADIUS, leaf).join(sets, "node")
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in by_leaf(batches):
+            sets, node = part["set"].to_list(), part["node"].to_numpy()
+            a, b = link_rows(
+                part["leaf"].to_numpy(),
+                part["fp"].to_numpy().view(np.uint64),
+                WORD_RADIUS,
+                lambda i, j, sets=sets: alike(sets[i], sets[j], least),
+            )
+            yield pd.DataFrame({"a": node[a], "b": node[b]})
+
+    return in_leaves(dealt, "fp", "node", "set").mapInPandas(search, "a string, b string")
+
+
+def _node(text: Column) -> Column:
+    return F.concat_ws(":", *common.text_key(F.coalesce(text, F.lit(""))))
+
+
+def without_near_copies(docs: DataFrame, least: float = SIMILARITY, leaf: int = LEAF) -> DataFrame:
+    """``docs`` (``doc_id, text``, any other columns) with one document of each group of near copies: the smallest doc_id.
+
+    Texts are near copies when their sets of five-word shingles (A-Z lower-cased, words cut at white space; fewer words are one
+    shingle) have a Jaccard similarity of at least ``least``, and so is what a chain of such links connects. Equal texts are
+    copies whatever their words; null and empty texts are equal. A null doc_id comes last; of repeated rows one stays. An
+    empty table gives no rows.
+    """
+    sig = signature("text")
+    marked = docs.select(F.col("doc_id"), _node(F.col("text")).alias("node"), sig.alias("sig"))
+    marked = common.settle(marked.select("doc_id", "node", "sig.fp", "sig.keys"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "node")
+    classes = common.settle(
+        marked.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.min(order).alias("first"))
+    )
+    component = common.connected_components(similar_links(docs, classes.select("node", "fp", "keys"), least, leaf))
+    groups = classes.select("node", "first").join(component, "node", "left")
+    kept = groups.groupBy(F.coalesce("component", "node")).agg(F.min("first").alias("first"))
+    kept = common.settle(kept.select(F.xxhash64("first.doc_id").alias("_id"), F.col("first.node").alias("_node")))
+    marked = docs.withColumns({"_id": F.xxhash64("doc_id"), "_node": _node(F.col("text"))})
+    alone = marked.join(kept, ["_id", "_node"], "left_semi")
+    return common.one_row_each(alone, [F.col("_id"), F.col("_node")], [F.col("_id")]).drop("_id", "_node")

@@ -212,6 +212,16 @@ def train(
     return Model(scores, decay, draft.rate, float(fit.intercept), max(0.0, float(fit.coefficients[0])))
 
 
+def probability(model: Model, scanned: Column) -> Column:
+    worth = surprise(model, scanned["best"], scanned["n_words"])
+    return 1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * worth)))
+
+
+def is_toxic(model: Model) -> Column:
+    """Whether the column ``text`` has a score of at least 0.5; never null."""
+    return probability(model, scan(model.scores)) >= 0.5
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` (0 to 1), ``toxic`` (score at least 0.5) and ``passages``: start and end (characters) and score of
     every passage whose chance is below ``SIGNIFICANT``, in text order.
@@ -220,12 +230,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     replaced, others are kept, rows are neither dropped nor added.
     """
     s = F.col("_scan")
-    worth = surprise(model, s["best"], s["n_words"])
     least = F.log(F.lit(model.rate) * F.greatest(s["n_words"], F.lit(1)) / SIGNIFICANT) / model.decay
     found = docs.withColumn("_scan", scan(model.scores))
     found = found.withColumns(
         {
-            "score": 1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * worth))),
+            "score": probability(model, s),
             "passages": F.filter(s["passages"], lambda p: p["score"] >= least),
         }
     )
