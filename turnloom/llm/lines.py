@@ -6,6 +6,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnloom.llm import common
 
@@ -33,7 +34,7 @@ def line_keys(min_chars: int) -> Column:
     return keys("text")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def without_lines(texts: pd.Series, drops: pd.Series) -> pd.Series:
     """Texts without the lines numbered in ``drops``; null where there are none to drop."""
 

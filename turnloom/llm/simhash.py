@@ -23,6 +23,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnloom.llm import common
 
@@ -60,7 +61,7 @@ def majority(hashes: Iterator[np.ndarray]) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view(np.int64)[0])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def fingerprint(texts: pd.Series) -> pd.Series:
     """64-bit SimHash of 4-word shingles."""
     return pd.Series([majority(shingle_hashes(t)) for t in texts], dtype="int64")
@@ -248,7 +249,7 @@ def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
     return np.unique(np.concatenate(parts)) if parts else np.empty(0, dtype=np.uint64)
 
 
-@F.pandas_udf("fp long, keys array<long>")
+@F.pandas_udf(T.StructType().add("fp", T.LongType()).add("keys", T.ArrayType(T.LongType())))
 def signature(texts: pd.Series) -> pd.DataFrame:
     """SimHash of a text's distinct words, and its min-hashes over five-word shingles."""
     prints, keys = [], []
@@ -262,7 +263,7 @@ def signature(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"fp": pd.Series(prints, dtype="int64"), "keys": keys})
 
 
-@F.pandas_udf("array<long>")
+@F.pandas_udf(T.ArrayType(T.LongType()))
 def shingle_sets(texts: pd.Series) -> pd.Series:
     return pd.Series([shingle_set(t).view(np.int64) for t in texts])
 
