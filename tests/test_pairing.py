@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnloom.operators import dedup, ordered, pair, runlog
+from turnloom.plans import catalog
 
 ROLES = ["user", "assistant", "system", "Human", "gpt"]
 
@@ -38,7 +39,7 @@ def turns(spark, rows):
     return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").cache()
 
 
-PLANS = [{"span": 3}, {"span": 8}, {"span": 1000}, {"longest": 200}]
+PLANS = [{"span": 3}, {"span": 8}, {"span": 1000}]
 
 
 def got(df, *columns):
@@ -115,25 +116,40 @@ def test_history(turns, rows, plan):
         assert r.instruction == pair.CONTINUE_INSTRUCTION + (f"\n\nContext:\n{context}" if said else "")
 
 
-@pytest.mark.parametrize("plan", [{"span": 3}, {"span": 1000}])
-def test_long_history_is_kept_as_ranks(turns, rows, plan):
-    """Past the inline limit a pair stays, and its history is read from the ranked turns."""
+@pytest.mark.parametrize("block", [1, 2, 5])
+def test_history_in_blocks(turns, rows, block):
     want = history_of(rows)
-    made = {(r.conv_id, r.turn): r for r in pair.pair_history(turns, inline_turns=2, **plan).collect()}
+    made = {(r.conv_id, r.turn): r for r in pair.pair_history(turns, block=block).collect()}
+    assert {k: [tuple(h) for h in r.history] for k, r in made.items()} == {k: said for k, (_, _, said) in want.items()}
+
+
+@pytest.mark.parametrize("plan", [{"span": 3}, {"span": 1000}])
+def test_history_is_the_ranked_turns_before(turns, rows, plan):
     ranked = {}
     for r in sorted(pair.history_turns(turns, **plan).collect(), key=lambda r: (r.conv_id, r.rank)):
         ranked.setdefault(r.conv_id, []).append((r.role, r.text))
-    assert made.keys() == want.keys()
-    assert any(r.history is None for r in made.values())
-    for key, (_, _, said) in want.items():
-        assert ranked[key[0]][: made[key].history_len] == said
-        assert made[key].history is None or [tuple(h) for h in made[key].history] == said
-        assert (made[key].history is None) == (len(said) > 2)
+    for r in pair.pair_history(turns, **plan).collect():
+        assert ranked[r.conv_id][: r.history_len] == [tuple(h) for h in r.history]
+
+
+@pytest.mark.parametrize("block", [2, 256])
+def test_max_turns_keeps_the_latest(turns, rows, block):
+    want = history_of(rows)
+    for r in pair.pair_history(turns, max_turns=2, block=block).collect():
+        said = want[r.conv_id, r.turn][2]
+        assert [tuple(h) for h in r.history] == said[-2:] and r.history_len == len(said)
 
 
-def test_max_turns_keeps_the_latest(turns, rows):
-    for r in pair.pair_history(turns, max_turns=2, longest=200).collect():
-        assert [tuple(h) for h in r.history] == history_of(rows)[r.conv_id, r.turn][2][-2:]
+@pytest.mark.parametrize("latest", [None, 2])
+def test_a_long_conversation_keeps_its_history(spark, latest):
+    said = [(7, i, "user" if i % 2 == 0 else "assistant", f"t{i}") for i in range(700)]
+    made = pair.pair_history(spark.createDataFrame(said, "conv_id long, turn long, role string, text string"), latest)
+    rows = made.collect()
+    assert len(rows) == 350
+    for r in rows:
+        before = [x[2:] for x in said[: r.turn - 1]]
+        assert [tuple(h) for h in r.history] == (before if latest is None else before[-latest:])
+        assert ("Context:" in r.instruction) == bool(before)
 
 
 @pytest.mark.parametrize("scope", ["corpus", "conversation"])
@@ -190,7 +206,7 @@ def test_folds(turns, rows, plan):
 @pytest.mark.parametrize("span", [2, 3])
 def test_levels_agree(turns, span, levels):
     folds = {"total": ("sum", F.col("turn")), "seen": ("last", F.when(F.col("role") == "user", F.col("text"))), "before": ("prev", F.col("text"))}
-    plain = ordered.fold_before(turns, ["conv_id"], "turn", folds, longest=200)
+    plain = ordered.fold_before(turns, ["conv_id"], "turn", folds)
     made = ordered.fold_before(turns, ["conv_id"], "turn", folds, span=span, levels=levels)
     columns = ["conv_id", "turn", "total", "seen", "before"]
     assert made.columns == plain.columns
@@ -214,12 +230,18 @@ def test_one_conversation_is_spread(spark):
     assert df.selectExpr("turn div 100 AS b").distinct().count() == rows_at_second_level
 
 
-def test_checked_bound_takes_one_exchange(spark, data):
-    df = spark.read.parquet(f"{data}/conversations.parquet")
-    longest = ordered.longest_order(df, "turn")
-    assert longest < ordered.SPAN
-    plan = pair.pair_adjacent(df, longest=longest)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+def test_building_a_query_runs_no_job(spark, data):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    made = [
+        catalog.QUERIES[name](spark, data)
+        for name in ("pair_adjacent", "pair_history", "dedup_then_pair", "split_exact", "epoch_schedule", "kb_search")
+    ]
+    # reading a Parquet schema is a job; the rest builds plans
+    assert len(tracker.getJobIdsForGroup("building")) <= 2 * len(made)
+    spark.sparkContext.setJobGroup("rest", "rest")
+    plan = made[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(conv_id#") >= 1
 
 
 def test_runlog_windows_with_gaps(spark):

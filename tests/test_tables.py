@@ -31,10 +31,15 @@ def test_split_hash_is_close_and_shuffles_nothing(spark):
 
 
 def test_epoch_schedule(spark):
-    made = [tuple(r) for r in split.epoch_schedule(spark.range(3), ["id"], 8).orderBy("step").collect()]
+    made = [tuple(r) for r in split.epoch_schedule(spark.range(3), ["id"], max_steps=8).orderBy("step").collect()]
     assert made == [(i + 1, i // 3 + 1, i % 3) for i in range(8)]
-    short = split.epoch_schedule(spark.range(10), ["id"], 4).orderBy("step").collect()
+    short = split.epoch_schedule(spark.range(10), ["id"], max_steps=4).orderBy("step").collect()
     assert [(r.step, r.epoch, r.id) for r in short] == [(1, 1, 0), (2, 1, 1), (3, 1, 2), (4, 1, 3)]
+    many = [(c, t) for c in range(7) for t in range(0, 40, c + 1)]
+    pairs = spark.createDataFrame(many, "c long, t long")
+    made = split.epoch_schedule(pairs, ["c", "t"], epochs=1.5, span=3).orderBy("step").collect()
+    want = (many + many)[: int(1.5 * len(many))]
+    assert [(r.step, r.epoch, r.c, r.t) for r in made] == [(i + 1, i // len(many) + 1, *k) for i, k in enumerate(want)]
 
 
 def test_augmentation_is_reproducible_and_small(spark, data):
@@ -57,7 +62,7 @@ def test_kb_search_against_a_loop(spark):
     df = {w: sum(w in ws for ws in words.values()) for ws in words.values() for w in ws}
     want = []
     for q, text in asks:
-        keys = sorted({w for w in re.findall(r"\w+", text.lower()) if w in df}, key=lambda w: (df[w], w))[:3]
+        keys = {w for w in re.findall(r"\w+", text.lower()) if w in df and 2 * df[w] < len(docs)}
         scores = {}
         for d, ws in words.items():
             hit = [w for w in keys if w in ws]
@@ -70,6 +75,27 @@ def test_kb_search_against_a_loop(spark):
     assert context[12] == "" and context[10].startswith("文档：")
 
 
+def test_a_question_of_many_words_uses_them_all(spark):
+    docs = [(d, "", f"w{d} w{d + 1} common") for d in range(12)]
+    kb = spark.createDataFrame(docs, "doc_id long, title string, content string")
+    qs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(20)) + " common")], "question_id long, question string")
+    assert {r.doc_id for r in retrieve.kb_search(qs, kb, k=12).collect()} == set(range(12))
+    assert retrieve.kb_search(spark.createDataFrame([(1, "common")], qs.schema), kb).count() == 0
+
+
+def test_a_hot_word_is_dealt_out(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kb = spark.createDataFrame([(1, "a", "b")], "doc_id long, title string, content string")
+        qs = spark.createDataFrame([(1, "a")], "question_id long, question string")
+        plan = retrieve.kb_search(qs, kb)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"Exchange hashpartitioning\(word#\d+, salt#\d+", plan)
+    assert re.search(r"Exchange hashpartitioning\(question_id#\d+L, doc_id#\d+L", plan)
+
+
 def test_statistics(spark):
     rows = [(1, 0, "user", "aaaaa"), (1, 1, "assistant", "bb\nbb"), (2, 0, "user", "é")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
@@ -164,9 +190,9 @@ def test_json_walk_is_planned_once(spark, data):
 
 
 def test_only_the_lcs_score_uses_python(spark, data):
-    import __spark_entry__ as entry
+    from turnloom.plans.catalog import QUERIES
 
-    for name, query in entry.queries().items():
+    for name, query in QUERIES.items():
         plan = query(spark, data)._jdf.queryExecution().optimizedPlan().toString()
         uses = "EvalPython" in plan or "MapInPandas" in plan
         assert uses == (name in {"score_lcs", "score_text_loss", "eval_mean_loss", "eval_mean_loss_first"}), name

@@ -193,6 +193,9 @@ def test_verdicts(spark):
 def test_gates(spark):
     assert many(spark, ["", "!!", "你好 ab", "你 abc"], script.passes_gate) == [False, True, True, False]
     assert many(spark, ["", "(abc)", "你好é", "éé你"], script.is_mostly_script) == [True, True, True, False]
+    # the run "a" takes its letter out of "cat" too, which leaves two Latin letters for two Han ones
+    assert many(spark, ["a你cat好", "ab你aabb你ab1"], script.is_mostly_script) == [False, True]
+    assert many(spark, ["a你cat好"], lambda c: script.is_mostly_script(c, legacy=False)) == [True]
 
 
 def test_best_of_n_matches_a_loop(spark):

@@ -43,10 +43,31 @@ def script_chars(c: Column, script: str = HAN) -> Column:
     return F.length(F.regexp_replace(c, f"[^{script}]+", ""))
 
 
-def is_mostly_script(c: Column, script: str = HAN_ALL) -> Column:
-    """Share of script characters over one half, Latin terms not counted; empty text passes."""
+def without_latin_runs(c: Column) -> Column:
+    """The characters left (other ones first) when Latin runs are taken out one after another, each wherever it then stands in the
+    text: the letters of a short run also go from the longer runs after it.
+
+    Runs never grow together, so equal runs always look alike and each different run is worked on once.
+    """
+
+    def counted(runs: Column, kinds: Column) -> Column:
+        left = F.aggregate(runs, F.array_join(kinds, " "), lambda rest, run: F.replace(rest, run, F.lit("")))
+        often = lambda kind: F.size(F.filter(runs, lambda run: run == kind))
+        return F.zip_with(F.split(left, " "), kinds, lambda rest, kind: F.when(rest != "", F.repeat(rest, often(kind))))
+
+    runs = F.regexp_extract_all(c, F.lit("[A-Za-z]+"), F.lit(0))
+    letters = let(runs, lambda r: let(F.array_distinct(r), lambda kinds: F.array_join(counted(r, kinds), "")))
+    return F.concat(F.regexp_replace(c, "[A-Za-z]+", ""), letters)
+
+
+def is_mostly_script(c: Column, script: str = HAN_ALL, legacy: bool = True) -> Column:
+    """Share of script characters over one half, Latin terms not counted; empty text passes.
+
+    ``legacy=False`` takes out exactly the Latin letters, whatever other runs the text has.
+    """
+    bare = content_chars(c)
     return let(
-        F.regexp_replace(content_chars(c), "[A-Za-z]+", ""),
+        let(bare, without_latin_runs) if legacy else F.regexp_replace(bare, "[A-Za-z]+", ""),
         lambda rest: (F.length(rest) == 0) | (script_chars(rest, script) > MOSTLY_SHARE * F.length(rest)),
     )
 

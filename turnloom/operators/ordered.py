@@ -7,8 +7,8 @@ of the table that task never ends, so the group is cut into blocks of ``span`` o
 2. the last row of every block, one row per block, is folded over the blocks of the group, again in blocks;
 3. the carried value is joined back by (group, block), on the partitioning the first window already has.
 
-With two levels the only window over a whole group sees one short row per ``span * span`` order values.
-When the caller has checked that no group reaches ``span`` rows (``longest``), one window does it all.
+With two levels the only window over a whole group sees one short row per ``span * span`` order values. There is one plan
+for groups of any size; where no group has a second block, nothing is carried.
 """
 
 from __future__ import annotations
@@ -25,14 +25,6 @@ SPAN = 16_384
 LEVELS = 2
 
 
-def longest_order(df: DataFrame, order: str) -> int:
-    """Largest order value: a bound on rows per group when order values are unique and not negative.
-
-    A one-column aggregate (file statistics on Parquet), run eagerly before choosing the plan.
-    """
-    return df.agg(F.max(order)).first()[0] or 0
-
-
 def _over(kind: str, value: Column, window: WindowSpec) -> Column:
     before = window.rowsBetween(Window.unboundedPreceding, -1)
     if kind == "prev":
@@ -56,7 +48,6 @@ def fold_before(
     order: str,
     folds: dict[str, tuple[str, Column]],
     span: int = SPAN,
-    longest: int | None = None,
     levels: int = LEVELS,
 ) -> DataFrame:
     """Add, per name, a fold over the earlier rows of the group: ``prev`` (the row before), ``last`` non-null, ``sum``,
@@ -64,17 +55,9 @@ def fold_before(
 
     ``order`` must be an integer column, unique in its group. NULL where no earlier row counts. Rows without a group
     or order value have no place in any group and are left out.
-
-    A window argument that is an expression is worked out below the window's shuffle and travels beside its inputs.
-    ``prev`` is for plain columns, which travel once; a ``last`` expression is worked out after an explicit shuffle.
     """
     group = list(group)
     df = df.filter(reduce(and_, [F.col(c).isNotNull() for c in [*group, order]]))
-    if longest is not None and longest < span:
-        window = Window.partitionBy(*group).orderBy(order)
-        if any(kind == "last" for kind, _ in folds.values()):
-            df = df.repartition(*group)
-        return df.withColumns({name: _over(kind, value, window) for name, (kind, value) in folds.items()})
 
     in_block, starts, ends = f"_block{levels}", f"_starts{levels}", f"_ends{levels}"
     # both branches below read this one shuffle; a block that could be NULL would get a filter on one side only
@@ -93,7 +76,7 @@ def fold_before(
     carry = {f"_in{levels}_{name}": (kind, F.col(f"_at_{name}")) for name, (kind, _) in folds.items()}
     tails = inside.filter(ends).select(*group, in_block, *[value.alias(f"_at_{name}") for name, value in at_end.items()])
     if levels > 1:
-        carried = fold_before(tails, group, in_block, carry, span, levels=levels - 1)
+        carried = fold_before(tails, group, in_block, carry, span, levels - 1)
     else:
         blocks = Window.partitionBy(*group).orderBy(in_block)
         carried = tails.withColumns({name: _over(kind, value, blocks) for name, (kind, value) in carry.items()})

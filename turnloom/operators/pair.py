@@ -1,12 +1,12 @@
 """Turns to instruction rows.
 
 Input: ``conv_id, turn, role, text``. All rules are folds over earlier turns, so one very long conversation
-is spread over many tasks (see ``ordered``). ``longest`` is the checked bound of ``longest_order``.
+is spread over many tasks (see ``ordered``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.operators.ordered import SPAN, fold_before
@@ -22,7 +22,7 @@ CONTINUE_INSTRUCTION = "You are a helpful AI assistant. Continue the conversatio
 ANSWER_INSTRUCTION = "You are a helpful AI assistant."
 CONTEXT_INTRO = "\n\nContext:\n"
 
-INLINE_TURNS = 256
+HISTORY_BLOCK = 256
 
 
 def normalize_role(role: Column) -> Column:
@@ -31,18 +31,18 @@ def normalize_role(role: Column) -> Column:
     return F.when(low.isin(*USER_ALIASES), "user").when(low.isin(*ASSISTANT_ALIASES), "assistant").otherwise(role)
 
 
-def _previous(turns: DataFrame, span: int, longest: int | None) -> DataFrame:
+def _previous(turns: DataFrame, span: int) -> DataFrame:
     """Add the turn before: ``prev_turn``, ``prev_role``, ``prev_text``."""
-    return fold_before(turns, [CONV], TURN, _before_row(), span, longest)
+    return fold_before(turns, [CONV], TURN, _before_row(), span)
 
 
 def _before_row() -> dict[str, tuple[str, Column]]:
     return {f"prev_{c}": ("prev", F.col(c)) for c in (TURN, "role", "text")}
 
 
-def pair_adjacent(turns: DataFrame, span: int = SPAN, longest: int | None = None) -> DataFrame:
+def pair_adjacent(turns: DataFrame, span: int = SPAN) -> DataFrame:
     """A user turn directly followed by an assistant turn. Keyed by the user turn."""
-    rows = _previous(turns, span, longest)
+    rows = _previous(turns, span)
     return rows.filter((F.col("role") == "assistant") & (F.col("prev_role") == "user")).select(
         CONV,
         F.col("prev_turn").alias(TURN),
@@ -52,12 +52,12 @@ def pair_adjacent(turns: DataFrame, span: int = SPAN, longest: int | None = None
     )
 
 
-def pair_stats(turns: DataFrame, span: int = SPAN, longest: int | None = None) -> DataFrame:
+def pair_stats(turns: DataFrame, span: int = SPAN) -> DataFrame:
     """Messages, pairs and unpaired scan steps of the adjacent rule, over the whole table.
 
     A scan step that forms no pair is a row that has a successor and belongs to no pair.
     """
-    rows = _previous(turns.withColumn("text", F.lit("")), span, longest)
+    rows = _previous(turns.withColumn("text", F.lit("")), span)
     closes = F.coalesce((F.col("role") == "assistant") & (F.col("prev_role") == "user"), F.lit(False))
     per_conv = (
         rows.withColumn("closes", closes)
@@ -76,11 +76,11 @@ def pair_stats(turns: DataFrame, span: int = SPAN, longest: int | None = None) -
     )
 
 
-def pair_carry_forward(turns: DataFrame, span: int = SPAN, longest: int | None = None) -> DataFrame:
+def pair_carry_forward(turns: DataFrame, span: int = SPAN) -> DataFrame:
     """Each assistant turn with the latest user turn anywhere before it; the user turn is not used up."""
     low = F.lower("role")
     asked = F.when(low.isin(*CARRY_USER_ALIASES), F.col("text"))
-    rows = fold_before(turns, [CONV], TURN, {"asked": ("last", asked)}, span, longest)
+    rows = fold_before(turns, [CONV], TURN, {"asked": ("last", asked)}, span)
     return rows.filter(low.isin(*CARRY_ASSISTANT_ALIASES) & F.col("asked").isNotNull()).select(
         CONV,
         TURN,
@@ -91,10 +91,10 @@ def pair_carry_forward(turns: DataFrame, span: int = SPAN, longest: int | None =
 
 
 def pair_outer(
-    turns: DataFrame, source: Column | None = None, span: int = SPAN, longest: int | None = None
+    turns: DataFrame, source: Column | None = None, span: int = SPAN
 ) -> DataFrame:
     """Every assistant turn; input is the directly preceding user turn, else empty."""
-    rows = _previous(turns, span, longest)
+    rows = _previous(turns, span)
     return rows.filter(F.col("role") == "assistant").select(
         CONV,
         TURN,
@@ -111,41 +111,42 @@ def survivors(turns: DataFrame) -> DataFrame:
 
 
 def pair_history(
-    turns: DataFrame,
-    max_turns: int | None = None,
-    inline_turns: int = INLINE_TURNS,
-    span: int = SPAN,
-    longest: int | None = None,
+    turns: DataFrame, max_turns: int | None = None, span: int = SPAN, block: int = HISTORY_BLOCK
 ) -> DataFrame:
     """Assistant turns after a user turn, with everything said before as history and as instruction context.
 
-    A history grows with the square of the conversation. ``history_len`` says how many surviving turns precede
-    the pair, so the history is exactly the survivors of rank below it. It is written out up to ``inline_turns``
-    turns; longer rows keep their pair with a NULL ``history`` and are read from ``history_turns``.
-    ``max_turns`` keeps only the latest turns of every history.
+    ``history_len`` says how many surviving turns precede the pair; the history holds all of them, or with ``max_turns`` the
+    latest so many, whatever the length of the conversation. Written-out histories grow with the square of a
+    conversation, so they are put together by (conversation, block): the turns of a block are gathered once, each pair
+    asks for the blocks it needs, and only a pair's own history meets in one row. ``history_turns`` is the linear form.
     """
-    kept = survivors(turns)
     ranked = fold_before(
-        kept, [CONV], TURN, _before_row() | {"rank": ("sum", F.lit(1).cast("bigint"))}, span, longest
+        survivors(turns), [CONV], TURN, _before_row() | {"rank": ("sum", F.lit(1).cast("bigint"))}, span
     ).withColumn("rank", F.coalesce("rank", F.lit(0)))
-
-    short = longest is not None and longest < inline_turns
-    head = ranked if short else ranked.filter(F.col("rank") <= inline_turns + 1)
-    first = Window.unboundedPreceding if max_turns is None else -1 - max_turns
-    said = Window.partitionBy(CONV).orderBy(TURN).rowsBetween(first, -2)
-    entry = F.struct(F.col("role"), F.col("text").alias("content"))
-    inline = head.withColumn("history", F.collect_list(entry).over(said))
-    pairs = _history_pairs(inline)
-    if short:
-        return pairs
-    rest = ranked.filter(F.col("rank") > inline_turns + 1)
-    return pairs.unionByName(_history_pairs(rest.withColumn("history", F.lit(None).cast(inline.schema["history"].dataType))))
+    entry = F.struct("rank", F.struct(F.col("role"), F.col("text").alias("content")).alias("said"))
+    in_block = F.expr(f"rank div {block}")
+    blocks = ranked.groupBy(CONV, in_block.alias("_block")).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
+
+    pairs = ranked.filter((F.col("role") == "assistant") & (F.col("prev_role") == "user"))
+    upto = F.col("rank") - 1
+    first = F.lit(0).cast("bigint") if max_turns is None else F.greatest(upto - max_turns, F.lit(0))
+    asked = pairs.select(CONV, TURN, upto.alias("_upto"), first.alias("_from")).filter("_upto > _from")
+    asked = asked.withColumn("_block", F.explode(F.expr(f"sequence(_from div {block}, (_upto - 1) div {block})")))
+    within = F.filter("_entries", lambda e: (e["rank"] >= F.col("_from")) & (e["rank"] < F.col("_upto")))
+    said = (
+        asked.join(blocks, [CONV, "_block"])
+        .select(CONV, TURN, F.struct("_block", F.transform(within, lambda e: e["said"]).alias("said")).alias("_part"))
+        .groupBy(CONV, TURN)
+        .agg(F.flatten(F.transform(F.sort_array(F.collect_list("_part")), lambda p: p["said"])).alias("history"))
+    )
+    return _history_pairs(pairs.join(said, [CONV, TURN], "left"))
 
 
 def _history_pairs(rows: DataFrame) -> DataFrame:
+    history = F.coalesce("history", F.array().cast("array<struct<role:string,content:string>>"))
     said = F.transform("history", lambda h: F.concat(h["role"], F.lit(": "), h["content"], F.lit("\n")))
     context = F.when(F.size("history") > 0, F.concat(F.lit(CONTEXT_INTRO), F.array_join(said, ""))).otherwise("")
-    return rows.filter((F.col("role") == "assistant") & (F.col("prev_role") == "user")).select(
+    return rows.withColumn("history", history).select(
         CONV,
         TURN,
         F.concat(F.lit(CONTINUE_INSTRUCTION), context).alias("instruction"),
@@ -156,10 +157,10 @@ def _history_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
-def history_turns(turns: DataFrame, span: int = SPAN, longest: int | None = None) -> DataFrame:
+def history_turns(turns: DataFrame, span: int = SPAN) -> DataFrame:
     """Surviving turns with their rank: the history of a pair is the rows of rank below its ``history_len``.
 
-    Linear in the input, unlike written-out histories; this is how long conversations are kept exactly.
+    Linear in the input, unlike written-out histories.
     """
     ranked = fold_before(
         survivors(turns), [CONV], TURN, {"rank": ("sum", F.lit(1).cast("bigint"))}, span, longest

@@ -46,31 +46,32 @@ def best_of_n(
     """One answer a prompt: ``prompt_id, attempt, score, answer``.
 
     Attempts are taken in order; a strictly better one replaces the best so far, and a good one that does so ends the
-    search. Attempts become columns by a partial aggregate (one row a prompt), so there is no per-prompt sort.
-    A prompt without a valid attempt gets the fallback, with a NULL attempt.
+    search. The choice is made on numbers alone, which become columns of one row a prompt by a hash aggregate; then the
+    one text that was chosen is fetched by its key. (prompt_id, attempt) is unique. A prompt without a valid attempt gets the fallback, with a NULL attempt.
     """
-    one = F.struct("attempt", "score", "share", "sentences", "answer")
+    numbers = ("score", "share", "sentences")
     slots = [
-        F.max_by(F.when(F.col("score").isNotNull(), one), F.when(F.col("attempt") == k, F.col("score"))).alias(f"_{k}")
+        F.max(F.when((F.col("attempt") == k) & F.col("score").isNotNull(), F.col(n))).alias(f"_{n}{k}")
         for k in range(1, max_attempts + 1)
+        for n in numbers
     ]
-    tried = (
-        score_candidates(candidates.filter(F.col("attempt").between(1, max_attempts)), script)
-        .groupBy("prompt_id")
-        .agg(*slots)
-    )
+    tried = candidates.filter(F.col("attempt").between(1, max_attempts))
+    scored = score_candidates(tried, script).groupBy("prompt_id").agg(*slots)
 
     def better(state: Column, k: int) -> Column:
-        new = F.col(f"_{k}")
-        improves = new.isNotNull() & ~state["done"] & (new["score"] > F.coalesce(state["best"]["score"], F.lit(0.0)))
-        good = (new["share"] > EARLY_SHARE) & (new["sentences"] >= EARLY_SENTENCES)
-        return F.when(improves, F.struct(new.alias("best"), good.alias("done"))).otherwise(state)
+        score = F.col(f"_score{k}")
+        improves = score.isNotNull() & ~state["done"] & (score > F.coalesce(state["score"], F.lit(0.0)))
+        good = (F.col(f"_share{k}") > EARLY_SHARE) & (F.col(f"_sentences{k}") >= EARLY_SENTENCES)
+        return F.when(improves, F.struct(F.lit(k).alias("attempt"), score.alias("score"), good.alias("done"))).otherwise(state)
 
-    start = F.struct(F.when(F.lit(False), F.col("_1")).alias("best"), F.lit(False).alias("done"))
-    chosen = tried.select("prompt_id", reduce(better, range(1, max_attempts + 1), start)["best"].alias("best"))
-    return prompts.select("prompt_id").join(chosen, "prompt_id", "left").select(
+    start = F.struct(F.lit(None).cast("int").alias("attempt"), F.lit(None).cast("double").alias("score"), F.lit(False).alias("done"))
+    chosen = scored.select("prompt_id", reduce(better, range(1, max_attempts + 1), start).alias("best"))
+    chosen = chosen.select("prompt_id", "best.attempt", "best.score").filter("attempt is not null")
+    text = tried.select("prompt_id", "attempt", "text").join(chosen, ["prompt_id", "attempt"])
+    best = text.withColumn("answer", S.filter_answer(T.strip(F.col("text")), script))
+    return prompts.select("prompt_id").join(best, "prompt_id", "left").select(
         "prompt_id",
-        F.col("best.attempt").alias("attempt"),
-        F.round("best.score", 6).alias("score"),
-        F.coalesce("best.answer", F.lit(FALLBACK_ANSWER)).alias("answer"),
+        "attempt",
+        F.round("score", 6).alias("score"),
+        F.coalesce("answer", F.lit(FALLBACK_ANSWER)).alias("answer"),
     )

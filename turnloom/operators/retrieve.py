@@ -1,8 +1,8 @@
 """Knowledge documents for questions.
 
-Ranking: a question is searched by its rarest words that occur in the collection (``KEY_TERMS`` of them, least
-document frequency first); a document scores the sum of (1 + ln tf) * ln(1 + N / df) over the key words it holds.
-Work follows the key words: stop words are never joined, no question is compared with every document.
+Ranking: a document scores the sum, over all words of a question that it holds, of (1 + ln tf) times the word's weight.
+A word weighs ln(1 + N / df), and nothing when at least half the documents hold it, so leaving such words out
+changes no score and no question meets every document by way of a stop word.
 """
 
 from __future__ import annotations
@@ -14,49 +14,41 @@ from turnloom.functions import prompts
 from turnloom.functions import text as T
 
 WORD = r"[\p{L}\p{N}]+"
-KEY_TERMS = 3
+SALTS = 32
 
 
 def words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(WORD), F.lit(0))
 
 
-def _searched(docs: DataFrame) -> Column:
-    return words(F.concat_ws("\n", "title", "content"))
+def postings(docs: DataFrame) -> DataFrame:
+    """``doc_id, word, tf``: a document's words stand in one task, so they are counted before they are shuffled."""
+    searched = words(F.concat_ws("\n", "title", "content"))
+    return docs.select("doc_id", F.explode(searched).alias("word")).groupBy("doc_id", "word").agg(F.count("*").alias("tf"))
 
 
-def key_terms(questions: DataFrame, docs: DataFrame, terms: int = KEY_TERMS) -> DataFrame:
-    """``question_id, word, df``: the rarest words of every question that occur in the collection."""
+def word_weights(questions: DataFrame, docs: DataFrame, held: DataFrame) -> DataFrame:
+    """``question_id, word, weight``: the words of every question that weigh something."""
+    total = docs.agg(F.count("*").alias("n")).scalar()
+    df = held.groupBy("word").agg(F.count("*").alias("df")).filter(F.col("df") * 2 < total)
     asked = questions.select("question_id", F.explode(F.array_distinct(words(F.col("question")))).alias("word"))
-    df = (
-        docs.select(F.explode(F.array_distinct(_searched(docs))).alias("word"))
-        .join(asked.select("word").distinct(), "word", "left_semi")
-        .groupBy("word")
-        .agg(F.count("*").alias("df"))
-    )
-    rarest = Window.partitionBy("question_id").orderBy("df", "word")
-    return (
-        asked.join(df, "word")
-        .withColumn("_rank", F.row_number().over(rarest))
-        .filter(F.col("_rank") <= terms)
-        .drop("_rank")
-    )
+    return asked.join(df, "word").select("question_id", "word", F.log(1 + total / F.col("df")).alias("weight"))
 
 
-def kb_search(questions: DataFrame, docs: DataFrame, k: int = 3, terms: int = KEY_TERMS) -> DataFrame:
+def kb_search(questions: DataFrame, docs: DataFrame, k: int = 3) -> DataFrame:
     """``question_id, rank, doc_id, score``: the best ``k`` documents of every question, ties by ``doc_id``.
 
-    Counts are combined on the map side (a document's words sit in one task), and each task passes on only its own
-    best ``k`` rows a question, so a word that many documents share does not load one task.
+    The documents of a word are dealt out over ``SALTS`` parts that all meet the questions with the word, scores are summed on the
+    way to (question, document), and each task passes on only its own best ``k`` rows a question.
     """
-    total = docs.agg(F.count("*").alias("n")).scalar()
+    held = postings(docs)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    weights = word_weights(questions, docs, held).withColumn("salt", salts)
+    dealt = held.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     scored = (
-        docs.select("doc_id", F.explode(_searched(docs)).alias("word"))
-        .join(key_terms(questions, docs, terms), "word")
-        .groupBy("question_id", "doc_id", "word", "df")
-        .agg(F.count("*").alias("tf"))
+        dealt.join(weights, ["word", "salt"])
         .groupBy("question_id", "doc_id")
-        .agg(F.sum((1 + F.log(F.col("tf"))) * F.log(1 + total / F.col("df"))).alias("score"))
+        .agg(F.sum((1 + F.log(F.col("tf"))) * F.col("weight")).alias("score"))
         .withColumn("score", F.round("score", 6))
     )
     best = Window.partitionBy("question_id").orderBy(F.desc("score"), "doc_id")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnloom.functions import text as T
+from turnloom.operators.ordered import SPAN, fold_before
 
 # Shares and augmentation material.
 TRAIN_SHARE = 0.8
@@ -47,37 +48,31 @@ def split_hash(df: DataFrame, keys: Sequence[str], share: float = TRAIN_SHARE, s
 def split_exact(df: DataFrame, keys: Sequence[str], share: float = TRAIN_SHARE, seed: str = "0") -> DataFrame:
     """Add ``part``: exactly floor(share * n) rows are ``train``, taken in hash order; ``keys`` are unique.
 
-    No global sort. Rows are counted by the first hash digits (65,536 buckets); the cut falls into one bucket, only
-    that bucket is ranked, and every other row knows its part from its digits.
+    The cut is one (hash, keys) value, found from the key columns alone: rows are counted by the first hash digits (65,536
+    buckets), the cut falls into one bucket, and only that bucket's keys are ranked. Then every row is compared with it.
     """
-    hashed = df.withColumn("_hash", row_hash(seed, "split", keys)).withColumn("_bucket", F.left("_hash", F.lit(4)))
+    place = F.struct(row_hash(seed, "split", keys).alias("_hash"), *keys)
+    hashed = df.select(place.alias("_place"), F.left(row_hash(seed, "split", keys), F.lit(4)).alias("_bucket"))
     counts = hashed.groupBy("_bucket").agg(F.count("*").alias("_n"))
     running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.partitionBy()
-    quota = F.floor(F.sum("_n").over(everything) * F.lit(share))
+    quota = F.floor(F.sum("_n").over(Window.partitionBy()) * F.lit(share))
     # at most 65,536 rows from here on, whatever the input
     cut = (
         counts.select("_bucket", "_n", F.sum("_n").over(running).alias("_upto"), quota.alias("_quota"))
-        .filter(F.col("_upto") > F.col("_quota"))
-        .agg(F.min_by(F.struct("_bucket", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_take")), "_bucket").alias("c"))
-        .select("c.*")
+        .filter((F.col("_upto") >= F.col("_quota")) & (F.col("_quota") > 0))
+        .select(F.col("_bucket").alias("_at"), (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_take"))
+        .orderBy("_at")
+        .limit(1)
     )
-    cut_bucket = cut.select("_bucket").scalar()
-    take = cut.select("_take").scalar()
-    # no bucket is cut when the quota is everything
-    decided = (
-        hashed.withColumn("_cut", F.coalesce(cut_bucket, F.lit("g")))
-        .filter(F.col("_bucket") != F.col("_cut"))
-        .withColumn("part", F.when(F.col("_bucket") < F.col("_cut"), "train").otherwise("val"))
-    )
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", *keys))
-    at_cut = (
-        hashed.filter(F.col("_bucket") == cut_bucket)
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_place"))
+    last = (
+        hashed.join(F.broadcast(cut), F.col("_bucket") == F.col("_at"))  # one row
         .withColumn("_rank", rank)
-        .withColumn("part", F.when(F.col("_rank") <= take, "train").otherwise("val"))
+        .filter(F.col("_rank") == F.col("_take"))
+        .select("_place")
+        .scalar()
     )
-    out = [*df.columns, "part"]
-    return decided.select(out).unionByName(at_cut.select(out))
+    return df.withColumn("part", F.when(F.coalesce(place <= last, F.lit(False)), "train").otherwise("val"))
 
 
 def augment_punctuation(df: DataFrame, keys: Sequence[str], text: str = "text", seed: str = "0") -> DataFrame:
@@ -107,18 +102,30 @@ def augment_persona(df: DataFrame, keys: Sequence[str], text: str = "text", seed
     )
 
 
-def epoch_schedule(df: DataFrame, keys: Sequence[str], max_steps: int) -> DataFrame:
-    """``step, epoch, keys``: the rows in key order, repeated until ``max_steps`` steps are reached.
+def epoch_schedule(
+    df: DataFrame, keys: Sequence[str], epochs: float = 1.0, max_steps: int | None = None, span: int = SPAN
+) -> DataFrame:
+    """``step, epoch, keys``: the rows in key order, repeated for ``epochs`` passes or until ``max_steps`` steps are reached.
 
-    A schedule has ``max_steps`` rows at most, so only that many rows are ever ordered.
+    ``keys`` are one or two integer columns, unique together. A row's step is how many rows come before it: those of smaller
+    first keys, from the counts of the first keys, and those of its own; both are folded in blocks.
     """
-    head = df.select(*keys).orderBy(*keys).limit(max_steps)
+    *groups, order = keys
+    one = {"_in": ("sum", F.lit(1).cast("bigint"))}
+    everything = F.lit(0).alias("_all")
     total = df.agg(F.count("*").alias("n")).scalar()
-    ranked = head.withColumn("_rank", F.row_number().over(Window.orderBy(*keys))).withColumn("_n", total)
-    epochs = F.sequence(F.lit(0).cast("bigint"), F.expr(f"{max_steps} div _n"))
+    if groups:
+        sizes = df.groupBy(*groups).agg(F.count("*").alias("_size")).select("*", everything)
+        starts = fold_before(sizes, ["_all"], groups[0], {"_start": ("sum", F.col("_size"))}, span)
+        ranked = fold_before(df.select(*keys), groups, order, one, span).join(starts.select(*groups, "_start"), groups)
+    else:
+        ranked = fold_before(df.select(*keys, everything), ["_all"], order, one, span).withColumn("_start", F.lit(0))
+    steps = F.floor(F.lit(epochs) * F.col("_n")) if max_steps is None else F.lit(max_steps).cast("bigint")
+    ranked = ranked.withColumn("_n", total).withColumn("_steps", steps)
+    rank = F.coalesce("_start", F.lit(0)) + F.coalesce("_in", F.lit(0)) + 1
     return (
-        ranked.withColumn("epoch", F.explode(epochs))
-        .withColumn("step", F.col("epoch") * F.col("_n") + F.col("_rank"))
-        .filter(F.col("step") <= max_steps)
-        .select("step", (F.col("epoch") + 1).alias("epoch"), *keys)
+        ranked.withColumn("_rank", rank)
+        .filter("_rank <= _steps")
+        .withColumn("epoch", F.explode(F.expr("sequence(0L, (_steps - _rank) div _n)")))
+        .select((F.col("epoch") * F.col("_n") + F.col("_rank")).alias("step"), (F.col("epoch") + 1).alias("epoch"), *keys)
     )

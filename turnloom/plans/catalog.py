@@ -14,7 +14,6 @@ from turnloom.operators import (
     evaluate,
     extract,
     jsonwalk,
-    ordered,
     pair,
     profile,
     quality,
@@ -33,7 +32,8 @@ QUERIES: dict[str, Query] = {}
 SEED = "7"
 FLUSH_SIZE = 8
 EPOCH_ROWS = 1_000
-SCHEDULE_STEPS = 2_000
+SCHEDULE_EPOCHS = 2.5
+RECENT_TURNS = 5
 
 
 def query(fn: Query) -> Query:
@@ -57,15 +57,9 @@ def turns(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "conversations")
 
 
-def bounded_turns(spark: SparkSession, folder: str) -> tuple[DataFrame, int]:
-    """Conversations and the checked bound of their length."""
-    df = turns(spark, folder)
-    return df, ordered.longest_order(df, "turn")
-
-
 def pairs(spark: SparkSession, folder: str) -> DataFrame:
-    df, longest = bounded_turns(spark, folder)
-    return pair.pair_adjacent(df, longest=longest)
+    df = turns(spark, folder)
+    return pair.pair_adjacent(df)
 
 
 def rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -319,10 +313,10 @@ def dedup_documents(spark, folder):
 
 @query
 def dedup_then_pair(spark, folder):
-    df, longest = bounded_turns(spark, folder)
-    kept = dedup.renumber_turns(dedup.dedup_turns(X.with_copies(X.ragged(df))), longest=longest)
+    df = turns(spark, folder)
+    kept = dedup.renumber_turns(dedup.dedup_turns(X.with_copies(X.ragged(df))))
     named = kept.withColumn("role", pair.normalize_role(F.col("role")))
-    return pair.pair_adjacent(named, longest=longest)
+    return pair.pair_adjacent(named)
 
 
 # ---- pairing: as delivered, and with ragged roles, where the rules differ
@@ -339,26 +333,37 @@ def pair_adjacent(spark, folder):
 
 @query
 def pair_adjacent_ragged(spark, folder):
-    df, longest = bounded_turns(spark, folder)
-    return pair.pair_adjacent(_named(X.ragged(df)), longest=longest)
+    df = turns(spark, folder)
+    return pair.pair_adjacent(_named(X.ragged(df)))
 
 
 @query
 def pair_adjacent_blocks(spark, folder):
-    """The plan for conversations of any length, without the checked bound."""
+    """Blocks of four turns, so that most conversations have several."""
     return pair.pair_adjacent(_named(X.ragged(turns(spark, folder))), span=4)
 
 
 @query
 def pair_history(spark, folder):
-    df, longest = bounded_turns(spark, folder)
-    return _history_text(pair.pair_history(df, longest=longest))
+    df = turns(spark, folder)
+    return _history_text(pair.pair_history(df))
 
 
 @query
 def pair_history_ragged(spark, folder):
-    df, longest = bounded_turns(spark, folder)
-    return _history_text(pair.pair_history(X.ragged(df), longest=longest))
+    df = turns(spark, folder)
+    return _history_text(pair.pair_history(X.ragged(df)))
+
+
+@query
+def pair_history_long(spark, folder):
+    """Conversations of hundreds of turns keep their whole history."""
+    return _history_text(pair.pair_history(X.joined(turns(spark, folder))))
+
+
+@query
+def pair_history_recent(spark, folder):
+    return _history_text(pair.pair_history(X.joined(turns(spark, folder)), max_turns=RECENT_TURNS))
 
 
 def _history_text(df):
@@ -368,21 +373,21 @@ def _history_text(df):
 
 @query
 def pair_carry_forward(spark, folder):
-    df, longest = bounded_turns(spark, folder)
-    return pair.pair_carry_forward(X.ragged(df), longest=longest)
+    df = turns(spark, folder)
+    return pair.pair_carry_forward(X.ragged(df))
 
 
 @query
 def pair_outer(spark, folder):
-    df, longest = bounded_turns(spark, folder)
+    df = turns(spark, folder)
     source = F.concat(F.lit("conv/"), F.col("conv_id").cast("string"))
-    return pair.pair_outer(_named(X.ragged(df)), source, longest=longest)
+    return pair.pair_outer(_named(X.ragged(df)), source)
 
 
 @query
 def pair_stats(spark, folder):
-    df, longest = bounded_turns(spark, folder)
-    return pair.pair_stats(_named(X.ragged(df)), longest=longest)
+    df = turns(spark, folder)
+    return pair.pair_stats(_named(X.ragged(df)))
 
 
 # ---- prompts
@@ -474,6 +479,18 @@ def is_mostly_script(spark, folder):
     )
 
 
+@query
+def is_mostly_script_mixed(spark, folder):
+    """Latin runs of many lengths between Han characters."""
+    mixed = F.replace("text", F.lit(" "), F.lit(X.HAN_GAP))
+    return turns(spark, folder).select(
+        "conv_id",
+        "turn",
+        script.is_mostly_script(mixed).alias("one_by_one"),
+        script.is_mostly_script(mixed, legacy=False).alias("letters"),
+    )
+
+
 @query
 def script_ratio_gate(spark, folder):
     df = docs(spark, folder)
@@ -625,7 +642,7 @@ def augment_persona(spark, folder):
 
 @query
 def epoch_schedule(spark, folder):
-    return split.epoch_schedule(pairs(spark, folder), ["conv_id", "turn"], SCHEDULE_STEPS)
+    return split.epoch_schedule(pairs(spark, folder), ["conv_id", "turn"], epochs=SCHEDULE_EPOCHS)
 
 
 # ---- statistics
@@ -709,8 +726,8 @@ def runlog_lr_audit_ratio(spark, folder):
 
 @query
 def flow_turns_to_prompts(spark, folder):
-    df, longest = bounded_turns(spark, folder)
-    return flows.turns_to_prompts(df, longest)
+    df = turns(spark, folder)
+    return flows.turns_to_prompts(df)
 
 
 @query

@@ -49,6 +49,16 @@ def ragged(turns: DataFrame) -> DataFrame:
     return turns.withColumn("role", role.otherwise(F.col("role")))
 
 
+JOINED = 100
+
+
+def joined(turns: DataFrame) -> DataFrame:
+    """A hundred conversations end to end as one."""
+    return turns.withColumn("turn", F.col("conv_id") % JOINED * 1_000 + F.col("turn")).withColumn(
+        "conv_id", F.expr(f"conv_id div {JOINED}")
+    )
+
+
 def with_copies(turns: DataFrame) -> DataFrame:
     """Every conversation and its copy under another number."""
     return turns.unionByName(turns.withColumn("conv_id", F.col("conv_id") + 1_000_000))
@@ -93,6 +103,9 @@ def in_han(text: Column, latin: str = LATIN_FULL, han: str = HAN_FULL) -> Column
     return F.translate(F.lower(text), latin, han)
 
 
+HAN_GAP = "你"  # between words it leaves Latin runs of many lengths
+
+
 def han_docs(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", in_han(F.col("text")).alias("text"))
 
@@ -112,8 +125,11 @@ def candidates(docs: DataFrame) -> DataFrame:
     )
 
 
+FOREIGN = "☃"
+
+
 def generated(pairs: DataFrame) -> DataFrame:
-    """An answer to most pairs: shifted by one, cut in half, equal, or none."""
+    """An answer to most pairs: shifted by one, cut in half, equal, or none; every seventh character of some is foreign."""
     out = F.col("output")
     kind = F.length(out) % 4
     answer = (
@@ -121,7 +137,8 @@ def generated(pairs: DataFrame) -> DataFrame:
         .when(kind == 1, F.left(out, F.expr("length(output) div 2")))
         .when(kind == 2, out)
     )
-    return pairs.select("conv_id", "turn", answer.alias("generated")).filter(F.col("generated").isNotNull())
+    edited = F.when(F.col("conv_id") % 2 == 1, F.regexp_replace(answer, "(?s)(.{6}).", f"$1{FOREIGN}")).otherwise(answer)
+    return pairs.select("conv_id", "turn", edited.alias("generated")).filter(F.col("generated").isNotNull())
 
 
 def expected(pairs: DataFrame) -> DataFrame:

@@ -12,10 +12,10 @@ from turnloom.functions import text as T
 from turnloom.operators import dedup, extract, pair, profile, segment
 
 
-def turns_to_prompts(turns: DataFrame, longest: int | None = None) -> DataFrame:
+def turns_to_prompts(turns: DataFrame) -> DataFrame:
     """Normalize roles, drop repeated texts, pair, render: the main path from turns to training text."""
     named = turns.withColumn("role", pair.normalize_role(F.col("role")))
-    pairs = pair.pair_adjacent(dedup.dedup_turns(named), longest=longest)
+    pairs = pair.pair_adjacent(dedup.dedup_turns(named))
     text = prompts.header_system(F.col("instruction"), F.col("input"), F.col("output"))
     return pairs.select("conv_id", "turn", text.alias("prompt"))
 

@@ -10,7 +10,7 @@ from turnloom.functions import markup, prompts, script, similarity
 from turnloom.functions import text as T
 from turnloom.operators import pair, profile, quality, retrieve, runlog, segment, split
 from turnloom.plans import fixtures as X
-from turnloom.plans.catalog import EPOCH_ROWS, FLUSH_SIZE, SCHEDULE_STEPS, SEED
+from turnloom.plans.catalog import EPOCH_ROWS, FLUSH_SIZE, RECENT_TURNS, SCHEDULE_EPOCHS, SEED
 
 ORACLES: dict[str, str] = {}
 
@@ -426,8 +426,9 @@ ORACLES["pair_adjacent_ragged"] = adjacent(named(RAGGED))
 ORACLES["pair_adjacent_blocks"] = ORACLES["pair_adjacent_ragged"]
 
 
-def with_history(turns: str) -> str:
-    """``history`` is the joined text of all surviving turns before the pair."""
+def with_history(turns: str, latest: int | None = None) -> str:
+    """``history`` is the joined text of all (or the ``latest``) surviving turns before the pair."""
+    recent = "" if latest is None else f" AND h.rank >= p.history_len - {latest}"
     return f"""
     WITH kept AS (
         SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS rank
@@ -441,12 +442,15 @@ def with_history(turns: str) -> str:
         {q(pair.CONTINUE_INSTRUCTION)} || CASE WHEN p.history_len > 0 THEN {q(pair.CONTEXT_INTRO)}
             || string_agg(h.role || ': ' || h.text || {NL}, '' ORDER BY h.rank) ELSE '' END AS instruction,
         coalesce(string_agg(h.role || '=' || h.text, {NL} || '--' || {NL} ORDER BY h.rank), '') AS history
-    FROM pairs p LEFT JOIN kept h ON h.conv_id = p.conv_id AND h.rank < p.history_len
+    FROM pairs p LEFT JOIN kept h ON h.conv_id = p.conv_id AND h.rank < p.history_len{recent}
     GROUP BY p.conv_id, p.turn, p.input, p.output, p.history_len"""
 
 
 ORACLES["pair_history"] = with_history(ALL_TURNS)
 ORACLES["pair_history_ragged"] = with_history(RAGGED)
+JOINED = f"""SELECT conv_id // {X.JOINED} AS conv_id, conv_id % {X.JOINED} * 1000 + turn AS turn, role, text FROM conversations"""
+ORACLES["pair_history_long"] = with_history(JOINED)
+ORACLES["pair_history_recent"] = with_history(JOINED, RECENT_TURNS)
 
 
 def carried(turns: str) -> str:
@@ -538,8 +542,11 @@ def content(e: str) -> str:
     return sub(e, f"[{T.WS_CLASS}\\p{{P}}]+")
 
 
-def mostly(e: str, cls: str) -> str:
-    rest = sub(content(e), "[A-Za-z]+")
+def mostly(e: str, cls: str, legacy: bool = True) -> str:
+    """``legacy``: runs go one by one, each wherever it then stands."""
+    bare = content(e)
+    one_by_one = f"list_reduce(list_prepend({bare}, regexp_extract_all({bare}, '[A-Za-z]+')), lambda rest, run: replace(rest, run, ''))"
+    rest = one_by_one if legacy else sub(bare, "[A-Za-z]+")
     return f"(length({rest}) = 0 OR {count_of(rest, cls)} > {script.MOSTLY_SHARE} * length({rest}))"
 
 
@@ -551,9 +558,13 @@ def gate(e: str) -> str:
     return f"(length({e}) > 0 AND coalesce({share(e)} >= {script.GATE_SHARE}, true))"
 
 
+GAPPED = f"replace(text, ' ', '{X.HAN_GAP}')"
 ORACLES["is_mostly_script"] = f"""
 SELECT doc_id, {mostly('text', script.HAN_ALL)} AS raw, {mostly(HALF, script.HAN_ALL)} AS han,
     {mostly('text', script.ACCENTED_LATIN)} AS accented FROM documents"""
+ORACLES["is_mostly_script_mixed"] = f"""
+SELECT conv_id, turn, {mostly(GAPPED, script.HAN_ALL)} AS one_by_one, {mostly(GAPPED, script.HAN_ALL, False)} AS letters
+FROM conversations"""
 ORACLES["script_ratio_gate"] = f"""
 SELECT doc_id, round({share('half')}, 6) AS share, {gate('half')} AS passes, {gate('text')} AS raw_passes
 FROM (SELECT doc_id, text, {HALF} AS half FROM documents)"""
@@ -608,8 +619,10 @@ FROM documents LEFT JOIN chosen ON prompt_id = doc_id"""
 
 # ---------------------------------------------------------------- scoring
 
-GENERATED = f"""SELECT conv_id, turn, CASE length(output) % 4 WHEN 0 THEN substr(output, 2)
-    WHEN 1 THEN left(output, length(output) // 2) WHEN 2 THEN output END AS generated FROM ({PAIRS})"""
+GENERATED = f"""SELECT conv_id, turn, CASE WHEN conv_id % 2 = 1
+    THEN regexp_replace(answer, '(.{{6}}).', '\\1{X.FOREIGN}', 'gs') ELSE answer END AS generated
+FROM (SELECT *, CASE length(output) % 4 WHEN 0 THEN substr(output, 2)
+    WHEN 1 THEN left(output, length(output) // 2) WHEN 2 THEN output END AS answer FROM ({PAIRS}))"""
 COMPARED = f"""SELECT p.conv_id, p.turn, p.instruction AS prompt, p.output AS expected, g.generated
     FROM ({PAIRS}) p JOIN ({GENERATED}) g ON p.conv_id = g.conv_id AND p.turn = g.turn WHERE g.generated IS NOT NULL"""
 ORACLES["eval_compare"] = COMPARED
@@ -621,14 +634,16 @@ def matches(a: str, b: str) -> str:
 
 ORACLES["score_char_match"] = f"SELECT conv_id, turn, {matches('generated', 'expected')} AS matched FROM ({COMPARED})"
 
-# Every generated answer is a subsequence of the expected one by construction (a suffix, a prefix or the whole), so
-# the common subsequence is the generated text itself. The general case is tested against brute force.
+# A generated answer without its foreign characters is a subsequence of the expected one by construction (a suffix, a
+# prefix or the whole with characters taken out) and the expected one has none of them, so that remainder is the longest
+# common subsequence. The general case is tested against brute force.
+LCS = f"length(replace(generated, '{X.FOREIGN}', ''))"
 LOSSES = f"""
 SELECT conv_id, turn, CASE WHEN generated = '' THEN 1.0 ELSE greatest(least(1 - (
-    {similarity.MATCH_WEIGHT}::DOUBLE * {matches('generated', 'expected')} + {similarity.LCS_WEIGHT}::DOUBLE * length(generated)
+    {similarity.MATCH_WEIGHT}::DOUBLE * {matches('generated', 'expected')} + {similarity.LCS_WEIGHT}::DOUBLE * {LCS}
     - {similarity.LENGTH_WEIGHT}::DOUBLE * (length(expected) - length(generated))) / length(expected), 1.0), 0.0) END AS loss
 FROM ({COMPARED})"""
-ORACLES["score_lcs"] = f"SELECT conv_id, turn, length(generated) AS lcs FROM ({COMPARED})"
+ORACLES["score_lcs"] = f"SELECT conv_id, turn, {LCS} AS lcs FROM ({COMPARED})"
 ORACLES["score_text_loss"] = f"SELECT conv_id, turn, round(loss, 6) AS loss FROM ({LOSSES})"
 ORACLES["score_echo_loss"] = f"""
 SELECT conv_id, turn, round(CASE WHEN generated = '' THEN 1.0 ELSE 1.0 - {matches("(prompt || ' ' || expected)", 'generated')}::DOUBLE
@@ -656,12 +671,12 @@ def search(k: int) -> str:
             SELECT doc_id, unnest({WORDS("title || chr(10) || content")}) AS word FROM docs) GROUP BY doc_id, word
     ), frequency AS (SELECT word, count(*) AS df FROM words GROUP BY word),
     asked AS (SELECT DISTINCT item_id AS question_id, unnest({WORDS('text')}) AS word FROM benchmark),
-    keyed AS (
-        SELECT question_id, a.word, df FROM asked a JOIN frequency f ON a.word = f.word
-        QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY df, a.word) <= {retrieve.KEY_TERMS}
+    weighed AS (
+        SELECT question_id, a.word, ln(1 + (SELECT count(*) FROM docs)::DOUBLE / df) AS weight
+        FROM asked a JOIN frequency f ON a.word = f.word WHERE 2 * df < (SELECT count(*) FROM docs)
     ), scored AS (
-        SELECT question_id, doc_id, round(sum((1 + ln(tf)) * ln(1 + (SELECT count(*) FROM docs)::DOUBLE / df)), 6) AS score
-        FROM words w JOIN keyed k ON w.word = k.word GROUP BY question_id, doc_id
+        SELECT question_id, doc_id, round(sum((1 + ln(tf)) * weight), 6) AS score
+        FROM words w JOIN weighed k ON w.word = k.word GROUP BY question_id, doc_id
     )
     SELECT question_id, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
     FROM scored QUALIFY rank <= {k}"""
@@ -719,7 +734,7 @@ FROM (SELECT doc_id, text || CASE WHEN {chance('add emoji', split.EMOJI_SHARE, '
 ORACLES["epoch_schedule"] = f"""
 WITH ranked AS (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) AS rank, count(*) OVER () AS n FROM ({PAIRS}))
 SELECT e * n + rank AS step, e + 1 AS epoch, conv_id, turn
-FROM (SELECT *, unnest(range(0, {SCHEDULE_STEPS} // n + 1)) AS e FROM ranked) WHERE e * n + rank <= {SCHEDULE_STEPS}"""
+FROM (SELECT *, unnest(range(0, {int(SCHEDULE_EPOCHS) + 1})) AS e FROM ranked) WHERE e * n + rank <= floor({SCHEDULE_EPOCHS} * n)"""
 
 # ---------------------------------------------------------------- statistics
 

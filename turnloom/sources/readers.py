@@ -12,14 +12,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+SPREAD = "spark.turnloom.spread"
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for row-local work on a small file; a no-op for input with enough splits.
+    """Deal rows to as many partitions as the caller has asked for under ``spark.turnloom.spread``; unset, nothing moves.
 
-    A table of one row group is read by one task however few bytes it has. Where a scan already yields a split per
-    core, as it does at scale, nothing is moved.
+    For small files on one machine: a table of one row group is read by one task however many cores there are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    parts = int(df.sparkSession.conf.get(SPREAD, None) or 0)
+    return df.repartition(parts) if parts else df
 
 
 def whole_text(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
