@@ -301,6 +301,26 @@ def test_repeated_keys_do_not_hide_a_conversation(spark):
     assert one(spark, doc, jsonwalk.find_conversation).raw == '["a","b"]'
 
 
+def test_children_are_typed_by_their_own_text(spark):
+    """A repeated key somewhere in a container changes no type beside it."""
+    doc = '{"a":[1,2,{"k":1,"k":2}],"b":{"chat":["hi","there"]}}'
+    assert one(spark, doc, jsonwalk.find_conversation).raw == '["hi","there"]'
+    doc = '[ -1, 2.5, true, null, "s,]", "{\\"", [ {"k":1,"k":[2]} ], {"k":"v","k":"w"}, {} ]'
+    kids = one(spark, doc, lambda c: jsonwalk.children(F.lit("ARRAY"), c))
+    kinds = ["BIGINT", "DOUBLE", "BOOLEAN", "VOID", "STRING", "STRING", "ARRAY", "OBJECT", "OBJECT"]
+    assert [k.kind for k in kids] == kinds
+    doc = '{"p":"[1]","q" : 7, "r":{"k":1,"k":2},"s":"x"}'
+    kids = one(spark, doc, lambda c: jsonwalk.children(F.lit("OBJECT"), c))
+    assert [(k.key, k.kind) for k in kids] == [("p", "STRING"), ("q", "BIGINT"), ("r", "OBJECT"), ("s", "STRING")]
+
+
+def test_refused_documents_are_reported(spark):
+    docs = ["[" * 1200 + "]" * 1200, '{"a":', '{"a":1}', "plain", None, "[1] x"]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, json string")
+    made = sorted(tuple(r) for r in jsonwalk.refused(df, ["doc_id"]).collect())
+    assert made == [(0, 2400, "depth"), (1, 5, "syntax"), (5, 5, "syntax")]
+
+
 def test_text_that_starts_like_json_is_a_transcript(spark):
     df = spark.createDataFrame([(1, "5 notes\nUser: hi\nAI: yo"), (2, "[1]\nUser: a"), (3, "[1]")], "doc_id long, text string")
     made = sorted((r.doc_id, r.route, r.role, r.text) for r in extract.route_json_text(df, ["doc_id"]).collect())
@@ -335,6 +355,54 @@ def test_json_nodes(spark):
     }
 
 
+def test_references(spark):
+    cases = {
+        "a &#9999999; b &#xFFFFFF; &#0; &#xD800; &#00065; &#x1F600; &#99999999999999999999;": "a � b � � � A 😀 �",
+        "&eacute; &rarr; &bull; &amp;lt; &unknown; & &; &NotEqualTilde;": "é → • &lt; &unknown; & &; ≂̸",
+        "it&#146;s &#128;5 &#129;": "it’s €5 \x81",
+    }
+    assert many(spark, list(cases), markup.decode_references) == list(cases.values())
+
+
+def test_pages_lose_no_text(spark):
+    text = {
+        "<p>a &#9999999; b</p>": "a � b",
+        "<!-- <script> --><p>lost text</p><script>x</script><p>k</p>": "lost text\nk",
+        '<p title="a>b">x</p>': "x",
+        "<p>a<script>var s='</p>'": "a",
+        '<p title="a>b</p>': "b",
+    }
+    assert many(spark, list(text), markup.visible_text) == list(text.values())
+    page = "<div>Hello title</div><div>Model</div><div>Hi there</div><div class='x'>User</div><section>Bye</section>"
+    shown = one(spark, page, markup.markdown)
+    assert shown.split("\n\n") == ["Hello title", "Model", "Hi there", "User", "Bye"]
+    marked = {
+        "<table><tr><td>a</td><td>b</td></tr></table>c<hr>d": "a\n\nb\n\nc\n\nd",
+        "<img alt='cat' src=c.png><img src=\"d.png\"><img src='e.png' alt=dog>": "![cat](c.png)![](d.png)![dog](e.png)",
+        "<a href='u'>one</a> <a name=x>two</a> <a class=k href=v>three</a> <a href=w>open": "[one](u) two [three](v) open",
+        "<b class='k'>bold</b><br/>x": "**bold**  \nx",
+    }
+    assert many(spark, list(marked), markup.markdown) == list(marked.values())
+    turns = spark.createDataFrame([(1, page)], "page_id long, html string")
+    made = [(r.role, r.text) for r in extract.extract_heading_pages(turns, ["page_id"]).orderBy("turn").collect()]
+    assert made == [("user", "Hello title"), ("assistant", "Hi there"), ("user", "Bye")]
+
+
+def test_text_blocks_name_the_element_around(spark):
+    page = (
+        '<p class="c">short <b>bold</b> this tail text is much longer than it</p>'
+        "<div class=d>before the break it is long<br>and after the break as well<p>inner one is long enough too</div>"
+        "no element is around this text at all</i>"
+    )
+    said = [
+        ("p", "c", "this tail text is much longer than it"),
+        ("div", "d", "before the break it is long"),
+        ("div", "d", "and after the break as well"),
+        ("p", None, "inner one is long enough too"),
+    ]
+    assert [tuple(b) for b in one(spark, page, markup.text_blocks)] == [(t, c, len(x), x) for t, c, x in said]
+
+
 def test_markup(spark):
     html = (
         "<!DOCTYPE html><html><head><title>A &amp; B</title><style>p{}</style></head><body><nav>no</nav>"

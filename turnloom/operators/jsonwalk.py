@@ -35,16 +35,44 @@ def _kind(v: Column) -> Column:
     return F.regexp_extract(F.coalesce(F.schema_of_variant(v), F.lit("VOID")), "^[A-Z]+", 0)
 
 
-def _looks_like(raw: Column) -> Column:
-    """Type by the first character, for the rare container whose variant parse fails (repeated keys further down)."""
+# strings, brackets and separators, and everything else between them (numbers and words)
+TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[\[\]{}:,]|[^\s\[\]{}:,"]+'
+
+
+def _kind_of_token(token: Column) -> Column:
+    head = F.left(token, F.lit(1))
     return (
-        F.when(raw.isNull(), "VOID")
-        .when(F.startswith(raw, F.lit("{")), "OBJECT")
-        .when(F.startswith(raw, F.lit("[")), "ARRAY")
-        .otherwise("STRING")
+        F.when(head == "{", "OBJECT")
+        .when(head == "[", "ARRAY")
+        .when(head == '"', "STRING")
+        .when(head.isin("t", "f"), "BOOLEAN")
+        .when(head == "n", "VOID")
+        .when(F.rlike(token, F.lit(r"\A-?[0-9]+\z")), "BIGINT")
+        .otherwise("DOUBLE")
     )
 
 
+def _kinds_by_token(raw: Column) -> Column:
+    """Types of the children of a container by the first token of each, for the rare one whose variant parse fails (a key that is
+    repeated somewhere in it). Every child is typed by its own text."""
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("due"), F.array().cast("array<string>").alias("kinds"))
+
+    def step(state: Column, token: Column) -> Column:
+        opens, closes = token.isin("[", "{"), token.isin("]", "}")
+        depth = state["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        first = state["due"] & ~closes
+        in_list = F.startswith(raw, F.lit("["))
+        due = (
+            F.when(state["depth"] == 0, in_list)
+            .when(state["depth"] == 1, F.when(in_list, token == ",").otherwise(token == ":"))
+            .otherwise(False)
+        )
+        kinds = F.when(first, F.concat(state["kinds"], F.array(_kind_of_token(token)))).otherwise(state["kinds"])
+        return F.struct(depth.alias("depth"), due.alias("due"), kinds.alias("kinds"))
+
+    return F.aggregate(F.regexp_extract_all(raw, F.lit(TOKEN), F.lit(0)), start, step, lambda state: state["kinds"])
+
+
 def children(kind: Column, raw: Column) -> Column:
     """``array<struct<key, kind, raw>>`` of an object (in key order) or array node; empty for scalars."""
     entry = lambda key, kind, text: F.struct(key.alias("key"), kind.alias("kind"), text.alias("raw"))
@@ -52,8 +80,8 @@ def children(kind: Column, raw: Column) -> Column:
     def typed(pairs: Column, variants: Column) -> Column:
         """``pairs`` of key and text, typed by the variants parsed beside them."""
         exact = F.zip_with(pairs, variants, lambda p, v: entry(p["key"], _kind(v), p["value"]))
-        guessed = F.transform(pairs, lambda p: entry(p["key"], _looks_like(p["value"]), p["value"]))
-        return F.coalesce(exact, guessed)
+        by_token = F.zip_with(pairs, _kinds_by_token(strip(raw)), lambda p, k: entry(p["key"], k, p["value"]))
+        return F.coalesce(exact, by_token)
 
     of_object = let(
         F.map_entries(F.from_json(raw, "map<string,string>")),
@@ -295,6 +323,16 @@ def json_nodes(json: Column) -> Column:
     )
 
 
+def refused(df: DataFrame, keys: Sequence[str], json: str = "json") -> DataFrame:
+    """``keys, n_chars, reason`` of documents that begin like JSON but that the parser does not accept: ``depth`` when the text opens more
+    brackets than the parser follows, else ``syntax``."""
+    text = strip(F.col(json))
+    brackets = F.length(text) - F.length(F.translate(text, "[{", ""))
+    like = F.rlike(text, F.lit(r"\A[\[{]")) & json_kind(F.col(json)).isNull()
+    reason = F.when(brackets > PARSER_DEPTH, "depth").otherwise("syntax")
+    return df.filter(like).select(*keys, F.length(json).alias("n_chars"), reason.alias("reason"))
+
+
 def json_profile(df: DataFrame, json: str) -> DataFrame:
     """How often every path has every type, with the list lengths, over a JSON column."""
     return (

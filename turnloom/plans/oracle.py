@@ -267,20 +267,28 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, text ORDER BY turn) = 1"""
 ORACLES["extract_export_array"] = EXPORT_TURNS
 
 
+# the references that the pages have, the ampersand last so that nothing is decoded twice
+REFERENCES = "< lt > gt \" quot ' apos \u00a0 nbsp © copy ® reg · middot … hellip – ndash — mdash ‘ lsquo ’ rsquo “ ldquo ” rdquo & amp"
+REFERENCES = list(zip(REFERENCES.split(" ")[1::2], REFERENCES.split(" ")[::2], strict=True))
+
+
+def re2(pattern: str) -> str:
+    """Java's possessive quantifiers as plain ones, which take as long in a linear matcher."""
+    return pattern.replace("*+", "*")
+
+
 def decoded(e: str) -> str:
-    for ref, char in markup.REFERENCES:
-        e = f"replace({e}, {q(ref)}, {q(char)})"
+    for ref, char in REFERENCES:
+        e = f"replace({e}, '&{ref};', {q(char)})"
     return e
 
 
 def unhidden(e: str, tags) -> str:
-    for tag in tags:
-        e = sub(e, markup.hidden_pattern(tag), "\n")
-    return sub(e, markup.COMMENT, "\n")
+    return sub(e, re2(markup.hidden_pattern(tags)), "\n")
 
 
 VISIBLE = joined(
-    f"list_filter(list_transform({lines(decoded(sub(unhidden('html', markup.HIDDEN_TAGS), markup.ANY_TAG, chr(10))))}, "
+    f"list_filter(list_transform({lines(decoded(sub(unhidden('html', markup.HIDDEN_TAGS), re2(markup.ANY_TAG), chr(10))))}, "
     f"lambda x: {strip('x')}), lambda x: x <> '')"
 )
 ORACLES["page_visible_text"] = f"SELECT page_id, {VISIBLE} AS text FROM pages"
@@ -292,11 +300,14 @@ FROM pages"""
 
 def markdown(e: str) -> str:
     e = unhidden(e, ("head", "script", "style"))
-    e = sub(e, markup.IMAGE_RULE, r"![](\1)")
-    e = sub(e, markup.LINK_RULE, r"[\2](\1)")
+    for pattern, alt, src in markup.IMAGE_RULES:
+        e = sub(e, pattern, "![" + "".join(rf"\{n}" for n in alt) + "](" + "".join(rf"\{n}" for n in src) + ")")
+    rest = f"CASE WHEN regexp_matches(p, {q(markup.LINK_REST)}) THEN {sub('p', markup.LINK_REST, '[' + chr(92) + '4](' + chr(92) + '1' + chr(92) + '2' + chr(92) + '3)')} ELSE '<a' || p END"
+    pieces = f"string_split_regex({e}, {q(markup.LINK_OPEN)})"
+    e = f"({pieces}[1] || array_to_string(list_transform({pieces}[2:], lambda p: {rest}), ''))"
     for pattern, to in markup.MARKDOWN_RULES:
-        e = sub(e, pattern, to)
-    return strip(sub(decoded(sub(e, markup.ANY_TAG)), r"\n{3,}", "\n\n"))
+        e = sub(e, re2(pattern), to)
+    return strip(sub(decoded(sub(e, re2(markup.ANY_TAG))), r"\n{3,}", "\n\n"))
 
 
 ORACLES["page_markdown"] = f"SELECT page_id, {markdown('html')} AS markdown FROM pages"
@@ -309,19 +320,30 @@ FROM ({headings(f"SELECT page_id AS doc_id, {markdown('html')} AS text FROM ({CH
 JOIN ({ORACLES['page_title']}) t ON t.page_id = doc_id"""
 
 SHOWN_HTML = unhidden("html", ("head", "script", "style"))
-NODES = lambda g: f"unnest(regexp_extract_all(h, {q(markup.TEXT_NODE)}, {g}))"
-ORACLES["page_text_blocks"] = f"""
-WITH nodes AS (
-    SELECT page_id, {NODES(1)} AS tag, {NODES(2)} AS attrs, {NODES(3)} AS body,
-        generate_subscripts(regexp_extract_all(h, {q(markup.TEXT_NODE)}, 1), 1) AS i
-    FROM (SELECT page_id, {SHOWN_HTML} AS h FROM pages)
-), long AS (
-    SELECT page_id, tag, attrs, b, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS pos
-    FROM (SELECT *, {strip(decoded('body'))} AS b FROM nodes) WHERE length(b) > {markup.BLOCK_MIN_CHARS}
-)
-SELECT page_id, pos, lower(tag) AS tag, nullif(regexp_extract(attrs, {q(markup.CLASS_ATTR)}, 1), '') AS css_class,
-    length(b) AS n_chars, left(b, {markup.BLOCK_PREVIEW}) AS preview
+TAG = f"lower(regexp_extract(token, {q(markup.TAG_NAME)}, 1))"
+DEPTH_OF = f"list_position(list_reverse(list_transform(open, lambda e: split_part(e, '|', 1))), {TAG})"
+# one token of every page a step, with the open elements as tag|class
+BLOCK_NODES = f"""
+    tokens AS (SELECT page_id, regexp_extract_all(h, {q(re2(markup.TOKEN))}) AS token FROM (SELECT page_id, {SHOWN_HTML} AS h FROM SHOWN)),
+    steps(page_id, i, open, body, tag, css_class) AS (
+        SELECT page_id, 0, []::VARCHAR[], NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR FROM tokens
+        UNION ALL
+        SELECT page_id, i + 1, CASE
+            WHEN NOT regexp_matches(token, '^<[!/A-Za-z]') THEN open
+            WHEN token[1:2] = '</' THEN CASE WHEN {DEPTH_OF} > 0 THEN open[1:len(open) - {DEPTH_OF}] ELSE open END
+            WHEN {TAG} IN ('', {', '.join(q(t) for t in markup.VOID_TAGS)}) OR token[-2:] = '/>' THEN open
+            ELSE list_append(open, {TAG} || '|' || {' || '.join(f"regexp_extract(token, {q(markup.CLASS_ATTR)}, {i})" for i in (1, 2, 3))}) END,
+            CASE WHEN NOT regexp_matches(token, '^<[!/A-Za-z]') AND len(open) > 0 THEN token END,
+            split_part(open[-1], '|', 1), nullif(split_part(open[-1], '|', 2), '')
+        FROM (SELECT s.page_id, s.i, s.open, t.token[s.i + 1] AS token FROM steps s JOIN tokens t ON t.page_id = s.page_id
+            WHERE s.i < len(t.token))
+    ), long AS (
+        SELECT page_id, tag, css_class, b, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS pos
+        FROM (SELECT *, {strip(decoded('body'))} AS b FROM steps) WHERE length(b) > {markup.BLOCK_MIN_CHARS}
+    )
+SELECT page_id, pos, tag, css_class, length(b) AS n_chars, left(b, {markup.BLOCK_PREVIEW}) AS preview
 FROM long WHERE pos < {markup.BLOCKS_PER_PAGE}"""
+ORACLES["page_text_blocks"] = f"WITH RECURSIVE shown AS (SELECT page_id, html FROM pages), {BLOCK_NODES.replace('FROM SHOWN', 'FROM shown')}"
 
 # ---------------------------------------------------------------- cleaners
 
