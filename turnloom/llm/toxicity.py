@@ -36,6 +36,7 @@ PRIOR = 500.0
 FLOOR = 0.5
 CONFIDENCE = 1.0
 DRIFT = 0.5
+PIECE = 50_000
 SIGNIFICANT = 0.01  # chance of a passage, below which it is reported
 WORD = re.compile(r"\w+")
 PASSAGES = "array<struct<start:int,end:int,score:double>>"
@@ -116,13 +117,20 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows
 
 
 def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``word, context, label`` of every word, in pieces of about ``PIECE`` rows."""
+    names = ["word", "context", "label"]
+    rows = []
     for batch in batches:
-        seen = set()
         for text, label in zip(batch["text"], batch["label"], strict=True):
             tokens = ["", *words(text), ""]
-            for a, b, c in zip(tokens, tokens[1:], tokens[2:], strict=False):
-                seen.add((b, xxhash.xxh64_intdigest(f"{a} {c}") >> 1, label))
-        yield pd.DataFrame(list(seen), columns=["word", "context", "label"])
+            for at in range(0, len(tokens) - 2, PIECE):
+                part = tokens[at : at + PIECE + 2]
+                near = zip(part, part[1:], part[2:], strict=False)
+                rows += {(b, xxhash.xxh64_intdigest(f"{a} {c}") >> 1, label) for a, b, c in near}
+                if len(rows) >= PIECE:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+    yield pd.DataFrame(rows, columns=names)
 
 
 def frequencies(docs: DataFrame, known: set[str]) -> tuple[dict[str, int], int]:
