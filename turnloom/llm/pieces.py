@@ -21,6 +21,7 @@ from functools import cached_property, lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,8 +30,8 @@ from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-SLICE = 400_000  # characters indexed at a time
-KNOWN = 300_000  # encoded units kept while a task goes on
+SLICE = 200_000  # characters indexed at a time
+KNOWN = 200_000  # encoded units kept while a task goes on
 NEVER = np.iinfo(np.int64).max
 
 
@@ -291,14 +292,14 @@ class Encoder:
         return np.concatenate([*parts, ids[at:]]), bounds - np.cumsum(saved)[bounds]
 
 
-def in_steps(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``20 * SLICE`` characters."""
-    at, chars = 0, 0
-    for i, text in enumerate(texts):
-        chars += len(text or "")
-        if chars >= 20 * SLICE:
+def in_steps(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``20 * SLICE`` bytes."""
+    at, size = 0, 0
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+        size += n or 0
+        if size >= 20 * SLICE:
             yield at, i + 1
-            at, chars = i + 1, 0
+            at, size = i + 1, 0
     if at < len(texts):
         yield at, len(texts)
 
@@ -316,13 +317,13 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str = M
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(pickle.loads(vocabulary.value))
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            for a, b in in_steps(texts):
-                flat, bounds = encoder.encode([t or "" for t in texts[a:b]])
+            for a, b in in_steps(batch.column(batch.schema.get_field_index(text))):
+                part = batch.slice(a, b - a)
+                texts = part.column(part.schema.get_field_index(text)).to_pylist()
+                flat, bounds = encoder.encode([t or "" for t in texts])
                 lists = pa.ListArray.from_arrays(
-                    pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()), mask=pa.array([t is None for t in texts[a:b]])
+                    pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()), mask=pa.array([t is None for t in texts])
                 )
-                part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, ids])
 
     return kept.mapInArrow(run, schema)

@@ -234,6 +234,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, leaf: int = LEAF) ->
 SIMILARITY = 0.8
 WORDS = 5
 KEYS = 8  # min-hashes: a pair at similarity 0.8 shares none of them in 0.2 ** 8 of cases
+BROADCAST_ROWS = 500_000  # of 41 bytes
 WORD_RADIUS = 20  # of the SimHash of words, far above what texts at similarity 0.8 differ in
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -285,7 +286,9 @@ def similar_links(docs: DataFrame, classes: DataFrame, least: float = SIMILARITY
     rows = classes.select("node", "fp", F.explode(F.array_distinct(shards)).alias("shard"))
     live = rows.groupBy("shard").agg(F.count("*").alias("_n")).filter("_n > 1").select("shard")
     rows = common.settle(rows.join(live, "shard", "left_semi"))
-    wanted = rows.select("node").distinct()
+    wanted = common.settle(rows.select("node").distinct())
+    # where they are few, all other texts stay where they are
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     text = docs.select(_node(F.col("text")).alias("node"), "text").join(wanted, "node", "left_semi")
     sets = common.one_row_each(text, [F.col("node")], [F.col("node")]).select("node", shingle_sets("text").alias("set"))
     dealt = leaves(rows, WORD_RADIUS, leaf).join(sets, "node")
