@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from turnloom.operators import extract, profile, retrieve, runlog, segment, split
+from turnloom.operators import extract, profile, retrieve, runlog, segment, split, pair
 from turnloom.plans import flows
 from turnloom.sources import readers, sinks
 
@@ -119,7 +119,8 @@ def test_read_turns(spark, folder):
     with open(f"{folder}/a.json", "w") as f:
         json.dump([{"role": "user", "content": "é\nx"}, {"from": "gpt", "value": "y"}, {"role": "user", "content": "z"}], f, indent=4)
     made = [tuple(r) for r in readers.read_turns(spark, folder).orderBy("turn").collect()]
-    assert made == [("a.json", 0, "user", "é\nx"), ("a.json", 1, "gpt", "y"), ("a.json", 2, "user", "z")]
+    assert [r[1:] for r in made] == [("a.json", 0, "user", "é\nx"), ("a.json", 1, "gpt", "y"), ("a.json", 2, "user", "z")]
+    assert {r[0].endswith(f"{folder}/a.json") for r in made} == {True}
 
 
 def test_read_instructions_in_all_shapes(spark, folder):
@@ -135,10 +136,31 @@ def test_read_instructions_in_all_shapes(spark, folder):
 def test_read_pages(spark, folder):
     os.makedirs(f"{folder}/deep/er")
     with open(f"{folder}/deep/er/p.html", "wb") as f:
-        f.write(b"<p>caf\xc3\xa9 \xff x</p>")
+        f.write(b"<p>caf\xc3\xa9 \xff x \xef\xbf\xbd</p>")
     with open(f"{folder}/deep/skip.txt", "w") as f:
         f.write("no")
-    assert [tuple(r) for r in readers.read_pages(spark, folder).collect()] == [("p.html", "<p>café  x</p>")]
+    assert [tuple(r)[1:] for r in readers.read_pages(spark, folder).collect()] == [("p.html", "<p>café  x \ufffd</p>")]
+
+
+def test_equal_names_in_two_folders_are_two_files(spark, folder):
+    said = {"x": [("user", "q1"), ("assistant", "a1")], "y": [("user", "q2"), ("assistant", "a2")]}
+    for d, turns in said.items():
+        os.makedirs(f"{folder}/{d}")
+        with open(f"{folder}/{d}/chat.json", "w") as f:
+            json.dump([{"role": r, "content": c} for r, c in turns], f)
+        with open(f"{folder}/{d}/page.html", "w") as f:
+            f.write(d)
+        with open(f"{folder}/{d}/training_log.jsonl", "w") as f:
+            f.write('{"step": 1, "loss": 0.5, "lr": 1e-7}')
+    turns = readers.read_turns(spark, folder).withColumnRenamed("file", "conv_id")
+    assert sorted((r.instruction, r.output) for r in pair.pair_adjacent(turns).collect()) == [("q1", "a1"), ("q2", "a2")]
+    for read in (
+        readers.read_pages(spark, folder),
+        readers.read_exports(spark, folder, "*.json"),
+        readers.read_run_log(spark, f"{folder}/*/training_log.jsonl").withColumnRenamed("run", "file"),
+    ):
+        rows = read.select("file", "name").collect()
+        assert len({r.file for r in rows}) == 2 and len({r.name for r in rows}) == 1
 
 
 def test_sinks(spark, folder):
@@ -157,7 +179,7 @@ def test_read_run_log_and_results(spark, folder):
     with open(f"{folder}/log/a.jsonl", "w") as f:
         f.write('{"step": 1, "loss": 0.5, "lr": 1e-7}\n{"step": 20, "loss": 0.4, "lr": 2e-6, "eval_loss": 0.9}\n')
     made = [tuple(r) for r in readers.read_run_log(spark, f"{folder}/log").orderBy("step").collect()]
-    assert made == [("a.jsonl", 1, 0.5, 1e-7, None), ("a.jsonl", 20, 0.4, 2e-6, 0.9)]
+    assert [r[1:] for r in made] == [("a.jsonl", 1, 0.5, 1e-7, None), ("a.jsonl", 20, 0.4, 2e-6, 0.9)]
     rows = spark.createDataFrame([("p", "e", "g")], "prompt string, expected string, generated string")
     sinks.append_json(rows, f"{folder}/res")
     sinks.append_json(rows, f"{folder}/res")

@@ -355,6 +355,18 @@ def test_json_nodes(spark):
     }
 
 
+def test_an_export_without_messages_is_read_once(spark):
+    import time
+
+    df = spark.createDataFrame([('["a",1],' * 160_000,)], "raw string")
+    started = time.time()
+    assert df.select(F.size(extract.export_turns(F.col("raw")))).first()[0] == 0
+    assert time.time() - started < 20
+    tail = ",null" * 7 + ',"user"'
+    blob = f'["x",1],["one ["two"{tail}, "no start"{tail}["three"{tail} ["rest"'
+    assert [(t.role, t.text) for t in one(spark, blob, extract.export_turns)] == [("user", 'x",1],["one ["two'), ("user", "three")]
+
+
 def test_references(spark):
     cases = {
         "a &#9999999; b &#xFFFFFF; &#0; &#xD800; &#00065; &#x1F600; &#99999999999999999999;": "a � b � � � A 😀 �",

@@ -61,7 +61,8 @@ TERM_PATTERN = r"([A-Za-z]+)[（(]([^)）]+)[)）]"
 
 # What a contaminated export body looks like.
 CONTAMINATION_MARKERS = ("prompts/",)
-CONTAMINATION_BODY = r'(?s)\],\["(.*?)",null,\['
+CONTAMINATION_START = '],["'
+CONTAMINATION_END = '",null,['
 
 LEADING_CHUNK_LIMIT = 20_000
 
@@ -106,16 +107,27 @@ def leading_chunk(c: Column) -> Column:
     return F.when((F.length(body) > 0) & (F.length(body) < LEADING_CHUNK_LIMIT), body)
 
 
+def _swallowed(c: Column) -> Column:
+    """The message inside a contaminated export body: from the first start to the first end after it; NULL if there is none."""
+
+    def cut(rest: Column) -> Column:
+        end = F.instr(rest, F.lit(CONTAMINATION_END))
+        return F.when(end > 0, F.left(rest, end - 1))
+
+    at = F.instr(c, F.lit(CONTAMINATION_START))
+    return let(F.when(at > 0, F.substr(c, at + len(CONTAMINATION_START))), cut)
+
+
 def is_contaminated(c: Column, markers: Sequence[str] = CONTAMINATION_MARKERS) -> Column:
     hit = F.lit(False)
     for m in markers:
         hit = hit | F.contains(c, F.lit(m))
-    return hit & c.rlike(CONTAMINATION_BODY)
+    return hit & _swallowed(c).isNotNull()
 
 
 def recover_contaminated(c: Column, markers: Sequence[str] = CONTAMINATION_MARKERS) -> Column:
     """Replace an export body that swallowed its neighbours by the message inside it."""
-    return F.when(is_contaminated(c, markers), F.regexp_extract(c, CONTAMINATION_BODY, 1)).otherwise(c)
+    return F.when(is_contaminated(c, markers), _swallowed(c)).otherwise(c)
 
 
 def strip_prompt_tags(c: Column) -> Column:

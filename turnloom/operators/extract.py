@@ -14,8 +14,9 @@ from turnloom.operators import jsonwalk, segment
 from turnloom.operators.dedup import dedup_rows
 from turnloom.operators.segment import TURNS, explode_turns
 
-# A message in an export array, and the script tag of embedded application state.
-EXPORT_MESSAGE = r'\["([\s\S]*?)",null,null,null,null,null,null,null,"(user|model)"'
+# Where a message of an export array starts and ends, and the script tag of embedded application state.
+MESSAGE_START = '["'
+MESSAGE_END = '"' + ",null" * 7 + ',"(user|model)"'
 STATE_SCRIPT = r"(?is)<script[^>]*\bid=[\x22\x27]__NEXT_DATA__[\x22\x27][^>]*>(.*?)</script\s*>"
 UNKNOWN_ROLE = "unknown"
 
@@ -32,19 +33,22 @@ def unescape_json(body: Column) -> Column:
 
 
 def export_turns(raw: Column) -> Column:
-    """Turn array of one raw export blob, empty messages dropped."""
+    """Turn array of one raw export blob, empty messages dropped.
 
-    def turn(found: Column, user: bool) -> Column:
-        # opening bracket and quote in front; closing quote, NULLs and role behind
-        close = len('"' + ",null" * 7 + (',"user"' if user else ',"model"'))
-        body = F.substr(found, F.lit(3), F.length(found) - 2 - close)
+    The blob is cut at the message ends first; a message reaches from the first start in its piece to the end, so it
+    swallows what looks like further starts, and every character is read once.
+    """
+    roles = F.regexp_extract_all(raw, F.lit(MESSAGE_END), F.lit(1))
+    pieces = F.split(raw, MESSAGE_END)
+
+    def turn(role: Column, piece: Column) -> Column:
+        at = F.instr(piece, F.lit(MESSAGE_START))
+        body = F.when(at > 0, F.substr(piece, at + len(MESSAGE_START)))
         text = let(body, lambda b: T.strip(F.replace(unescape_json(b), F.lit(T.THOUGHTS_LABEL), F.lit(""))))
-        return F.struct(F.lit("user" if user else "assistant").alias("role"), text.alias("text"))
+        return F.struct(F.when(role == "user", "user").otherwise("assistant").alias("role"), text.alias("text"))
 
-    turns = F.transform(
-        F.regexp_extract_all(raw, F.lit(EXPORT_MESSAGE), F.lit(0)),
-        lambda found: F.when(F.endswith(found, F.lit('"user"')), turn(found, True)).otherwise(turn(found, False)),
-    )
+    # the piece after the last end has no role
+    turns = F.filter(F.zip_with(roles, pieces, lambda r, p: F.when(r.isNotNull(), turn(r, p))), lambda t: t.isNotNull())
     return F.filter(turns, lambda t: F.length(t["text"]) > 0)
 
 
@@ -79,9 +83,13 @@ def extract_next_data(df: DataFrame, keys: Sequence[str], html: str = "html") ->
 
 def page_turns(df: DataFrame, html: str = "html") -> DataFrame:
     """Add the turn array of a saved page and ``method``: embedded state, else role labels, else ``none``."""
-    heuristic = segment.page_role_turns(df.withColumn("_visible", markup.visible_text(F.col(html))), "_visible")
-    both = heuristic.withColumnRenamed(TURNS, "_heuristic").withColumn("_state", state_turns(F.col(html)))
+    found = df.withColumn("_state", state_turns(F.col(html)))
     by_state = F.size("_state") > 0
+    # a page with state is not read a second time
+    page = F.when(~by_state, F.col(html))
+    both = segment.page_role_turns(found.withColumn("_visible", markup.visible_text(page)), "_visible").withColumn(
+        "_heuristic", F.coalesce(F.col(TURNS).cast(TURN_ARRAY), F.array().cast(TURN_ARRAY))
+    )
     return both.withColumn(TURNS, F.when(by_state, F.col("_state")).otherwise(F.col("_heuristic"))).withColumn(
         "method", F.when(by_state, "state").when(F.size("_heuristic") > 0, "labels").otherwise("none")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SET_ASIDE = "\ue000\ufdd0\ue000"  # private-use and non-characters that no page has in this order
 INSTRUCTION_ROW = "instruction string, input string, output string"
 
 
@@ -24,10 +25,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(parts) if parts else df
 
 
+def _file() -> list[Column]:
+    return [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("name")]
+
+
 def whole_text(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """``file, value``: one row a file, folders searched recursively."""
+    """``file, name, value``: one row a file, folders searched recursively. The full path is the key; names repeat."""
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
-    return files.select(F.col("_metadata.file_name").alias("file"), "value")
+    return files.select(*_file(), "value")
 
 
 def parse_turn_array(json: Column) -> Column:
@@ -50,8 +55,8 @@ def explode_turns(df: DataFrame, keys: list[str], json: str) -> DataFrame:
 
 
 def read_turns(spark: SparkSession, path: str) -> DataFrame:
-    """``file, turn, role, text`` of JSON array files; list order is kept as the turn number."""
-    return explode_turns(whole_text(spark, path, "*.json"), ["file"], "value")
+    """``file, name, turn, role, text`` of JSON array files; list order is kept as the turn number."""
+    return explode_turns(whole_text(spark, path, "*.json"), ["file", "name"], "value")
 
 
 def read_instructions(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -71,13 +76,16 @@ def unwrap_instructions(raw: DataFrame) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """``file, html`` of all saved pages under a folder; undecodable bytes are dropped."""
-    html = F.replace(F.make_valid_utf8("value"), F.lit("\ufffd"), F.lit(""))
-    return whole_text(spark, path, "*.html").select("file", html.alias("html"))
+    """``file, name, html`` of all saved pages under a folder; undecodable bytes are dropped, U+FFFD in a file stays."""
+    raw = whole_text(spark, path, "*.html")
+    # a genuine U+FFFD is put aside while what decoding replaces is dropped
+    kept = F.replace(F.col("value"), F.lit("\ufffd"), F.lit(SET_ASIDE))
+    html = F.replace(F.replace(F.make_valid_utf8(kept), F.lit("\ufffd"), F.lit("")), F.lit(SET_ASIDE), F.lit("\ufffd"))
+    return raw.select("file", "name", html.alias("html"))
 
 
 def read_exports(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """``file, raw`` of raw export blobs."""
+    """``file, name, raw`` of raw export blobs."""
     return whole_text(spark, path, glob).withColumnRenamed("value", "raw")
 
 
@@ -87,6 +95,6 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """Training-log lines of one or more runs: ``run, step, loss, lr, eval_loss``; the run is the file name."""
+    """Training-log lines of one or more runs: ``run, name, step, loss, lr, eval_loss``; the run is the full path of its file."""
     raw = spark.read.schema("step bigint, loss double, lr double, eval_loss double").json(path)
-    return raw.select(F.col("_metadata.file_name").alias("run"), "step", "loss", "lr", "eval_loss")
+    return raw.select(_file()[0].alias("run"), _file()[1], "step", "loss", "lr", "eval_loss")
