@@ -163,6 +163,6 @@ def history_turns(turns: DataFrame, span: int = SPAN) -> DataFrame:
     Linear in the input, unlike written-out histories.
     """
     ranked = fold_before(
-        survivors(turns), [CONV], TURN, {"rank": ("sum", F.lit(1).cast("bigint"))}, span, longest
+        survivors(turns), [CONV], TURN, {"rank": ("sum", F.lit(1).cast("bigint"))}, span
     )
     return ranked.withColumn("rank", F.coalesce("rank", F.lit(0)))
