@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
 from pyspark import Broadcast, cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -304,15 +304,25 @@ def in_steps(texts: pa.Array) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
-def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str = MODEL) -> DataFrame:
+def joined(table: np.ndarray, ids: np.ndarray) -> str:
+    """The text that piece ids stand for."""
+    return b"".join(table[ids].tolist()).decode("utf-8", "replace").removeprefix(" ")
+
+
+def encode(
+    docs: DataFrame, text: str = "text", ids: str = "ids", model: str = MODEL, round_trip: str | None = None
+) -> DataFrame:
     """``docs`` with ``ids`` (array<int>), exactly what SentencePiece's own encoder gives for the text.
 
     A null text has null ids, an empty one no ids. Whole texts are encoded, row by row, without a shuffle; a column named
     like ``ids`` is replaced, other columns, repeated rows and an empty table pass through. ``model`` is read on the driver.
+    ``round_trip`` names a boolean column: whether the ids decode to the text again (with a space for U+2581; true for a null text),
+    found by the worker that has both.
     """
     vocabulary = shipped(docs.sparkSession, model)
-    kept = docs.drop(ids)
-    schema = T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    kept = docs.drop(ids, *([round_trip] if round_trip else []))
+    fields = [*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]
+    schema = T.StructType(fields + ([T.StructField(round_trip, T.BooleanType())] if round_trip else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(pickle.loads(vocabulary.value))
@@ -324,7 +334,13 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str = M
                 lists = pa.ListArray.from_arrays(
                     pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()), mask=pa.array([t is None for t in texts])
                 )
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, ids])
+                columns, names = [*part.columns, lists], [*part.schema.names, ids]
+                if round_trip:
+                    table = encoder.v.table
+                    pairs = zip(texts, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
+                    same = [t is None or joined(table, flat[i:j]) == t.replace(SPACE, " ") for t, i, j in pairs]
+                    columns, names = [*columns, pa.array(same, pa.bool_())], [*names, round_trip]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return kept.mapInArrow(run, schema)
 
@@ -344,13 +360,9 @@ def decode(docs: DataFrame, ids: str = "ids", text: str = "decoded", model: str
                 return None
             values = np.asarray(values, dtype=np.float64)
             values = values[(values >= 0) & (values < size)].astype(np.int64)
-            return b"".join(table[values].tolist()).decode("utf-8", "replace").removeprefix(" ")
+            return joined(table, values)
 
         return pd.Series([one(x) for x in lists], dtype=object)
 
     return docs.withColumn(text, join(ids))
 
-
-def round_trip(text: Column, decoded: Column) -> Column:
-    """Whether decoding gave the text back (U+2581 in a text stands for a space)."""
-    return decoded.eqNullSafe(F.replace(text, F.lit(SPACE), F.lit(" ")))
