@@ -122,6 +122,20 @@ def test_near_copies(spark, documents, leaf):
     assert Counter(r.doc_id for r in got.collect()) == near_copies(rows)
 
 
+@pytest.mark.parametrize("leaf", [simhash.LEAF, 3])
+def test_near_copies_of_small_vocabulary(spark, leaf):
+    """Few distinct words in long texts: a sixth of the shingles new, but most of the distinct words."""
+    random, rows = np.random.default_rng(11), []
+    for i in range(12):
+        own = [f"w{i}x{w}" for w in random.integers(0, 300, 5000)]
+        rows.append((i, " ".join(own)))
+        rows.append((100 + i, " ".join([*own, *[f"n{i}x{w}" for w in range(1000)]])))
+    want = near_copies(rows)
+    assert set(want) == set(range(12))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(r.doc_id for r in simhash.without_near_copies(df, leaf=leaf).collect()) == want
+
+
 def lines_expected(rows, least, chars=1, copies=True):
     def keys(text):
         return [line.strip().lower() for line in (text or "").encode().split(b"\n")]

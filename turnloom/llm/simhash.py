@@ -16,6 +16,7 @@ How links are found:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -229,13 +230,13 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, leaf: int = LEAF) ->
     return prints.join(named, "fp").select("doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-# ---- near copies: the same shards and search, on keys that similar texts share, with an exact check of every link
+# ---- near copies: shards on keys that similar texts share, with an exact check of every link
 
 SIMILARITY = 0.8
 WORDS = 5
 KEYS = 8  # min-hashes: a pair at similarity 0.8 shares none of them in 0.2 ** 8 of cases
 BROADCAST_ROWS = 500_000  # of 41 bytes
-WORD_RADIUS = 20  # of the SimHash of words, far above what texts at similarity 0.8 differ in
+PARITY = 4  # longs of a set's parity bits
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -250,18 +251,21 @@ def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
     return np.unique(np.concatenate(parts)) if parts else np.empty(0, dtype=np.uint64)
 
 
-@F.pandas_udf(T.StructType().add("fp", T.LongType()).add("keys", T.ArrayType(T.LongType())))
+def parity(codes: np.ndarray) -> np.ndarray:
+    """Whether each of 64 * PARITY buckets holds an odd number of codes. Two sets differ in at least as many codes as bits."""
+    odd = np.bincount((codes % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+LONGS = T.ArrayType(T.LongType())
+
+
+@F.pandas_udf(T.StructType().add("size", T.LongType()).add("bits", LONGS).add("keys", LONGS))
 def signature(texts: pd.Series) -> pd.DataFrame:
-    """SimHash of a text's distinct words, and its min-hashes over five-word shingles."""
-    prints, keys = [], []
-    for text in texts:
-        words = set((text or "").encode().lower().split())
-        prints.append(majority(iter([np.array([xxhash.xxh64_intdigest(w, SEED) for w in words], dtype=np.uint64)])))
-        least = [np.uint64(2**64 - 1)] * KEYS
-        for part in shingle_hashes(text, WORDS):
-            least = [min(m, _mixed(part, t + 1).min()) for t, m in enumerate(least)]
-        keys.append([int(m.view(np.int64)) for m in least] if words else [])
-    return pd.DataFrame({"fp": pd.Series(prints, dtype="int64"), "keys": keys})
+    """Number, parity bits and min-hashes of a text's distinct five-word shingles."""
+    sets = [shingle_set(t) for t in texts]
+    keys = [[int(_mixed(s, t + 1).min().view(np.int64)) for t in range(KEYS)] if len(s) else [] for s in sets]
+    return pd.DataFrame({"size": [len(s) for s in sets], "bits": [parity(s).tolist() for s in sets], "keys": keys})
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
@@ -277,34 +281,86 @@ def alike(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     return both >= least * (len(a) + len(b) - both) - 1e-9
 
 
+def size_ring(size: Column, least: float) -> Column:
+    """Rings of set sizes: sets of a similarity of at least ``least`` lie in one ring or two neighbouring ones."""
+    return F.floor(F.log(size) / max(math.log(1 / least) * (1 + 1e-6), 1e-6))
+
+
+def set_leaves(rows: DataFrame, leaf: int = LEAF) -> DataFrame:
+    """Add ``leaf`` to rows of ``shard, node, ring``: the shard itself, or for a shard of more than ``leaf`` rows every pair of pieces, in
+    one ring or neighbouring ones, that the row takes part in. Pieces are cut by ``node``, which no two rows of a shard share."""
+    counts = rows.groupBy("shard", "ring").agg(F.count("*").alias("n"))
+    total = counts.groupBy("shard").agg(F.sum("n").alias("total")).filter(F.col("total") > leaf).select("shard")
+    large = counts.join(total, "shard").select("shard", "ring", F.ceil(F.col("n") / leaf).cast("int").alias("cut"))
+    piece = large.select("shard", "ring", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("piece"))
+    other = piece.select("shard", F.struct("ring", "piece").alias("two"))
+    meets = (
+        piece.withColumn("one", F.struct("ring", "piece"))
+        .join(other, "shard")
+        .filter(F.abs(F.col("ring") - F.col("two.ring")) <= 1)
+        .withColumn("leaf", F.xxhash64("shard", F.least("one", "two"), F.greatest("one", "two")))
+        .select("shard", "ring", "piece", "leaf")
+    )
+    dealt = rows.join(large, ["shard", "ring"], "left")
+    keep = [*rows.columns, "leaf"]
+    whole = dealt.filter("cut is null").withColumn("leaf", F.xxhash64("shard")).select(*keep)
+    cut = dealt.filter("cut is not null").withColumn("piece", F.pmod(F.xxhash64(F.lit("piece"), "node"), "cut").cast("int"))
+    return whole.union(cut.join(meets, ["shard", "ring", "piece"]).select(*keep))
+
+
+def link_sets(
+    leaf: np.ndarray, size: np.ndarray, bits: np.ndarray, sets: list[np.ndarray], least: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of alike pairs that span every group of alike rows in a leaf. Sizes and parity bits leave out only pairs whose
+    similarity they prove to be lower."""
+    order = np.lexsort((size, leaf))
+    leaf, size, bits = leaf[order], size[order], bits[order]
+    joined, left, right = Joined(len(size)), [], []
+    at, k = np.arange(len(size)), 0
+    while True:
+        k += 1
+        at = at[at + k < len(size)]
+        at = at[(leaf[at + k] == leaf[at]) & (size[at] >= least * size[at + k])]
+        if not len(at):
+            break
+        hit = at[joined.root(at) != joined.root(at + k)]
+        apart = np.bitwise_count(bits[hit] ^ bits[hit + k]).sum(axis=1)
+        hit = hit[apart <= (size[hit] + size[hit + k]) * (1 - least) / (1 + least) + 1e-6]
+        hit = hit[[alike(sets[order[i]], sets[order[i + k]], least) for i in hit.tolist()]] if len(hit) else hit
+        if len(hit):
+            hit = hit[joined.new(hit, hit + k)]
+            left.append(order[hit])
+            right.append(order[hit + k])
+    none = np.empty(0, dtype=np.int64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
+
+
 def similar_links(docs: DataFrame, classes: DataFrame, least: float = SIMILARITY, leaf: int = LEAF) -> DataFrame:
-    """``a, b``: nodes of ``classes`` (``node, fp, keys``; one row a distinct text) whose texts are alike, enough to connect every group.
+    """``a, b``: nodes of ``classes`` (``node, size, bits, keys``; one row a distinct text) whose texts are alike, enough to connect every
+    group.
 
     Only texts that share a min-hash with another one are looked at; their shingle sets travel to the shards.
     """
     shards = F.transform("keys", lambda key, t: F.xxhash64(t, key))
-    rows = classes.select("node", "fp", F.explode(F.array_distinct(shards)).alias("shard"))
+    rows = classes.select("node", "size", "bits", F.explode(F.array_distinct(shards)).alias("shard"))
     live = rows.groupBy("shard").agg(F.count("*").alias("_n")).filter("_n > 1").select("shard")
-    rows = common.settle(rows.join(live, "shard", "left_semi"))
+    rows = rows.join(live, "shard", "left_semi").withColumn("ring", size_ring(F.col("size"), least))
+    rows = common.settle(rows)
     wanted = common.settle(rows.select("node").distinct())
     # where they are few, all other texts stay where they are
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     text = docs.select(_node(F.col("text")).alias("node"), "text").join(wanted, "node", "left_semi")
     sets = common.one_row_each(text, [F.col("node")], [F.col("node")]).select("node", shingle_sets("text").alias("set"))
-    dealt = leaves(rows, WORD_RADIUS, leaf).join(sets, "node")
+    dealt = set_leaves(rows, leaf).join(sets, "node")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in by_leaf(batches):
-            sets, node = part["set"].to_list(), part["node"].to_numpy()
-            a, b = link_rows(
-                part["leaf"].to_numpy(),
-                part["fp"].to_numpy().view(np.uint64),
-                WORD_RADIUS,
-                lambda i, j, sets=sets: alike(sets[i], sets[j], least),
-            )
+            node, size = part["node"].to_numpy(), part["size"].to_numpy()
+            bits = np.array(part["bits"].to_list(), dtype=np.int64).reshape(-1, PARITY).view(np.uint64)
+            a, b = link_sets(part["leaf"].to_numpy(), size, bits, part["set"].to_list(), least)
             yield pd.DataFrame({"a": node[a], "b": node[b]})
 
-    return in_leaves(dealt, "fp", "node", "set").mapInPandas(search, "a string, b string")
+    return in_leaves(dealt, "node", "size", "bits", "set").mapInPandas(search, "a string, b string")
 
 
 def _node(text: Column) -> Column:
@@ -321,12 +377,12 @@ def without_near_copies(docs: DataFrame, least: float = SIMILARITY, leaf: int =
     """
     sig = signature("text")
     marked = docs.select(F.col("doc_id"), _node(F.col("text")).alias("node"), sig.alias("sig"))
-    marked = common.settle(marked.select("doc_id", "node", "sig.fp", "sig.keys"))
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "node")
+    marked = common.settle(marked.select("doc_id", "node", "sig.*"))
+    order, traits = F.struct(F.col("doc_id").isNull(), "doc_id", "node"), ["size", "bits", "keys"]
     classes = common.settle(
-        marked.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.min(order).alias("first"))
+        marked.groupBy("node").agg(*[F.first(c).alias(c) for c in traits], F.min(order).alias("first"))
     )
-    component = common.connected_components(similar_links(docs, classes.select("node", "fp", "keys"), least, leaf))
+    component = common.connected_components(similar_links(docs, classes.drop("first"), least, leaf))
     groups = classes.select("node", "first").join(component, "node", "left")
     kept = groups.groupBy(F.coalesce("component", "node")).agg(F.min("first").alias("first"))
     kept = common.settle(kept.select(F.xxhash64("first.doc_id").alias("_id"), F.col("first.node").alias("_node")))
