@@ -136,6 +136,29 @@ def test_near_copies_of_small_vocabulary(spark, leaf):
     assert Counter(r.doc_id for r in simhash.without_near_copies(df, leaf=leaf).collect()) == want
 
 
+def test_near_copies_in_hot_group(spark, monkeypatch):
+    """Near copies, most of all rows, do not meet in one task nor in all pairs of pieces; what they leave over is still found."""
+    random, own = np.random.default_rng(12), [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(w.upper() if random.random() < 0.5 else w for w in own)) for i in range(150)]
+    for i in range(150):  # one word more, then chains that leave the group step by step
+        rows.append((200 + i, " ".join([*own, f"new{i}"])))
+    for i in range(5, 30):
+        rows.append((400 + i, " ".join([*own, *[f"more{j}" for j in range(i)]])))
+        rows.append((500 + i, " ".join([*own[:20], *[f"own{i}x{j}" for j in range(20)]])))
+    seen, real, leaf = [], simhash.in_leaves, 16
+
+    def spy(dealt, *cols):
+        count = dealt.groupBy("leaf").count().agg(F.max("count"), F.sum("count")).first()
+        seen.append((count[0] or 0, count[1] or 0))
+        return real(dealt, *cols)
+
+    monkeypatch.setattr(simhash, "in_leaves", spy)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(r.doc_id for r in simhash.without_near_copies(df, leaf=leaf).collect())
+    assert got == near_copies(rows)
+    assert seen and max(n for n, _ in seen) <= 4 * leaf and sum(n for _, n in seen) <= simhash.KEYS * len(rows)
+
+
 def lines_expected(rows, least, chars=1, copies=True):
     def keys(text):
         return [line.strip().lower() for line in (text or "").encode().split(b"\n")]

@@ -231,12 +231,19 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, leaf: int = LEAF) ->
 
 
 # ---- near copies: shards on keys that similar texts share, with an exact check of every link
+#
+# 1. Texts with equal shingle sets are linked to one of them, which stands for all below.
+# 2. The rows of a shard are checked against a few leaders of it, in joins whose rows grow with the shard and not with its square.
+# 3. A pair that links connect by now needs no check. Only shards with two components or more are searched pair by pair, the
+#    large ones in bounded pieces; two pieces of one component are not laid together.
 
 SIMILARITY = 0.8
 WORDS = 5
 KEYS = 8  # min-hashes: a pair at similarity 0.8 shares none of them in 0.2 ** 8 of cases
 BROADCAST_ROWS = 500_000  # of 41 bytes
 PARITY = 4  # longs of a set's parity bits
+LEADERS = 2  # of a ring of a shard
+LOAD = 1_024  # shingles that weigh as much as a row
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -260,12 +267,14 @@ def parity(codes: np.ndarray) -> np.ndarray:
 LONGS = T.ArrayType(T.LongType())
 
 
-@F.pandas_udf(T.StructType().add("size", T.LongType()).add("bits", LONGS).add("keys", LONGS))
+@F.pandas_udf(T.StructType().add("size", T.LongType()).add("bits", LONGS).add("keys", LONGS).add("same", T.StringType()))
 def signature(texts: pd.Series) -> pd.DataFrame:
-    """Number, parity bits and min-hashes of a text's distinct five-word shingles."""
+    """Number, parity bits and min-hashes of a text's distinct five-word shingles, and 128 bits that equal sets share."""
     sets = [shingle_set(t) for t in texts]
     keys = [[int(_mixed(s, t + 1).min().view(np.int64)) for t in range(KEYS)] if len(s) else [] for s in sets]
-    return pd.DataFrame({"size": [len(s) for s in sets], "bits": [parity(s).tolist() for s in sets], "keys": keys})
+    same = [xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets]
+    bits = [parity(s).tolist() for s in sets]
+    return pd.DataFrame({"size": [len(s) for s in sets], "bits": bits, "keys": keys, "same": pd.Series(same, dtype=object)})
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
@@ -287,35 +296,48 @@ def size_ring(size: Column, least: float) -> Column:
 
 
 def set_leaves(rows: DataFrame, leaf: int = LEAF) -> DataFrame:
-    """Add ``leaf`` to rows of ``shard, node, ring``: the shard itself, or for a shard of more than ``leaf`` rows every pair of pieces, in
-    one ring or neighbouring ones, that the row takes part in. Pieces are cut by ``node``, which no two rows of a shard share."""
-    counts = rows.groupBy("shard", "ring").agg(F.count("*").alias("n"))
-    total = counts.groupBy("shard").agg(F.sum("n").alias("total")).filter(F.col("total") > leaf).select("shard")
-    large = counts.join(total, "shard").select("shard", "ring", F.ceil(F.col("n") / leaf).cast("int").alias("cut"))
-    piece = large.select("shard", "ring", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("piece"))
-    other = piece.select("shard", F.struct("ring", "piece").alias("two"))
+    """Add ``leaf`` to rows of ``shard, node, ring, size, part``: the shard itself, or for a shard of a load over ``leaf`` every pair of pieces,
+    in one ring or neighbouring ones, that the row takes part in.
+
+    A row's load is 1, or one for every ``LOAD`` shingles; a piece is about ``leaf`` of it, cut by ``node``, which no two rows of a shard
+    share. A ``part`` (rows connected already) of more than that has pieces of its own, which do not meet each other.
+    """
+    load = F.greatest(F.lit(1.0), F.col("size") / LOAD)
+    parts = rows.groupBy("shard", "ring", "part").agg(F.sum(load).alias("n"))
+    parts = common.settle(parts.withColumn("own", F.when(F.col("n") > leaf, F.col("part")).otherwise("")))
+    total = parts.groupBy("shard").agg(F.sum("n").alias("total")).filter(F.col("total") > leaf).select("shard")
+    large = parts.join(total, "shard").groupBy("shard", "ring", "own").agg(F.ceil(F.sum("n") / leaf).cast("int").alias("cut"))
+    piece = large.select("shard", "ring", "own", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("piece"))
+    other = piece.select("shard", F.struct("ring", "own", "piece").alias("two"))
     meets = (
-        piece.withColumn("one", F.struct("ring", "piece"))
+        piece.withColumn("one", F.struct("ring", "own", "piece"))
         .join(other, "shard")
         .filter(F.abs(F.col("ring") - F.col("two.ring")) <= 1)
+        .filter((F.col("own") == "") | (F.col("own") != F.col("two.own")))
         .withColumn("leaf", F.xxhash64("shard", F.least("one", "two"), F.greatest("one", "two")))
-        .select("shard", "ring", "piece", "leaf")
+        .select("shard", "ring", "own", "piece", "leaf")
     )
-    dealt = rows.join(large, ["shard", "ring"], "left")
+    owned = parts.filter("own != ''").select("shard", "ring", "part", "own")
+    dealt = rows.join(owned, ["shard", "ring", "part"], "left").withColumn("own", F.coalesce("own", F.lit("")))
+    dealt = dealt.join(large, ["shard", "ring", "own"], "left")
     keep = [*rows.columns, "leaf"]
     whole = dealt.filter("cut is null").withColumn("leaf", F.xxhash64("shard")).select(*keep)
     cut = dealt.filter("cut is not null").withColumn("piece", F.pmod(F.xxhash64(F.lit("piece"), "node"), "cut").cast("int"))
-    return whole.union(cut.join(meets, ["shard", "ring", "piece"]).select(*keep))
+    return whole.union(cut.join(meets, ["shard", "ring", "own", "piece"]).select(*keep))
 
 
 def link_sets(
-    leaf: np.ndarray, size: np.ndarray, bits: np.ndarray, sets: list[np.ndarray], least: float
+    leaf: np.ndarray, size: np.ndarray, bits: np.ndarray, part: np.ndarray, sets: list[np.ndarray], least: float
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of alike pairs that span every group of alike rows in a leaf. Sizes and parity bits leave out only pairs whose
-    similarity they prove to be lower."""
+    """Row numbers of alike pairs that, with what joins the rows of a ``part``, span every group of alike rows in a leaf. Sizes and
+    parity bits leave out only pairs whose similarity they prove to be lower."""
     order = np.lexsort((size, leaf))
     leaf, size, bits = leaf[order], size[order], bits[order]
     joined, left, right = Joined(len(size)), [], []
+    number, names = pd.factorize(part[order])
+    first = np.full(len(names), len(size))
+    np.minimum.at(first, number, np.arange(len(size)))
+    joined.new(np.arange(len(size)), first[number])
     at, k = np.arange(len(size)), 0
     while True:
         k += 1
@@ -335,14 +357,33 @@ def link_sets(
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
+def led_pairs(rows: DataFrame, leaders: DataFrame, least: float) -> DataFrame:
+    """``a, b``: the rows of a shard with the leaders of their ring and the next, without pairs that sizes or parity bits rule out."""
+    lead = leaders.select("shard", F.explode(F.array("ring", F.col("ring") - 1)).alias("ring"), "lead")
+    both = F.col("size") + F.col("lead.size")
+    bits = F.zip_with("bits", "lead.bits", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    near = (
+        (F.col("node") != F.col("lead.node"))
+        & (F.least("size", "lead.size") >= least * F.greatest("size", "lead.size"))
+        & (F.aggregate(bits, F.lit(0), lambda n, x: n + x) <= both * ((1 - least) / (1 + least)) + 1e-6)
+    )
+    pairs = rows.join(lead, ["shard", "ring"]).filter(near)
+    return pairs.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
+
+
 def similar_links(docs: DataFrame, classes: DataFrame, least: float = SIMILARITY, leaf: int = LEAF) -> DataFrame:
-    """``a, b``: nodes of ``classes`` (``node, size, bits, keys``; one row a distinct text) whose texts are alike, enough to connect every
-    group.
+    """``a, b``: nodes of ``classes`` (``node, size, bits, keys, same``; one row a distinct text) whose texts are alike, or connected by such
+    links, enough to connect every group.
 
-    Only texts that share a min-hash with another one are looked at; their shingle sets travel to the shards.
+    Only texts that share a min-hash with another one are looked at; their shingle sets travel to the pairs and shards.
     """
+    one = classes.groupBy(F.coalesce("same", "node").alias("same"))
+    one = common.settle(one.agg(F.min("node").alias("node"), *[F.first(c).alias(c) for c in ["size", "bits", "keys"]]))
+    copies = classes.select("same", F.col("node").alias("a")).join(one.select("same", F.col("node").alias("b")), "same")
+    copies = copies.filter("a != b").select("a", "b")
+
     shards = F.transform("keys", lambda key, t: F.xxhash64(t, key))
-    rows = classes.select("node", "size", "bits", F.explode(F.array_distinct(shards)).alias("shard"))
+    rows = one.select("node", "size", "bits", F.explode(F.array_distinct(shards)).alias("shard"))
     live = rows.groupBy("shard").agg(F.count("*").alias("_n")).filter("_n > 1").select("shard")
     rows = rows.join(live, "shard", "left_semi").withColumn("ring", size_ring(F.col("size"), least))
     rows = common.settle(rows)
@@ -351,16 +392,41 @@ def similar_links(docs: DataFrame, classes: DataFrame, least: float = SIMILARITY
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     text = docs.select(_node(F.col("text")).alias("node"), "text").join(wanted, "node", "left_semi")
     sets = common.one_row_each(text, [F.col("node")], [F.col("node")]).select("node", shingle_sets("text").alias("set"))
-    dealt = set_leaves(rows, leaf).join(sets, "node")
+    sets = common.settle(sets)
+
+    place = F.xxhash64(F.lit("leader"), "node")
+    leaders = rows.groupBy("shard", "ring", F.pmod(place, F.lit(LEADERS)).alias("turn"))
+    leaders = leaders.agg(F.min(F.struct(place, "node", "size", "bits")).alias("lead"), F.count("*").alias("n"))
+    leaders = common.settle(leaders)
+
+    @F.pandas_udf(T.BooleanType())
+    def similar(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([alike(x, y, least) for x, y in zip(a, b, strict=True)], dtype=bool)
+
+    checked = led_pairs(rows, leaders, least)
+    for end in ("a", "b"):
+        checked = checked.join(sets.select(F.col("node").alias(end), F.col("set").alias(f"set_{end}")), end)
+    led = common.connected_components(checked.filter(similar("set_a", "set_b")).select("a", "b"))
+
+    part = F.coalesce("component", "node")
+    parted = rows.join(led, "node", "left").select(*rows.columns, part.alias("part"))
+    apart = parted.groupBy("shard").agg(F.min("part").alias("_a"), F.max("part").alias("_b")).filter("_a != _b")
+    # where every row is a leader, all pairs are checked
+    unseen = leaders.groupBy("shard").agg(F.max("n").alias("_n")).filter("_n > 1")
+    parted = parted.join(apart, "shard", "left_semi").join(unseen, "shard", "left_semi")
+    dealt = set_leaves(common.settle(parted), leaf).join(sets, "node")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in by_leaf(batches):
-            node, size = part["node"].to_numpy(), part["size"].to_numpy()
-            bits = np.array(part["bits"].to_list(), dtype=np.int64).reshape(-1, PARITY).view(np.uint64)
-            a, b = link_sets(part["leaf"].to_numpy(), size, bits, part["set"].to_list(), least)
+        for rows in by_leaf(batches):
+            node, size = rows["node"].to_numpy(), rows["size"].to_numpy()
+            bits = np.array(rows["bits"].to_list(), dtype=np.int64).reshape(-1, PARITY).view(np.uint64)
+            a, b = link_sets(
+                rows["leaf"].to_numpy(), size, bits, rows["part"].to_numpy(), rows["set"].to_list(), least
+            )
             yield pd.DataFrame({"a": node[a], "b": node[b]})
 
-    return in_leaves(dealt, "node", "size", "bits", "set").mapInPandas(search, "a string, b string")
+    rest = in_leaves(dealt, "node", "size", "bits", "part", "set").mapInPandas(search, "a string, b string")
+    return copies.union(led.toDF("a", "b")).union(rest)
 
 
 def _node(text: Column) -> Column:
@@ -378,7 +444,7 @@ def without_near_copies(docs: DataFrame, least: float = SIMILARITY, leaf: int =
     sig = signature("text")
     marked = docs.select(F.col("doc_id"), _node(F.col("text")).alias("node"), sig.alias("sig"))
     marked = common.settle(marked.select("doc_id", "node", "sig.*"))
-    order, traits = F.struct(F.col("doc_id").isNull(), "doc_id", "node"), ["size", "bits", "keys"]
+    order, traits = F.struct(F.col("doc_id").isNull(), "doc_id", "node"), ["size", "bits", "keys", "same"]
     classes = common.settle(
         marked.groupBy("node").agg(*[F.first(c).alias(c) for c in traits], F.min(order).alias("first"))
     )
