@@ -26,6 +26,14 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, or ``name`` with underscores in front, so that no column of ``taken`` has it (in any case)."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
 def text_key(text: Column) -> list[Column]:
     """128 bits of a text as two longs; a null text differs from every text."""
     return [F.xxhash64(text.isNull(), text), F.xxhash64(F.lit("second"), text.isNull(), text)]

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from turnloom.llm import (
     chat,
+    clusters,
     common,
     decontaminate,
+    lexical,
     lines,
     neighbours,
     pieces,
@@ -18,6 +20,7 @@ from turnloom.llm import (
     secret_scan,
     sharding,
     simhash,
+    tokens,
     toxicity,
 )
 
@@ -131,3 +134,78 @@ def op1_secret_findings(spark, folder):
     return secret_scan.score(found, forest).select(
         "doc_id", "start", "length", held.alias("held_out"), label.cast("int").alias("label"), "score", "secret"
     )
+
+
+CLUSTERS, ROUNDS, DIM = 8, 10, clusters.DIM
+CENTROID = ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+
+
+@query
+def op11_centroid_clusters(spark, folder):
+    return clusters.cluster(table(spark, folder, "embeddings"), k=CLUSTERS, rounds=ROUNDS).select(*CENTROID)
+
+
+def _rounds() -> str:
+    """The rounds one after another: distances of all vectors to the centroids, the nearest, the means."""
+    steps = []
+    for i in range(ROUNDS + 1):
+        steps.append(f"""
+d{i} AS MATERIALIZED (SELECT r, k, sum((x - c) * (x - c)) AS d FROM v JOIN c{i} USING (j) GROUP BY r, k),
+a{i} AS MATERIALIZED (SELECT r, k, d FROM d{i} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, k) = 1)""")
+        if i < ROUNDS:
+            steps.append(f"""
+s{i} AS (SELECT k, j, sum(x)::BIGINT AS s, count(*) AS n FROM a{i} JOIN v USING (r) GROUP BY k, j),
+c{i + 1} AS MATERIALIZED (
+    SELECT k, j, CASE WHEN n IS NULL THEN c ELSE (s - ((s % n) + n) % n) // n END AS c FROM c{i} LEFT JOIN s{i} USING (k, j))""")
+    return ",".join(steps)
+
+
+ORACLES["op11_centroid_clusters"] = f"""
+WITH e AS (
+    SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, embedding FROM embeddings
+    WHERE len(embedding) = {DIM} AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = {DIM}),
+v AS MATERIALIZED (
+    SELECT r, generate_subscripts(embedding, 1) AS j, floor(1024 * unnest(embedding)::DOUBLE)::BIGINT AS x FROM e),
+f AS (SELECT r, row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR)) - 1 AS k FROM e QUALIFY k < {CLUSTERS}),
+c0 AS MATERIALIZED (SELECT k, j, x AS c FROM f JOIN v USING (r)),{_rounds()},
+g AS (SELECT k, sum(d) AS own FROM a{ROUNDS} GROUP BY k),
+h AS (SELECT k, sha256(string_agg(c::VARCHAR, ',' ORDER BY j)) AS centroid_sha256 FROM c{ROUNDS} GROUP BY k)
+SELECT vec_id, k::INTEGER AS cluster, d::BIGINT AS distance, own::BIGINT AS cluster_inertia,
+    (SELECT sum(d) FROM a{ROUNDS})::BIGINT AS inertia, centroid_sha256
+FROM a{ROUNDS} JOIN e USING (r) JOIN g USING (k) JOIN h USING (k)
+"""
+
+CONTEXT = 4096
+
+
+@query
+def op12_token_counts(spark, folder):
+    """Counts of the library's tokens; a document over ``CONTEXT`` tokens would have to be cut for a model of that context."""
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    counted = tokens.count_tokens(table(spark, folder, "documents").select("doc_id", "text"), model=model)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > CONTEXT).alias("over_limit"))
+
+
+@query
+def op13_ranked_search(spark, folder):
+    return lexical.search(table(spark, folder, "benchmark"), table(spark, folder, "documents"))
+
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+ORACLES["op13_ranked_search"] = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}') AS ts FROM documents),
+w AS (SELECT r, doc_id, len(ts) AS n FROM d WHERE len(ts) > 0),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM w),
+q AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term FROM benchmark),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d) GROUP BY r, term),
+f AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM t, total GROUP BY term, docs),
+s AS (
+    SELECT item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+    FROM q JOIN f USING (term) JOIN t USING (term) JOIN w USING (r), total GROUP BY item_id, r)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s JOIN w USING (r) WHERE score > 0 QUALIFY rank <= 10
+"""
