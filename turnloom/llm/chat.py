@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.operators.ordered import fold_before
+from turnloom.llm.blocks import fold_before
 
 PART = 1_024  # turns in a rendered part
 HEAD, TAIL = "<|", "|>\n"
