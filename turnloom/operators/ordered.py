@@ -1,45 +1,80 @@
-"""Folds over everything before a row in its group, for groups of any size.
+"""Folds over everything before a row in its group, for groups of any size and order values of any spread.
 
-A plain window puts a whole group into one task. When one conversation (or run, or source) holds a third
-of the table that task never ends, so the group is cut into blocks of ``span`` order values:
+A plain window puts a whole group into one task. When one conversation (or run, or source) holds a third of the table that task
+never ends, so rows are cut into blocks by their rank in (group, order), as a sample sort does:
 
-1. a window per (group, block) folds inside the block;
-2. the last row of every block, one row per block, is folded over the blocks of the group, again in blocks;
-3. the carried value is joined back by (group, block), on the partitioning the first window already has.
+1. cuts are taken from a bounded sample of the keys, so that blocks hold about equally many rows, whatever the order values are
+   and however the rows are dealt over groups;
+2. every row finds its block by binary search among the cuts, and one exchange deals the blocks over the tasks;
+3. a window per (block, group) folds inside the block. Only groups that a cut falls into need more: the last row of each of
+   their blocks is a summary, the summaries (at most two a cut) are folded over the blocks before, and what a block is to be told is joined back.
 
-With two levels the only window over a whole group sees one short row per ``span * span`` order values. There is one plan
-for groups of any size; where no group has a second block, nothing is carried.
+There is one plan for groups of any size. Cuts decide where rows go and never what comes out, so they may be taken from another, cheaper
+table with keys alike (``sample``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
-
-SPAN = 16_384
-LEVELS = 2
-
-
-def _over(kind: str, value: Column, window: WindowSpec) -> Column:
-    before = window.rowsBetween(Window.unboundedPreceding, -1)
-    if kind == "prev":
-        return F.lag(value).over(window)
-    if kind == "last":
-        return F.last(value, ignorenulls=True).over(before)
-    return {"sum": F.sum, "min": F.min, "max": F.max}[kind](value).over(before)
-
-
-def _join(kind: str, earlier: Column, later: Column) -> Column:
-    if kind == "last":
-        return F.coalesce(later, earlier)
-    if kind == "sum":
-        return F.coalesce(earlier + later, earlier, later)
-    return {"min": F.least, "max": F.greatest}[kind](earlier, later)
+from pyspark.sql import Column, DataFrame
+
+SPAN = 8_192  # rows below which no block is cut
+PER_TASK = 32  # blocks a shuffle partition, so that tasks of hashed blocks are about even
+PER_BLOCK = 16  # sampled keys a block
+MOST = 65_536  # blocks of a table
+
+# What is folded over the rows before one in a window {w}, and how an earlier result goes with a later one.
+BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+INSIDE = {
+    "prev": "lag({v}) OVER ({w})",
+    "last": f"last({{v}}, true) OVER ({{w}} {BEFORE})",
+    "sum": f"sum({{v}}) OVER ({{w}} {BEFORE})",
+    "min": f"min({{v}}) OVER ({{w}} {BEFORE})",
+    "max": f"max({{v}}) OVER ({{w}} {BEFORE})",
+}
+JOINED = {
+    "prev": "{later}",
+    "last": "coalesce({later}, {earlier})",
+    "sum": "coalesce({earlier} + {later}, {earlier}, {later})",
+    "min": "least({earlier}, {later})",
+    "max": "greatest({earlier}, {later})",
+}
+
+# One statement: it is also much quicker to build than its hundreds of column objects.
+FOLD = """
+WITH
+keys AS (SELECT {key} AS k FROM {{sample}} WHERE {present}),
+wanted AS (SELECT least(ceil(count(*) / {span}), {most}) AS blocks, count(*) AS n FROM keys),
+share AS (SELECT {per_block} * 2147483648D * blocks / n AS bound FROM wanted),
+-- a key is drawn by its hash, about {per_block} a block, so the array below is bounded by the number of blocks
+drawn AS (
+    SELECT array_sort(collect_list(k)) AS ks, (SELECT blocks FROM wanted) AS n
+    FROM keys WHERE pmod(xxhash64(k), 2147483648) < (SELECT bound FROM share)),
+cuts AS (
+    SELECT CASE WHEN n > 1 THEN array_distinct(
+        transform(sequence(1, CAST(n AS INT) - 1), i -> get(ks, CAST(floor(i * size(ks) / n) AS INT))))
+        ELSE slice(ks, 1, 0) END AS cuts FROM drawn),
+found AS (SELECT *, {key} AS _key, (SELECT cuts FROM cuts) AS _cuts FROM {{df}} WHERE {present}),
+-- how many cuts are not above the key, by binary search
+placed AS (
+    SELECT *, aggregate(array({steps}), 0, (at, s) -> CASE WHEN get(_cuts, at + s - 1) <= _key THEN at + s ELSE at END) AS _block
+    FROM found),
+-- edge: 1 where the group has begun in an earlier block, 2 where it may go on in a later one, 3 for both; one number, so that both
+-- readers of this exchange need the same columns
+dealt AS (
+    SELECT /*+ REPARTITION(_block) */ {columns}, {values}, _block,
+        CASE WHEN _block > 0 AND {begun} THEN 1 ELSE 0 END + CASE WHEN {goes_on} THEN 2 ELSE 0 END AS _edge
+    FROM placed),
+inside AS (
+    SELECT *, {inside}, row_number() OVER ({own}) = 1 AS _first, lead(1) OVER ({own}) IS NULL AS _last FROM dealt),
+-- what is compared at last is 0; it names every column, so that this branch reads the exchange of the other instead of making its own
+ends AS (SELECT {group}, _block, _edge, {upto} FROM inside WHERE _last AND _edge > hash({columns}) % 1),
+told AS (SELECT _edge, _block, {told} FROM ends),
+-- at most one group of a block has begun in an earlier one
+heard AS (SELECT _block, {heard} FROM told WHERE _edge % 2 = 1)
+SELECT {columns}, {whole} FROM inside LEFT JOIN heard USING (_block)
+"""
 
 
 def fold_before(
@@ -48,47 +83,56 @@ def fold_before(
     order: str,
     folds: dict[str, tuple[str, Column]],
     span: int = SPAN,
-    levels: int = LEVELS,
+    sample: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per name, a fold over the earlier rows of the group: ``prev`` (the row before), ``last`` non-null, ``sum``,
     ``min`` or ``max``.
 
-    ``order`` must be an integer column, unique in its group. NULL where no earlier row counts. Rows without a group
-    or order value have no place in any group and are left out.
+    ``order`` must be unique in its group. NULL where no earlier row counts. Rows without a group or order value have no place in
+    any group and are left out. ``sample`` is a table with the columns of ``group`` and ``order`` to take cuts from instead of ``df``, for
+    a ``df`` that is dear to compute: the keys are read twice before the rows are. Blocks have about ``span`` rows at least.
     """
-    group = list(group)
-    df = df.filter(reduce(and_, [F.col(c).isNotNull() for c in [*group, order]]))
-
-    in_block, starts, ends = f"_block{levels}", f"_starts{levels}", f"_ends{levels}"
-    # both branches below read this one shuffle; a block that could be NULL would get a filter on one side only
-    block = Window.partitionBy(*group, in_block).orderBy(order)
-    inside = (
-        df.withColumn(in_block, F.expr(f"coalesce(`{order}` div {span}, 0)"))
-        .repartition(*group, in_block)
-        .withColumns(
-            {name: _over(kind, value, block) for name, (kind, value) in folds.items()}
-            | {starts: F.lag(order).over(block).isNull(), ends: F.lead(order).over(block).isNull()}
-        )
-    )
-    at_end = {
-        name: value if kind == "prev" else _join(kind, F.col(name), value) for name, (kind, value) in folds.items()
-    }
-    carry = {f"_in{levels}_{name}": (kind, F.col(f"_at_{name}")) for name, (kind, _) in folds.items()}
-    tails = inside.filter(ends).select(*group, in_block, *[value.alias(f"_at_{name}") for name, value in at_end.items()])
-    if levels > 1:
-        carried = fold_before(tails, group, in_block, carry, span, levels - 1)
-    else:
-        blocks = Window.partitionBy(*group).orderBy(in_block)
-        carried = tails.withColumns({name: _over(kind, value, blocks) for name, (kind, value) in carry.items()})
-    # the first block of a group is told nothing
-    carried = carried.filter(reduce(or_, [F.col(name).isNotNull() for name in carry])).select(*group, in_block, *carry)
-
-    def whole(name: str, kind: str) -> Column:
-        earlier, later = F.col(f"_in{levels}_{name}"), F.col(name)
-        return F.when(F.col(starts), earlier).otherwise(later) if kind == "prev" else _join(kind, earlier, later)
-
-    return (
-        inside.join(carried, [*group, in_block], "left")
-        .withColumns({name: whole(name, kind) for name, (kind, _) in folds.items()})
-        .drop(in_block, starts, ends, *carry)
+    spark = df.sparkSession
+    q = lambda c: f"`{c}`"
+    group = [q(c) for c in group]
+    keys = [*group, q(order)]
+    own = f"PARTITION BY _block, {', '.join(group)} ORDER BY {q(order)}"
+    blocks = f"PARTITION BY {', '.join(group)} ORDER BY _block"
+    given = {name: q(f"_v{i}") for i, name in enumerate(folds)}
+    kinds = {name: kind for name, (kind, _) in folds.items()}
+    same = lambda at: " AND ".join(f"coalesce(get(_cuts, {at}).k{i} = {c}, false)" for i, c in enumerate(group))
+
+    def full(name: str, kind: str) -> str:
+        earlier, later = f"CASE WHEN _edge % 2 = 1 THEN `_in_{name}` END", f"`_own_{name}`"
+        if kind == "prev":
+            return f"CASE WHEN _first THEN {earlier} ELSE {later} END AS {q(name)}"
+        return f"{JOINED[kind].format(earlier=earlier, later=later)} AS {q(name)}"
+
+    def upto(name: str, kind: str) -> str:
+        earlier, later = f"`_own_{name}`", given[name]
+        return f"{JOINED[kind].format(earlier=earlier, later=later)} AS `_at_{name}`"
+
+    def over(name: str, kind: str, value: str, window: str) -> str:
+        return INSIDE[kind].format(v=value, w=window)
+
+    text = FOLD.format(
+        key=f"named_struct({', '.join(f'{chr(39)}k{i}{chr(39)}, {c}' for i, c in enumerate(keys))})",
+        present=" AND ".join(f"{c} IS NOT NULL" for c in keys),
+        span=span,
+        most=min(MOST, PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))),
+        per_block=PER_BLOCK,
+        steps=", ".join(str(2**i) for i in reversed(range(MOST.bit_length()))),
+        columns=", ".join(map(q, df.columns)),
+        values=", ".join(given.values()),
+        begun=same("_block - 1"),
+        goes_on=same("_block"),
+        group=", ".join(group),
+        own=own,
+        inside=", ".join(f"{over(n, k, given[n], own)} AS `_own_{n}`" for n, k in kinds.items()),
+        upto=", ".join(upto(n, k) for n, k in kinds.items()),
+        told=", ".join(f"{over(n, k, f'`_at_{n}`', blocks)} AS `_in_{n}`" for n, k in kinds.items()),
+        heard=", ".join(f"`_in_{n}`" for n in kinds),
+        whole=", ".join(full(n, k) for n, k in kinds.items()),
     )
+    valued = df.withColumns({f"_v{i}": value for i, (_, value) in enumerate(folds.values())})
+    return spark.sql(text, df=valued, sample=df if sample is None else sample)

@@ -1,7 +1,7 @@
 """Turns to instruction rows.
 
 Input: ``conv_id, turn, role, text``. All rules are folds over earlier turns, so one very long conversation
-is spread over many tasks (see ``ordered``).
+is spread over many tasks (see ``ordered``). Where turns are dear to compute, ``sample`` takes the blocks from a cheaper table.
 """
 
 from __future__ import annotations
@@ -31,21 +31,22 @@ def normalize_role(role: Column) -> Column:
     return F.when(low.isin(*USER_ALIASES), "user").when(low.isin(*ASSISTANT_ALIASES), "assistant").otherwise(role)
 
 
-def _previous(turns: DataFrame, span: int) -> DataFrame:
-    """Add the turn before: ``prev_turn``, ``prev_role``, ``prev_text``."""
-    return fold_before(turns, [CONV], TURN, _before_row(), span)
-
-
 def _before_row() -> dict[str, tuple[str, Column]]:
+    """The turn before: ``prev_turn``, ``prev_role``, ``prev_text``."""
     return {f"prev_{c}": ("prev", F.col(c)) for c in (TURN, "role", "text")}
 
 
-def pair_adjacent(turns: DataFrame, span: int = SPAN) -> DataFrame:
-    """A user turn directly followed by an assistant turn. Keyed by the user turn."""
-    rows = _previous(turns, span)
-    return rows.filter((F.col("role") == "assistant") & (F.col("prev_role") == "user")).select(
+def pair_adjacent(
+    turns: DataFrame, span: int = SPAN, sample: DataFrame | None = None, renumber: bool = False
+) -> DataFrame:
+    """A user turn directly followed by an assistant turn. Keyed by the user turn, with ``renumber`` by how many turns its
+    conversation has before it (dense numbers after rows were removed, in the same pass)."""
+    folds = _before_row() | ({"rank": ("sum", F.lit(1).cast("bigint"))} if renumber else {})
+    rows = fold_before(turns, [CONV], TURN, folds, span, sample)
+    return rows.filter("role = 'assistant' AND prev_role = 'user'").select(
         CONV,
-        F.col("prev_turn").alias(TURN),
+        # the row before has one row less before it
+        (F.expr("rank - 1") if renumber else F.col("prev_turn")).alias(TURN),
         F.col("prev_text").alias("instruction"),
         F.lit("").alias("input"),
         F.col("text").alias("output"),
@@ -57,7 +58,7 @@ def pair_stats(turns: DataFrame, span: int = SPAN) -> DataFrame:
 
     A scan step that forms no pair is a row that has a successor and belongs to no pair.
     """
-    rows = _previous(turns.withColumn("text", F.lit("")), span)
+    rows = fold_before(turns.select(CONV, TURN, "role"), [CONV], TURN, {"prev_role": ("prev", F.col("role"))}, span)
     closes = F.coalesce((F.col("role") == "assistant") & (F.col("prev_role") == "user"), F.lit(False))
     per_conv = (
         rows.withColumn("closes", closes)
@@ -76,11 +77,11 @@ def pair_stats(turns: DataFrame, span: int = SPAN) -> DataFrame:
     )
 
 
-def pair_carry_forward(turns: DataFrame, span: int = SPAN) -> DataFrame:
+def pair_carry_forward(turns: DataFrame, span: int = SPAN, sample: DataFrame | None = None) -> DataFrame:
     """Each assistant turn with the latest user turn anywhere before it; the user turn is not used up."""
     low = F.lower("role")
     asked = F.when(low.isin(*CARRY_USER_ALIASES), F.col("text"))
-    rows = fold_before(turns, [CONV], TURN, {"asked": ("last", asked)}, span)
+    rows = fold_before(turns, [CONV], TURN, {"asked": ("last", asked)}, span, sample)
     return rows.filter(low.isin(*CARRY_ASSISTANT_ALIASES) & F.col("asked").isNotNull()).select(
         CONV,
         TURN,
@@ -90,11 +91,9 @@ def pair_carry_forward(turns: DataFrame, span: int = SPAN) -> DataFrame:
     )
 
 
-def pair_outer(
-    turns: DataFrame, source: Column | None = None, span: int = SPAN
-) -> DataFrame:
+def pair_outer(turns: DataFrame, source: Column | None = None, span: int = SPAN) -> DataFrame:
     """Every assistant turn; input is the directly preceding user turn, else empty."""
-    rows = _previous(turns, span)
+    rows = fold_before(turns, [CONV], TURN, _before_row(), span)
     return rows.filter(F.col("role") == "assistant").select(
         CONV,
         TURN,
@@ -111,7 +110,11 @@ def survivors(turns: DataFrame) -> DataFrame:
 
 
 def pair_history(
-    turns: DataFrame, max_turns: int | None = None, span: int = SPAN, block: int = HISTORY_BLOCK
+    turns: DataFrame,
+    max_turns: int | None = None,
+    span: int = SPAN,
+    block: int = HISTORY_BLOCK,
+    sample: DataFrame | None = None,
 ) -> DataFrame:
     """Assistant turns after a user turn, with everything said before as history and as instruction context.
 
@@ -121,7 +124,7 @@ def pair_history(
     asks for the blocks it needs, and only a pair's own history meets in one row. ``history_turns`` is the linear form.
     """
     ranked = fold_before(
-        survivors(turns), [CONV], TURN, _before_row() | {"rank": ("sum", F.lit(1).cast("bigint"))}, span
+        survivors(turns), [CONV], TURN, _before_row() | {"rank": ("sum", F.lit(1).cast("bigint"))}, span, turns if sample is None else sample
     ).withColumn("rank", F.coalesce("rank", F.lit(0)))
     entry = F.struct("rank", F.struct(F.col("role"), F.col("text").alias("content")).alias("said"))
     in_block = F.expr(f"rank div {block}")
@@ -162,7 +165,5 @@ def history_turns(turns: DataFrame, span: int = SPAN) -> DataFrame:
 
     Linear in the input, unlike written-out histories.
     """
-    ranked = fold_before(
-        survivors(turns), [CONV], TURN, {"rank": ("sum", F.lit(1).cast("bigint"))}, span
-    )
+    ranked = fold_before(survivors(turns), [CONV], TURN, {"rank": ("sum", F.lit(1).cast("bigint"))}, span, turns)
     return ranked.withColumn("rank", F.coalesce("rank", F.lit(0)))

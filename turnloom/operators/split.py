@@ -103,28 +103,26 @@ def augment_persona(df: DataFrame, keys: Sequence[str], text: str = "text", seed
 
 
 def epoch_schedule(
-    df: DataFrame, keys: Sequence[str], epochs: float = 1.0, max_steps: int | None = None, span: int = SPAN
+    df: DataFrame,
+    keys: Sequence[str],
+    epochs: float = 1.0,
+    max_steps: int | None = None,
+    span: int = SPAN,
+    sample: DataFrame | None = None,
 ) -> DataFrame:
     """``step, epoch, keys``: the rows in key order, repeated for ``epochs`` passes or until ``max_steps`` steps are reached.
 
-    ``keys`` are one or two integer columns, unique together. A row's step is how many rows come before it: those of smaller
-    first keys, from the counts of the first keys, and those of its own; both are folded in blocks.
+    ``keys`` are unique together. A row's step is how many rows come before it; they are counted in blocks by rank, so the whole table
+    may be one sequence. ``sample`` is a cheaper table with ``keys`` alike, to cut the blocks by.
     """
-    *groups, order = keys
-    one = {"_in": ("sum", F.lit(1).cast("bigint"))}
-    everything = F.lit(0).alias("_all")
+    placed = lambda rows: rows.select(*keys, F.struct(*keys).alias("_place"), F.lit(0).alias("_all"))
+    one = {"_before": ("sum", F.lit(1).cast("bigint"))}
     total = df.agg(F.count("*").alias("n")).scalar()
-    if groups:
-        sizes = df.groupBy(*groups).agg(F.count("*").alias("_size")).select("*", everything)
-        starts = fold_before(sizes, ["_all"], groups[0], {"_start": ("sum", F.col("_size"))}, span)
-        ranked = fold_before(df.select(*keys), groups, order, one, span).join(starts.select(*groups, "_start"), groups)
-    else:
-        ranked = fold_before(df.select(*keys, everything), ["_all"], order, one, span).withColumn("_start", F.lit(0))
+    ranked = fold_before(placed(df), ["_all"], "_place", one, span, placed(df if sample is None else sample))
     steps = F.floor(F.lit(epochs) * F.col("_n")) if max_steps is None else F.lit(max_steps).cast("bigint")
-    ranked = ranked.withColumn("_n", total).withColumn("_steps", steps)
-    rank = F.coalesce("_start", F.lit(0)) + F.coalesce("_in", F.lit(0)) + 1
     return (
-        ranked.withColumn("_rank", rank)
+        ranked.withColumn("_n", total)
+        .withColumns({"_steps": steps, "_rank": F.coalesce("_before", F.lit(0)) + 1})
         .filter("_rank <= _steps")
         .withColumn("epoch", F.explode(F.expr("sequence(0L, (_steps - _rank) div _n)")))
         .select((F.col("epoch") * F.col("_n") + F.col("_rank")).alias("step"), (F.col("epoch") + 1).alias("epoch"), *keys)

@@ -313,10 +313,8 @@ def dedup_documents(spark, folder):
 
 @query
 def dedup_then_pair(spark, folder):
-    df = turns(spark, folder)
-    kept = dedup.renumber_turns(dedup.dedup_turns(X.with_copies(X.ragged(df))))
-    named = kept.withColumn("role", pair.normalize_role(F.col("role")))
-    return pair.pair_adjacent(named)
+    copied = X.with_copies(X.ragged(turns(spark, folder)))
+    return pair.pair_adjacent(_named(dedup.dedup_turns(copied)), sample=copied, renumber=True)
 
 
 # ---- pairing: as delivered, and with ragged roles, where the rules differ
@@ -642,7 +640,9 @@ def augment_persona(spark, folder):
 
 @query
 def epoch_schedule(spark, folder):
-    return split.epoch_schedule(pairs(spark, folder), ["conv_id", "turn"], epochs=SCHEDULE_EPOCHS)
+    return split.epoch_schedule(
+        pairs(spark, folder), ["conv_id", "turn"], epochs=SCHEDULE_EPOCHS, sample=turns(spark, folder)
+    )
 
 
 # ---- statistics

@@ -11,19 +11,29 @@ from turnloom.functions import prompts
 from turnloom.functions import text as T
 from turnloom.operators import dedup, extract, pair, profile, segment
 
+TURN_CHARS = 400
+
 
 def turns_to_prompts(turns: DataFrame) -> DataFrame:
     """Normalize roles, drop repeated texts, pair, render: the main path from turns to training text."""
     named = turns.withColumn("role", pair.normalize_role(F.col("role")))
-    pairs = pair.pair_adjacent(dedup.dedup_turns(named))
+    pairs = pair.pair_adjacent(dedup.dedup_turns(named), sample=turns)
     text = prompts.header_system(F.col("instruction"), F.col("input"), F.col("output"))
     return pairs.select("conv_id", "turn", text.alias("prompt"))
 
 
+def likely_turns(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``conv_id, turn``: about as many turns as a document of this length may have, without looking into it. Sequential rules take the
+    cuts of their blocks from here, so that documents are parsed once."""
+    numbers = F.explode(F.expr(f"sequence(0L, coalesce(length(`{text}`), 0) div {TURN_CHARS})"))
+    return docs.select(F.col(key).alias("conv_id"), numbers.alias("turn"))
+
+
 def exports_to_pairs(exports: DataFrame, key: str) -> DataFrame:
     """Raw exports to instruction rows: extract, drop repeats, repair, pair."""
     turns = extract.extract_export_array(exports, [key]).withColumnRenamed(key, "conv_id")
-    return pair.pair_adjacent(turns.withColumn("text", T.recover_contaminated(F.col("text"))))
+    cleaned = turns.withColumn("text", T.recover_contaminated(F.col("text")))
+    return pair.pair_adjacent(cleaned, sample=likely_turns(exports, key, "raw"))
 
 
 def pages_to_stats(pages: DataFrame, keys: Sequence[str], markdown: str) -> DataFrame:
@@ -34,10 +44,10 @@ def pages_to_stats(pages: DataFrame, keys: Sequence[str], markdown: str) -> Data
 def pages_to_pairs(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     """Saved chat pages to instruction rows by carry-forward pairing."""
     turns = extract.extract_precedence(pages, [key], html).drop("method").withColumnRenamed(key, "conv_id")
-    return pair.pair_carry_forward(turns)
+    return pair.pair_carry_forward(turns, sample=likely_turns(pages, key, html))
 
 
 def files_to_history_pairs(files: DataFrame, key: str, text: str = "text") -> DataFrame:
     """JSON or transcript files to instruction rows with history."""
     turns = extract.route_json_text(files, [key], text).drop("route").withColumnRenamed(key, "conv_id")
-    return pair.pair_history(turns)
+    return pair.pair_history(turns, sample=likely_turns(files, key, text))
