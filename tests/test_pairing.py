@@ -284,7 +284,7 @@ def test_building_a_query_runs_no_job(spark, data):
     spark.sparkContext.setJobGroup("building", "building")
     made = [
         catalog.QUERIES[name](spark, data)
-        for name in ("pair_adjacent", "pair_history", "dedup_then_pair", "split_exact", "epoch_schedule", "kb_search")
+        for name in ("pair_adjacent", "pair_history", "dedup_then_pair", "split_exact", "epoch_schedule")
     ]
     # reading a Parquet schema is a job; the rest builds plans
     assert len(tracker.getJobIdsForGroup("building")) <= 2 * len(made)

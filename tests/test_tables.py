@@ -3,6 +3,7 @@
 import json
 import math
 import os
+import random
 import re
 
 import pytest
@@ -83,6 +84,39 @@ def test_a_question_of_many_words_uses_them_all(spark):
     assert retrieve.kb_search(spark.createDataFrame([(1, "common")], qs.schema), kb).count() == 0
 
 
+def test_pruned_search_gives_the_answers_of_a_full_one(spark):
+    """Texts of very different lengths, many ties, more documents than the blocks that are scored first."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(60)]
+    docs = [(d, "", " ".join(rng.choices(vocabulary, k=rng.choice([1, 3, 9, 40, 200])))) for d in range(400)]
+    docs += [(1000 + d, "", docs[d][2]) for d in range(30)]
+    asks = [(q, " ".join(rng.sample(vocabulary, rng.randrange(1, 9)))) for q in range(15)]
+    kb = spark.createDataFrame(docs, "doc_id long, title string, content string")
+    qs = spark.createDataFrame(asks, "question_id long, question string")
+    words = {d: c.split() for d, _, c in docs}
+    df = {w: sum(w in ws for ws in words.values()) for w in vocabulary}
+    want, pairs = [], 0
+    for q, text in asks:
+        keys = [w for w in set(text.split()) if 0 < 2 * df[w] < len(docs)]
+        scores = {
+            d: round(sum((1 + math.log(ws.count(w))) * math.log(1 + len(docs) / df[w]) for w in keys if w in ws), 6)
+            for d, ws in words.items()
+            if any(w in ws for w in keys)
+        }
+        pairs += len(scores)
+        best = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:4]
+        want += [(q, i + 1, d, s) for i, (d, s) in enumerate(best)]
+    assert sorted(tuple(r) for r in retrieve.kb_search(qs, kb, k=4).collect()) == sorted(want)
+    assert retrieve.scored_pairs(qs, kb, 4).count() < pairs / 2
+
+
+def test_a_tenth_of_the_pairs_is_scored(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").selectExpr("doc_id", "left(text, 40) AS title", "text AS content")
+    asks = spark.read.parquet(f"{folder}/benchmark.parquet").selectExpr("item_id AS question_id", "text AS question")
+    assert retrieve.scored_pairs(asks, docs, 3).count() * 10 <= docs.count() * asks.count()
+
+
 def test_a_hot_word_is_dealt_out(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -93,6 +127,7 @@ def test_a_hot_word_is_dealt_out(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert re.search(r"Exchange hashpartitioning\(word#\d+, salt#\d+", plan)
+    assert re.search(r"Exchange hashpartitioning\(word#\d+, block#\d+L", plan)
     assert re.search(r"Exchange hashpartitioning\(question_id#\d+L, doc_id#\d+L", plan)
 
 

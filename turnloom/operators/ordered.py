@@ -19,7 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 
-SPAN = 8_192  # rows below which no block is cut
+SPAN = 2_048  # rows below which no block is cut
 PER_TASK = 32  # blocks a shuffle partition, so that tasks of hashed blocks are about even
 PER_BLOCK = 16  # sampled keys a block
 MOST = 65_536  # blocks of a table

@@ -3,6 +3,11 @@
 Ranking: a document scores the sum, over all words of a question that it holds, of (1 + ln tf) times the word's weight.
 A word weighs ln(1 + N / df), and nothing when at least half the documents hold it, so leaving such words out
 changes no score and no question meets every document by way of a stop word.
+
+Search is pruned by block maxima. Documents of about the same length stand in blocks, since what a word can add grows with the length of
+a text; for every word and block the greatest tf is kept. Their sum over a question's words bounds all scores of the block. The
+two blocks with the highest bounds are scored first, their k-th best score is the question's threshold, and of the other blocks only
+those whose bound reaches it are scored. The answers are the exact ones.
 """
 
 from __future__ import annotations
@@ -12,48 +17,96 @@ from pyspark.sql import functions as F
 
 from turnloom.functions import prompts
 from turnloom.functions import text as T
+from turnloom.sources.sinks import written
 
 WORD = r"[\p{L}\p{N}]+"
 SALTS = 32
+BLOCK = 32  # documents a block, on the average
+OCTAVE = 8  # length classes for every doubling of the length
+FIRST = 8  # blocks of a question that are scored to find its threshold
+SLACK = 1e-5  # more than rounding a score to six places, or the order of a sum, can change
 
 
 def words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(WORD), F.lit(0))
 
 
-def postings(docs: DataFrame) -> DataFrame:
-    """``doc_id, word, tf``: a document's words stand in one task, so they are counted before they are shuffled."""
-    searched = words(F.concat_ws("\n", "title", "content"))
-    return docs.select("doc_id", F.explode(searched).alias("word")).groupBy("doc_id", "word").agg(F.count("*").alias("tf"))
+def blocked(docs: DataFrame) -> DataFrame:
+    """``doc_id, block, searched``: documents of a length class are dealt over blocks by their hash."""
+    searched = F.concat_ws("\n", "title", "content")
+    length = F.floor(F.log2(F.length("searched") + 1) * OCTAVE).cast("bigint")
+    sized = docs.select("doc_id", searched.alias("searched")).withColumn("class", length)
+    buckets = sized.groupBy("class").agg(F.ceil(F.count("*") / BLOCK).alias("buckets"))
+    place = F.shiftleft("class", 40) + F.pmod(F.xxhash64("doc_id"), F.col("buckets"))
+    # at most OCTAVE classes for each of the 31 doublings that a text can have
+    return sized.join(F.broadcast(buckets), "class").select("doc_id", place.alias("block"), "searched")
+
+
+def postings(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """``doc_id, block, word, tf`` of the words in ``asked``: a document's words stand in one task, so they are counted before
+    they are shuffled."""
+    held = blocked(docs).select("doc_id", "block", F.explode(words(F.col("searched"))).alias("word"))
+    counted = held.join(asked.select("word").distinct(), "word", "left_semi").groupBy("doc_id", "block", "word")
+    return counted.agg(F.count("*").alias("tf"))
+
 
+def asked_words(questions: DataFrame) -> DataFrame:
+    return questions.select("question_id", F.explode(F.array_distinct(words(F.col("question")))).alias("word"))
 
-def word_weights(questions: DataFrame, docs: DataFrame, held: DataFrame) -> DataFrame:
+
+def word_weights(asked: DataFrame, docs: DataFrame, held: DataFrame) -> DataFrame:
     """``question_id, word, weight``: the words of every question that weigh something."""
     total = docs.agg(F.count("*").alias("n")).scalar()
     df = held.groupBy("word").agg(F.count("*").alias("df")).filter(F.col("df") * 2 < total)
-    asked = questions.select("question_id", F.explode(F.array_distinct(words(F.col("question")))).alias("word"))
     return asked.join(df, "word").select("question_id", "word", F.log(1 + total / F.col("df")).alias("weight"))
 
 
-def kb_search(questions: DataFrame, docs: DataFrame, k: int = 3) -> DataFrame:
-    """``question_id, rank, doc_id, score``: the best ``k`` documents of every question, ties by ``doc_id``.
-
-    The documents of a word are dealt out over ``SALTS`` parts that all meet the questions with the word, scores are summed on the
-    way to (question, document), and each task passes on only its own best ``k`` rows a question.
-    """
-    held = postings(docs)
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    weights = word_weights(questions, docs, held).withColumn("salt", salts)
-    dealt = held.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    scored = (
-        dealt.join(weights, ["word", "salt"])
-        .groupBy("question_id", "doc_id")
-        .agg(F.sum((1 + F.log(F.col("tf"))) * F.col("weight")).alias("score"))
-        .withColumn("score", F.round("score", 6))
+def _impact(tf: Column) -> Column:
+    return 1 + F.log(tf)
+
+
+def _bounds(weights: DataFrame, held: DataFrame) -> DataFrame:
+    """``question_id, block, bound``: no document of the block scores more for the question. The blocks of a word are dealt out over
+    ``SALTS`` parts that all meet the questions with the word, and bounds are summed on the way to (question, block)."""
+    greatest = held.groupBy("word", "block").agg(F.max("tf").alias("tf"))
+    dealt = greatest.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(SALTS)).cast("int"))
+    salted = weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = dealt.join(salted, ["word", "salt"])
+    return met.groupBy("question_id", "block").agg(F.sum(_impact(F.col("tf")) * F.col("weight")).alias("bound"))
+
+
+def _scores(chosen: DataFrame, weights: DataFrame, held: DataFrame) -> DataFrame:
+    """``question_id, doc_id, score`` of all documents in the ``chosen`` (question, block)."""
+    met = chosen.join(weights, "question_id").join(held, ["word", "block"])
+    scored = met.groupBy("question_id", "doc_id").agg(F.sum(_impact(F.col("tf")) * F.col("weight")).alias("score"))
+    return scored.withColumn("score", F.round("score", 6))
+
+
+def scored_pairs(questions: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """``question_id, doc_id, score`` of the pairs that bounds cannot rule out: all of the best ``k`` of every question are among
+    them. The postings are read several times, so they are counted at once and written to the shared folder; the rest is lazy."""
+    asked = asked_words(questions)
+    held = written(postings(docs, asked))
+    weights = word_weights(asked, docs, held)
+    bounds = _bounds(weights, held)
+    order = Window.partitionBy("question_id").orderBy(F.desc("bound"), "block")
+    first = bounds.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= FIRST).select("question_id", "block")
+    seen = _scores(first, weights, held).withColumn(
+        "place", F.row_number().over(Window.partitionBy("question_id").orderBy(F.desc("score"), "doc_id"))
     )
+    thresholds = seen.filter(F.col("place") == k).select("question_id", F.col("score").alias("least"))
+    reached = F.col("bound") >= F.coalesce("least", F.lit(0.0)) - SLACK
+    chosen = bounds.join(thresholds, "question_id", "left").filter(reached).select("question_id", "block")
+    return _scores(chosen, weights, held)
+
+
+def kb_search(questions: DataFrame, docs: DataFrame, k: int = 3) -> DataFrame:
+    """``question_id, rank, doc_id, score``: the best ``k`` documents of every question, ties by ``doc_id``. Each task passes on only
+    its own best ``k`` rows a question."""
     best = Window.partitionBy("question_id").orderBy(F.desc("score"), "doc_id")
     return (
-        scored.withColumn("rank", F.row_number().over(best))
+        scored_pairs(questions, docs, k)
+        .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
         .select("question_id", F.col("rank").cast("bigint").alias("rank"), "doc_id", "score")
     )

@@ -24,7 +24,7 @@ from turnloom.operators import (
 )
 from turnloom.plans import fixtures as X
 from turnloom.plans import flows
-from turnloom.sources import readers
+from turnloom.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,6 +74,18 @@ def src_json_turns(spark, folder):
     return readers.explode_turns(X.turn_arrays(docs(spark, folder)), ["doc_id"], "json")
 
 
+@query
+def src_json_list(spark, folder):
+    """Documents as messages of large JSON files, spread over lines, and read back in byte ranges."""
+    path = sinks.scratch(spark)
+    said = F.struct(F.col("doc_id").cast("string").alias("role"), F.col("text").alias("content"))
+    docs(spark, folder).select(F.to_json(said, {"pretty": "true"})).write.text(path)
+    read = readers.read_turn_list(spark, path, depth=0)
+    return read.select(
+        F.col("role").cast("bigint").alias("doc_id"), F.length("text").alias("n_chars"), F.md5("text").alias("digest")
+    )
+
+
 @query
 def src_instructions(spark, folder):
     # even conversations come as plain rows, odd ones wrapped in a "data" list

@@ -98,6 +98,7 @@ ITEM = f"{cycle(X.ITEM_ROLES, 'i + 1')}"
 
 ORACLES["src_json_turns"] = f"SELECT doc_id, i AS turn, {ITEM} AS role, l AS text FROM ({DOC_LINES})"
 ORACLES["src_instructions"] = f"SELECT instruction, input, output FROM ({ROWS})"
+ORACLES["src_json_list"] = "SELECT doc_id, length(text) AS n_chars, md5(text) AS digest FROM documents"
 ORACLES["src_pages"] = "SELECT page_id, url, length(html) AS n_chars, md5(html) AS digest FROM pages"
 
 # shape 0: messages; 1: transcript; 2: broken JSON around a transcript; 3 and 4: nothing

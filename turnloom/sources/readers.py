@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnloom.sources.arrays import read_elements
+
 SET_ASIDE = "\ue000\ufdd0\ue000"  # private-use and non-characters that no page has in this order
 INSTRUCTION_ROW = "instruction string, input string, output string"
 
@@ -59,6 +61,23 @@ def read_turns(spark: SparkSession, path: str) -> DataFrame:
     return explode_turns(whole_text(spark, path, "*.json"), ["file", "name"], "value")
 
 
+def read_turn_list(spark: SparkSession, path: str, depth: int = 1) -> DataFrame:
+    """What ``read_turns`` gives, for lists too large for one row: every file is read in byte ranges by as many tasks as it has ranges.
+    Without a list around the messages (``depth=0``) they may stand one after another."""
+    found = read_elements(spark, path, "*.json" if depth else "*", depth=depth)
+    turn = parse_turn_array(F.concat(F.lit("["), "element", F.lit("]")))
+    return found.select("file", "name", F.col("ordinal").alias("turn"), F.get(turn, F.lit(0)).alias("t")).select(
+        "file", "name", "turn", "t.role", "t.text"
+    )
+
+
+def read_instruction_list(spark: SparkSession, path: str, wrapped: bool = False) -> DataFrame:
+    """What ``read_instructions`` gives for one array of objects, or a ``{"data": [...]}`` file, of any size."""
+    found = read_elements(spark, path, "*.json", depth=2 if wrapped else 1)
+    row = found.select(F.from_json("element", INSTRUCTION_ROW).alias("r"))
+    return row.select(*[F.coalesce(f"r.{c}", F.lit("")).alias(c) for c in ("instruction", "input", "output")])
+
+
 def read_instructions(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Instruction rows from JSON arrays, wrapped ``{"data": [...]}`` files, or (not ``multi_line``) JSON Lines."""
     raw = spark.read.schema(f"{INSTRUCTION_ROW}, data array<struct<{_fields()}>>").json(path, multiLine=multi_line)

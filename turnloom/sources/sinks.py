@@ -2,7 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the cluster's ``spark.checkpoint.dir``; only where the session names none (tests) in a local folder."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="run-")
+    return f"{named.rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder: several readers cost its work once, and a lost executor none of it."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
