@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -30,6 +31,20 @@ def random_texts(seed, alphabet, n=200, longest=400):
     return ["".join(rng.choice(alphabet) for _ in range(rng.randrange(longest))) for _ in range(n)]
 
 
+def test_latin_runs_like_a_loop(spark):
+    """Runs of few letters hold each other, also once letters between have gone."""
+    rng = random.Random(11)
+    texts = ["".join(rng.choices("aabbcAB你é1", k=rng.randrange(0, 60))) for _ in range(400)] + ["ab" * 5000 + "你a你b", "", "你"]
+    want = []
+    for text in texts:
+        rest = text
+        for run in re.findall("[A-Za-z]+", text):
+            rest = rest.replace(run, "")
+        want.append((sorted(re.sub("[A-Za-z]", "", rest)), sorted(re.findall("[A-Za-z]", rest))))
+    got = many(spark, texts, script.without_latin_runs)
+    assert [(sorted(re.sub("[A-Za-z]", "", g)), sorted(re.findall("[A-Za-z]", g))) for g in got] == want
+
+
 def test_strip_is_unicode_aware(spark):
     values = ["　 a b\x85\n", "\x1c x", "", " \t "]
     assert many(spark, values, T.strip) == [v.strip() for v in values]

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import bisect
+import re
+
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from turnloom.functions import text as T
 from turnloom.functions.binding import let
@@ -47,17 +53,43 @@ def without_latin_runs(c: Column) -> Column:
     """The characters left (other ones first) when Latin runs are taken out one after another, each wherever it then stands in the
     text: the letters of a short run also go from the longer runs after it.
 
-    Runs never grow together, so equal runs always look alike and each different run is worked on once.
+    Runs never grow together, so equal runs always look alike and each different run is worked on once. An automaton of a text's runs finds
+    in one pass over a run which of them it holds; the earliest is taken out, and what is left is passed over again for later ones. So the
+    cost is the length of the text times how many runs go from one run, and not times all runs. Python with Arrow, because a built-in
+    expression has no map to look runs up in; the helper is nested so that it travels to executors by value.
     """
 
-    def counted(runs: Column, kinds: Column) -> Column:
-        left = F.aggregate(runs, F.array_join(kinds, " "), lambda rest, run: F.replace(rest, run, F.lit("")))
-        often = lambda kind: F.size(F.filter(runs, lambda run: run == kind))
-        return F.zip_with(F.split(left, " "), kinds, lambda rest, kind: F.when(rest != "", F.repeat(rest, often(kind))))
-
-    runs = F.regexp_extract_all(c, F.lit("[A-Za-z]+"), F.lit(0))
-    letters = let(runs, lambda r: let(F.array_distinct(r), lambda kinds: F.array_join(counted(r, kinds), "")))
-    return F.concat(F.regexp_replace(c, "[A-Za-z]+", ""), letters)
+    def left(text: str) -> str:
+        runs = re.findall("[A-Za-z]+", text)
+        if not runs:
+            return text
+        kinds = list(dict.fromkeys(runs))
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for i, kind in enumerate(kinds):
+            automaton.add_word(kind, i)
+        automaton.make_automaton()
+        # a run that is repeated is taken out again at each of its places, which matters where letters have come together
+        turns = [[] for _ in kinds]
+        for at, run in enumerate(runs):
+            turns[automaton.get(run)].append(at)
+        after = lambda i, at: turns[i][bisect.bisect_right(turns[i], at)] if turns[i][-1] > at else len(runs)
+        rests = {}
+        for kind in kinds:
+            rest, at = kind, -1
+            while rest:
+                at = min((after(i, at) for _, i in automaton.iter(rest)), default=len(runs))
+                if at == len(runs):
+                    break
+                rest = rest.replace(runs[at], "")
+            if rest:
+                rests[kind] = rest
+        return "".join([re.sub("[A-Za-z]+", "", text), *[rests[run] for run in runs if run in rests]])
+
+    @F.pandas_udf(StringType())
+    def taken_out(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else left(t) for t in texts], dtype=object)
+
+    return taken_out(c)
 
 
 def is_mostly_script(c: Column, script: str = HAN_ALL, legacy: bool = True) -> Column:
@@ -67,7 +99,7 @@ def is_mostly_script(c: Column, script: str = HAN_ALL, legacy: bool = True) -> C
     """
     bare = content_chars(c)
     return let(
-        let(bare, without_latin_runs) if legacy else F.regexp_replace(bare, "[A-Za-z]+", ""),
+        without_latin_runs(bare) if legacy else F.regexp_replace(bare, "[A-Za-z]+", ""),
         lambda rest: (F.length(rest) == 0) | (script_chars(rest, script) > MOSTLY_SHARE * F.length(rest)),
     )
 

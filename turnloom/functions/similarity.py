@@ -22,7 +22,7 @@ def char_match(a: Column, b: Column) -> Column:
 def lcs_length(a: Column, b: Column) -> Column:
     """Length of the longest common subsequence of the whole texts.
 
-    The one Python step of the library: a built-in expression needs a cell per pair of characters, this one a
+    A Python step: a built-in expression needs a cell per pair of characters, this one a
     big-integer step per character. The helper is nested so that it travels to executors by value.
     """
 

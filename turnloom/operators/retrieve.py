@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from turnloom.functions import prompts
 from turnloom.functions import text as T
-from turnloom.sources.sinks import written
+from turnloom.sources.sinks import written_in_buckets
 
 WORD = r"[\p{L}\p{N}]+"
 SALTS = 32
@@ -84,9 +84,10 @@ def _scores(chosen: DataFrame, weights: DataFrame, held: DataFrame) -> DataFrame
 
 def scored_pairs(questions: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """``question_id, doc_id, score`` of the pairs that bounds cannot rule out: all of the best ``k`` of every question are among
-    them. The postings are read several times, so they are counted at once and written to the shared folder; the rest is lazy."""
+    them. The postings are read several times, so they are counted at once and written to the shared
+    folder, in buckets that all later joins and groups of them share; the rest is lazy."""
     asked = asked_words(questions)
-    held = written(postings(docs, asked))
+    held = written_in_buckets(postings(docs, asked), "word", "block")
     weights = word_weights(asked, docs, held)
     bounds = _bounds(weights, held)
     order = Window.partitionBy("question_id").orderBy(F.desc("bound"), "block")

@@ -31,31 +31,37 @@ FROM (
     FROM (SELECT *, split(regexp_replace(piece, '(?s)\\\\.', ''), '"', -1) AS parts FROM {raw}))
 """
 
-# A piece or range starts inside a string after an odd number of quotes.
-ELEMENTS = r"""
+# A piece or range starts inside a string after an odd number of quotes. The three statements are not one with named parts: rows are
+# numbered by where they lie, and Spark would deal such a part out anew before each use.
+PARITY = r"""
+SELECT *,
+    CASE WHEN quotes_before % 2 = 0 THEN deeper_outside ELSE deeper_inside END AS deeper_0,
+    CASE WHEN quotes_before % 2 = 0 THEN deeper_inside ELSE deeper_outside END AS deeper_1
+FROM (
+    SELECT *, coalesce(sum(quotes) OVER (
+        PARTITION BY file, range ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS quotes_before
+    FROM {pieces})
+"""
+
+DEPTH = r"""
 WITH
-pieces AS (
-    SELECT *,
-        CASE WHEN quotes_before % 2 = 0 THEN deeper_outside ELSE deeper_inside END AS deeper_0,
-        CASE WHEN quotes_before % 2 = 0 THEN deeper_inside ELSE deeper_outside END AS deeper_1
-    FROM (
-        SELECT *, coalesce(sum(quotes) OVER (
-            PARTITION BY file, range ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS quotes_before
-        FROM {{pieces}})),
 ranges AS (
-    SELECT file, range, sum(quotes) AS quotes, sum(deeper_0) AS deeper_0, sum(deeper_1) AS deeper_1 FROM pieces GROUP BY file, range),
+    SELECT file, range, sum(quotes) AS quotes, sum(deeper_0) AS deeper_0, sum(deeper_1) AS deeper_1 FROM {{pieces}} GROUP BY file, range),
 entered AS (
     SELECT file, range, deeper_0, deeper_1, coalesce(sum(quotes) OVER before, 0) % 2 AS odd FROM ranges
     WINDOW before AS (PARTITION BY file ORDER BY range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 started AS (
     SELECT file, range, odd,
         coalesce(sum(CASE WHEN odd = 0 THEN deeper_0 ELSE deeper_1 END) OVER before, 0) AS depth FROM entered
-    WINDOW before AS (PARTITION BY file ORDER BY range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-deep AS (
-    SELECT p.*, (quotes_before + quotes + odd) % 2 = 0 AND {depth} = s.depth + sum(CASE WHEN odd = 0 THEN deeper_0 ELSE deeper_1 END)
-        OVER (PARTITION BY file, range ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ends
-    FROM pieces p JOIN started s USING (file, range)),
-counted AS (SELECT file, range, count_if(ends) AS n FROM deep GROUP BY file, range),
+    WINDOW before AS (PARTITION BY file ORDER BY range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT p.*, (quotes_before + quotes + odd) % 2 = 0 AND {depth} = s.depth + sum(CASE WHEN odd = 0 THEN deeper_0 ELSE deeper_1 END)
+    OVER (PARTITION BY file, range ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ends
+FROM {{pieces}} p JOIN started s USING (file, range)
+"""
+
+ELEMENTS = r"""
+WITH
+counted AS (SELECT file, range, count_if(ends) AS n FROM {deep} GROUP BY file, range),
 numbered AS (
     SELECT file, range, coalesce(sum(n) OVER (
         PARTITION BY file ORDER BY range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first,
@@ -63,7 +69,7 @@ numbered AS (
 placed AS (
     SELECT d.file, name, range, at, piece, total, first + coalesce(sum(CAST(ends AS INT)) OVER (
         PARTITION BY file, range ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ordinal
-    FROM deep d JOIN numbered USING (file, range))
+    FROM {deep} d JOIN numbered USING (file, range))
 SELECT file, first(name) AS name, ordinal,
     array_join(transform(array_sort(collect_list(named_struct('r', range, 'a', at, 'p', piece))), x -> x.p), '') AS element
 FROM placed WHERE ordinal < total GROUP BY file, ordinal
@@ -93,8 +99,8 @@ def read_elements(spark: SparkSession, path: str, glob: str = "*", close: str =
             f"concat(value, '{close}') AS piece",
         )
     )
-    pieces = spark.sql(PIECES, raw=files)
-    found = spark.sql(ELEMENTS.format(depth=depth), pieces=pieces)
+    pieces = spark.sql(PARITY, pieces=spark.sql(PIECES, raw=files))
+    found = spark.sql(ELEMENTS, deep=spark.sql(DEPTH.format(depth=depth), pieces=pieces))
     # an element begins with the bracket that fits; the first one has the open brackets around it before that
     opener = {"}": r"\x7B", "]": r"\x5B"}[close]
     around = rf"^(?:[^\x5B\x7B]*[\x5B\x7B]){{{depth}}}[^{opener}]*"
