@@ -37,7 +37,8 @@ def test_odd_vectors(spark):
     bad = [(300, None), (320, [0.0] * 8), (340, [1.0, nan] + [0.0] * 6), (360, [inf] + [0.0] * 7), (380, [1.0, None]), (400, [])]
     rows = good + bad + [(None, good[0][1]), good[20], good[20]]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("clash"))
-    got = answers_of(neighbours.nearest(df, F.col("vec_id") % 20 == 0, k=20))
+    # all vectors ranked again, so that the answers are the exact ones
+    got = answers_of(neighbours.nearest(df, F.col("vec_id") % 20 == 0, k=20, rerank=1.0))
     want = exact([(i, v + [0.0] * (8 - len(v))) for i, v in good], lambda i: i % 20 == 0, 20)
     assert set(got) == set(want)
     for i in want:
@@ -54,11 +55,10 @@ def test_odd_vectors(spark):
 def test_recall(spark, monkeypatch, block, queries):
     monkeypatch.setattr(neighbours, "BLOCK", block)
     monkeypatch.setattr(neighbours, "QUERIES", queries)
-    monkeypatch.setattr(neighbours, "LEAST", 64)
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [(r.vec_id, np.array(r.embedding)) for r in vectors.collect()]
     ids, matrix = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
-    got = answers_of(neighbours.nearest(vectors, F.col("vec_id") % 20 == 0, rerank=0.4))
+    got = answers_of(neighbours.nearest(vectors, F.col("vec_id") % 20 == 0))
     assert set(got) == set(ids[ids % 20 == 0].tolist())
     hit = 0
     for i, near in got.items():
@@ -68,8 +68,20 @@ def test_recall(spark, monkeypatch, block, queries):
     assert hit / (20 * len(got)) > 0.9
 
 
-def test_recall_of_the_query(spark):
-    folder = "/root/testdata/sf0.1"
+def test_ties_go_to_the_smaller_id(spark):
+    """Signs only, so that far more than twice k vectors tie; every vector is ranked again."""
+    rng = np.random.default_rng(3)
+    vectors = {tuple(v) for v in rng.choice([-1.0, 1.0], size=(700, 12)).tolist()}
+    ids = rng.permutation(5000)[: len(vectors)].tolist()
+    rows = list(zip(ids, map(list, sorted(vectors)), strict=True))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = answers_of(neighbours.nearest(df, F.col("vec_id") % 20 == 0, k=20, rerank=1.0))
+    assert got == exact(rows, lambda i: i % 20 == 0, 20)
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.1"])
+def test_recall_of_the_query(spark, size):
+    folder = f"/root/testdata/{size}"
     rows = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
     ids, matrix = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows])
     got = answers_of(QUERIES["op4_permutation_neighbours"](spark, folder))
@@ -78,7 +90,7 @@ def test_recall_of_the_query(spark):
         score = matrix @ matrix[ids == i][0]
         order = [j for j in ids[np.lexsort((ids, -score))].tolist() if j != i][:20]
         hit += len(set(order) & {j for j, _ in near})
-    assert hit / (20 * len(got)) > 0.95
+    assert hit / (20 * len(got)) > 0.93
 
 
 # ---- chats
@@ -137,7 +149,10 @@ def stages(spark, data):
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, data).cache()
         made.append((name, docs))
-    return dict(made)
+    yield dict(made)
+    # later tests read the same tables and must not meet cached ones
+    for _, df in made:
+        df.unpersist()
 
 
 def ids(df):

@@ -1,11 +1,11 @@
 """Approximate nearest neighbours by inner product with a permutation index.
 
 1. A bounded sample of ``PIVOTS`` vectors are the pivots. A vector is represented by its pivots in order of nearness and posted
-   in each of its nearest pivots' inverted files with its place there. So that nearness means inner product also for
+   in the pivots' inverted files with its place there (in all of them: on vectors without clusters fewer lose recall). So that nearness means inner product also for
    vectors of different lengths, stored vectors get one more component that makes all lengths equal.
 2. A query goes through the files of its own nearest pivots and adds up, for every vector, how far the pivot's places
    are apart (the footrule distance; a vector absent from a file counts as last).
-3. The vectors of the smallest footrule, a share ``RERANK`` of every block, are ranked again by the exact inner product.
+3. The vectors of the smallest footrule, a share ``RERANK`` of every block at every size, are ranked again by the exact inner product.
 
 The index is dealt in blocks of about ``BLOCK`` vectors, the queries in blocks of ``QUERIES``, and every pair of blocks is a
 task, so memory is bounded whatever the table's size. Equal vectors are one entry with its smallest ids.
@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 from turnloom.llm import common
 
 PIVOTS = 64
-RERANK = 0.25
-LEAST = 1_024  # vectors of a block ranked again at least
+RERANK = 0.5
 BLOCK = 4_096
 QUERIES = 16_384
 NEAREST = 20
@@ -59,9 +58,10 @@ def products(rows: np.ndarray, vector: np.ndarray) -> np.ndarray:
 
 
 def search_block(
-    stored: np.ndarray, queries: np.ndarray, pivots: np.ndarray, longest: float, prefix: int, rerank: float, k: int
+    stored: np.ndarray, ids: np.ndarray, queries: np.ndarray, pivots: np.ndarray, longest: float, prefix: int, rerank: float, k: int
 ) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For every query the ``k`` best (row numbers, scores) among the stored vectors of smallest footrule distance."""
+    """For every query the ``k`` best (row numbers, scores) among the stored vectors of smallest footrule distance, ties to the
+    smaller of ``ids``."""
 
     def extra(x: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum(longest - (x * x).sum(axis=1), 0.0))
@@ -69,18 +69,21 @@ def search_block(
     near = stored @ pivots.T + extra(stored)[:, None] * extra(pivots)[None, :]
     files = np.ascontiguousarray(places(near, prefix)[1].T)  # pivot -> place in every stored vector's order
     order, _ = places(queries @ pivots.T, prefix)
-    keep = min(len(stored), max(LEAST, int(np.ceil(rerank * len(stored)))))
+    keep = min(len(stored), max(k, int(np.ceil(rerank * len(stored)))))
+    # what two ways of adding up a product may differ by
+    slack = 1e-9 * np.sqrt(longest) * np.sqrt((queries * queries).sum(axis=1))
     found = []
-    for query, own in zip(queries, order, strict=True):
+    for query, own, near_zero in zip(queries, order, slack, strict=True):
         footrule = np.zeros(len(stored), dtype=np.int16 if prefix <= 128 else np.int32)
         for place, pivot in enumerate(own.tolist()):
             footrule += np.abs(files[pivot] - np.int16(place))
         near_by = np.arange(len(stored)) if keep == len(stored) else np.argpartition(footrule, keep - 1)[:keep]
         rough = stored[near_by] @ query
-        few = near_by if len(near_by) <= 2 * k else near_by[np.argpartition(-rough, 2 * k - 1)[: 2 * k]]
-        score = products(stored[few], query)
-        best = np.argsort(-score, kind="stable")[:k]
-        found.append((few[best], score[best]))
+        if len(near_by) > k:  # all that may tie with the k-th stay, however many
+            near_by = near_by[rough >= np.partition(rough, -k)[-k] - near_zero]
+        score = products(stored[near_by], query)
+        best = np.lexsort((ids[near_by], -score))[:k]
+        found.append((near_by[best], score[best]))
     return found
 
 
@@ -130,10 +133,11 @@ def nearest(
     def search(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(index) or not len(queries):
             return pd.DataFrame({"q0": [], "q1": [], "ids": [], "score": []})
+        own = index["ids"].to_numpy()
+        least = np.array([i[0] for i in own], dtype=np.int64)
         found = search_block(
-            stacked(index["v"], width), stacked(queries["q"], width), points, longest, len(points), rerank, k + 1
+            stacked(index["v"], width), least, stacked(queries["q"], width), points, longest, len(points), rerank, k + 1
         )
-        own = index["ids"].to_numpy()
         out = [
             (a, b, own[i], s)
             for a, b, (at, score) in zip(queries["q0"], queries["q1"], found, strict=True)
