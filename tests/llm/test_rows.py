@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from turnloom.llm import chat, decontaminate, lines, neighbours, pieces, simhash, toxicity
+from turnloom.llm import chat, decontaminate, lines, neighbours, pieces, quality_rules, simhash, toxicity
 from turnloom.llm.queries import QUERIES
 
 
@@ -214,3 +214,24 @@ def test_pieces_of_what_is_left(stages):
 def test_run(spark, data, stages):
     got = corpus_pipeline.run(spark, data)
     assert sorted(map(str, got.collect())) == sorted(map(str, stages["pieces"].collect()))
+
+
+WORKING = ["_scan", "_upper", "_at", "_id", "_node", "_k0", "_rank", "_toxic", "_d0", "_DIGIT", "_letters"]
+
+
+def test_pipeline_on_empty_odd_and_clashing_tables(spark, odd, none):
+    """Every stage keeps a caller's columns, whatever their names, and takes odd rows and no rows."""
+    folder = "/root/testdata/sf0.001"
+    for name, stage in corpus_pipeline.STAGES:
+        docs = odd.withColumns({c: F.lit("mine") for c in WORKING})
+        out = stage(spark, docs, folder)
+        assert set(docs.columns) <= set(out.columns), name
+        rows = out.select("doc_id", *WORKING).collect()
+        assert rows and all(r[c] == "mine" for r in rows for c in WORKING), name
+        assert stage(spark, none, folder).count() == 0, name
+
+
+def test_clashing_columns_of_scores(spark, odd):
+    docs = odd.withColumns({c: F.lit("mine") for c in WORKING})
+    for made in (toxicity.score(docs, toxicity.Model({"fox": 2.0}, 1.0, 1.0, 0.0, 1.0)), quality_rules.score(docs, quality_rules.Model(0.0, ()))):
+        assert all(r[c] == "mine" for r in made.select(*WORKING).collect() for c in WORKING)

@@ -164,13 +164,35 @@ def auc(label, score):
 
 
 def test_toxicity_on_held_out_labels(spark):
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     got = QUERIES["op10_toxic_passages"](spark, folder).join(labels, "doc_id").collect()
     held = [r for r in got if r.held_out]
     assert held and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
-    assert auc([r.toxic for r in held], [r.score for r in held]) > 0.7
-    assert sum(r.predicted and not r.toxic for r in held) <= 0.02 * len(held)
+    assert auc([r.toxic for r in held], [r.score for r in held]) > 0.95
+    assert sum(r.predicted and not r.toxic for r in held) <= 0.01 * len(held)
+    assert sum(r.predicted and r.toxic for r in held) >= 0.85 * sum(r.toxic for r in held)
+
+
+def test_evidence_counts_contexts(spark):
+    """Against sets: contexts of every word by label, of the whole sample and without each fold."""
+    rng = random.Random(5)
+    rows = [(" ".join(rng.choices("abcd", k=rng.randint(0, 6))), float(rng.random() < 0.5), rng.randrange(toxicity.FOLDS)) for _ in range(60)]
+    got = {r.word: (r.toxic, r.clean) for r in toxicity.evidence(spark.createDataFrame(rows, "text string, label double, fold int")).collect()}
+    met = set()
+    for text, label, fold in rows:
+        tokens = ["", *text.split(), ""]
+        met |= {(b, (a, c), label, fold) for a, b, c in zip(tokens, tokens[1:], tokens[2:], strict=False)}
+    for word in "abcd":
+        for label, mine in ((1.0, got[word][0]), (0.0, got[word][1])):
+            left = [{c for w, c, at, f in met if w == word and at == label and f != k} for k in (-1, *range(toxicity.FOLDS))]
+            assert mine == [len(x) for x in left]
+
+
+def test_words_of_equal_evidence_are_treated_alike():
+    rows = [(f"w{i}", 9, 0) for i in range(6000)] + [("rare", 2, 0), ("plain", 9, 90)]
+    scores, _ = toxicity.marking(rows, 60_000, 600_000, {}, 1_000_000)
+    assert set(scores) == {f"w{i}" for i in range(6000)} and len(set(scores.values())) == 1
 
 
 def test_toxicity_of_odd_rows(spark, odd, none):
@@ -246,10 +268,71 @@ def test_spans():
 def test_secrets_on_held_out_findings(spark):
     got = QUERIES["op1_secret_findings"](spark, "/root/testdata/sf0.1").collect()
     held = [r for r in got if r.held_out]
+    held = [r for r in held if r.label is not None]
     assert sum(r.label for r in held) > 10 and sum(not r.label for r in held) > 10
     assert sum(r.secret == bool(r.label) for r in held) > 0.95 * len(held)
 
 
+def test_headers_and_long_names():
+    def found(text):
+        return [(text[a:b], assigned) for a, b, assigned in secret_scan.spans(text)]
+
+    assert found("Authorization: Bearer aB3dE5fG7hJ9kL1m\n") == [("aB3dE5fG7hJ9kL1m", True)]
+    assert found("auth => 'Basic  dXNlcjpwYXNz'") == [("dXNlcjpwYXNz", True)]
+    assert found(f"x{'_' * 500}secret{'y' * 500}{' ' * 50}={' ' * 50}hunter2222") == [("hunter2222", True)]
+    assert found("note: token=abcdef, secret-free: no, tokens are words") == [("abcdef", True)]
+    assert found("token " * 50_000 + "token" * 50_000) == []
+
+
+def test_findings_see_whole_words(spark):
+    """Words around a candidate by brute force, however long and far they are."""
+    rng = random.Random(11)
+    words = ["a", "of", "é" * 70, "long" * 30, "key", " " * 60, "-", "x_1", "token=zz9zz9zz9", "Q7" * 12]
+    for _ in range(200):
+        text = rng.choice(["", " ", ": "]).join(rng.choice([" ", ". ", '"']) + rng.choice(words) for _ in range(12))
+        around = secret_scan.Neighbours(text)
+        for a, b, _ in secret_scan.spans(text):
+            tokens = [(m.start(), m.end(), m.group().lower()) for m in secret_scan.WORD.finditer(text)]
+            want = [w for _, e, w in tokens if e <= a][-3:] + [w for s, _, w in tokens if s >= b][:2]
+            assert around.words(a, b) == want
+            assert around.sign(a) == text[:a].rstrip("\"' ")[-2:]
+
+
+def test_planted_secrets(spark):
+    """A forest of reviewed findings: keys without a name are told from identifiers by what stands around them."""
+    rng = random.Random(2)
+    made = []
+    for i in range(240):
+        value = "".join(rng.choices("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789", k=rng.randint(18, 40))) + "7"
+        whole = rng.choice(["commit", "build", "release"]) + "-2024-" + rng.choice(["update", "install", "network"]) + "-version-12"
+        made.append((i, f"we rotated the key {value} after the leak" if i % 2 else f"see the notes of {whole} for more"))
+    found = secret_scan.candidates(spark.createDataFrame(made, "doc_id long, text string"))
+    known = found.withColumn("label", F.col("doc_id") % 2)
+    scored = secret_scan.score(known, secret_scan.train(known.filter("doc_id < 160"))).filter("doc_id >= 160").collect()
+    assert len(scored) == 80 and sum(r.secret == bool(r.doc_id % 2) for r in scored) >= 78
+
+
+def test_labels_of_findings(spark):
+    rows = [(True, 4.0, 20), (True, 1.0, 20), (True, 4.0, 6), (False, 1.0, 20), (False, 4.0, 20)]
+    df = spark.createDataFrame(rows, "assigned boolean, entropy double, length int")
+    got = df.select(secret_scan.silver(F.col("assigned"), F.col("entropy"), F.col("length")).alias("x")).collect()
+    assert [r.x for r in got] == [1.0, 0.0, 0.0, 0.0, None]
+
+
+def test_rules_by_plain_evaluation(spark, documents):
+    """The compiled expression against the rules gone through one after another."""
+    docs, labels = documents, spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = quality_rules.train(docs, labels, F.lit(True))
+    stats = [s.alias(n) for n, s in quality_rules.statistics(F.col("text")).items()]
+    seen = docs.select("doc_id", "text", *stats).dropDuplicates(["text"]).collect()
+    scores = {r.text: r.score for r in quality_rules.score(docs, model).collect()}
+    assert model.rules
+    for r in seen:
+        values = [r[n] for n in quality_rules.NAMES]
+        fired = [w for w, rule in model.rules if all((values[at] <= bound) == (kind == "<=") for at, kind, bound in rule)]
+        assert abs(scores[r.text] - 1 / (1 + np.exp(-(model.intercept + sum(fired))))) < 1e-9
+
+
 def test_secrets_of_odd_rows(odd, none):
     found = secret_scan.candidates(odd).collect()
     assert {(r.doc_id, r.start, r.length) for r in found} >= {(6, 0, 120_000)}

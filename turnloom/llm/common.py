@@ -78,7 +78,7 @@ def bounded_sample(df: DataFrame, rows: int, *cols: str) -> DataFrame:
 
 def one_row_each(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:
     """The first row of every key; a hot key is cut to one row in each task before it is shuffled."""
-    names = [f"_k{i}" for i in range(len(keys))]
+    *names, rank = (fresh(n, df.columns) for n in (*[f"_k{i}" for i in range(len(keys))], "_rank"))
     ranked = df.withColumns(dict(zip(names, keys, strict=True)))
     window = Window.partitionBy(*names).orderBy(*order)
-    return ranked.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank", *names)
+    return ranked.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).drop(rank, *names)

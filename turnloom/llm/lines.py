@@ -70,20 +70,20 @@ def drop_shared_lines(
     shared = common.settle(shared)
 
     ident = [F.xxhash64("doc_id", *common.text_key(F.col("text"))), *common.text_key(F.col("text"))]
-    names = ["_d0", "_d1", "_d2"]
+    *names, at = (common.fresh(n, docs.columns) for n in ("_d0", "_d1", "_d2", "_at"))
     found = (
         docs.select(*[c.alias(n) for c, n in zip(ident, names, strict=True)], F.explode(line_keys(min_chars)).alias("_line"))
-        .select(*names, F.col("_line.key").alias("_key"), F.col("_line.at").alias("_at"))
+        .select(*names, F.col("_line.key").alias("_key"), F.col("_line.at").alias(at))
         .join(shared, "_key")
     )
-    drops = found.groupBy(*names).agg(F.array_distinct(F.flatten(F.collect_list("_at"))).alias("_at"))
+    drops = found.groupBy(*names).agg(F.array_distinct(F.flatten(F.collect_list(at))).alias(at))
     joined = docs.withColumns(dict(zip(names, ident, strict=True))).join(drops, names, "left")
     text = F.coalesce("text", F.lit(""))
-    touched = without_lines(F.when(F.col("_at").isNotNull(), text), F.col("_at"))
+    touched = without_lines(F.when(F.col(at).isNotNull(), text), F.col(at))
     return joined.withColumns(
         {
             "n_lines": (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long"),
-            "n_dropped": F.greatest(F.coalesce(F.size("_at"), F.lit(0)), F.lit(0)).cast("long"),
+            "n_dropped": F.greatest(F.coalesce(F.size(at), F.lit(0)), F.lit(0)).cast("long"),
             "text": F.coalesce(touched, text),
         }
-    ).drop(*names, "_at")
+    ).drop(*names, at)

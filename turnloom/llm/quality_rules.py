@@ -125,9 +125,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quali
     return Model(float(fit.intercept), tuple(kept))
 
 
-def compiled(model: Model) -> Column:
-    """Score expression over the statistics as columns."""
-    columns = [F.col(f"_{name}") for name in NAMES]
+def compiled(model: Model, columns: list[Column]) -> Column:
+    """Score expression over the statistics, given as columns in the order of ``NAMES``."""
     total = F.lit(model.intercept)
     for weight, rule in model.rules:
         total = total + F.when(holds(rule, columns), F.lit(weight)).otherwise(0.0)
@@ -137,6 +136,6 @@ def compiled(model: Model) -> Column:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher: label 1 likelier) and ``good`` (score at least 0.5); columns of these names are
     replaced, others kept, rows neither dropped nor added. Whole texts are read; null and empty texts are scored alike."""
-    stats = {f"_{name}": s for name, s in statistics(F.col("text")).items()}
-    scored = docs.withColumns(stats).withColumn("score", compiled(model))
+    stats = {common.fresh(f"_{name}", docs.columns): s for name, s in statistics(F.col("text")).items()}
+    scored = docs.withColumns(stats).withColumn("score", compiled(model, [F.col(name) for name in stats]))
     return scored.withColumn("good", F.col("score") >= 0.5).drop(*stats)

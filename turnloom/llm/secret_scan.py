@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import pickle
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,9 +30,15 @@ from turnloom.llm.pieces import MODEL
 SAMPLE_ROWS = 20_000
 TREES, DEPTH = 40, 8
 BUCKETS = 12
-AROUND = 48  # characters read for neighbouring words on each side
+BEFORE, AFTER = 3, 2  # neighbouring words that the forest sees
 NAMES = "token secret passwd password pwd api_key apikey api-key access_key auth credential private_key bearer".split()
-ASSIGNED = re.compile(rf"(?:{'|'.join(NAMES)})[\w-]{{0,64}}[\"']?\s{{0,8}}(?:=|:|=>)\s{{0,8}}[\"']?([^\s\"',;]{{6,}})", re.I)
+SCHEMES = "bearer basic digest token".split()  # words of an authorization header before the credential itself
+# an identifier that holds a name is read once, from its start, so that the scan is linear without bounds on lengths
+ASSIGNED = re.compile(
+    rf"(?<![\w-])(?=[\w-]*?(?:{'|'.join(NAMES)}))[\w-]++[\"']?\s*+(?:=>|=|:)\s*+[\"']?"
+    rf"(?:(?:{'|'.join(SCHEMES)})\s++)?+[\"']?([^\s\"',;]{{6,}})",
+    re.I,
+)
 LONG = re.compile(r"(?<![\w+/=.-])(?=[A-Za-z+/_=.-]*[0-9])[A-Za-z0-9+/_=.-]{16,}")
 CREDENTIAL = re.compile("|".join(NAMES))
 WORD = re.compile(r"\w+")
@@ -85,16 +92,37 @@ def bucket(kind_of: str, text: str) -> int:
     return xxhash.xxh32_intdigest(f"{kind_of} {text}") % BUCKETS
 
 
-def features(dictionary: Dictionary, value: str, before: str, after: str, path: str | None) -> list[float]:
+class Neighbours:
+    """The whole words around any place of a text."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.spans = [m.span() for m in WORD.finditer(text)]
+        self.starts, self.ends = [a for a, _ in self.spans], [b for _, b in self.spans]
+
+    def words(self, start: int, end: int) -> list[str]:
+        """The last words that end by ``start`` and the first that begin from ``end`` on, in lower case."""
+        last, first = bisect_right(self.ends, start), bisect_left(self.starts, end)
+        near = self.spans[max(0, last - BEFORE) : last] + self.spans[first : first + AFTER]
+        return [self.text[a:b].lower() for a, b in near]
+
+    def sign(self, start: int) -> str:
+        """The two characters before ``start`` and the quotation marks and spaces in front of it."""
+        while start and self.text[start - 1] in "\"' ":
+            start -= 1
+        return self.text[max(0, start - 2) : start]
+
+
+def features(dictionary: Dictionary, around: Neighbours, start: int, end: int, path: str | None) -> list[float]:
+    value, near, sign = around.text[start:end], around.words(start, end), around.sign(start)
     kinds = [kind(c) for c in value]
     pairs = list(zip(value.lower(), value.lower()[1:], strict=False))
     changes = sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / max(1, len(kinds) - 1)
     letters = [a + b for a, b in pairs if a.isalpha() and b.isalpha()]
     natural = sum(p in dictionary.pairs for p in letters) / max(1, len(letters))
-    near = [w.lower() for w in WORD.findall(before)[-3:] + WORD.findall(after)[:2]]
-    around = [0.0] * BUCKETS
+    beside = [0.0] * BUCKETS
     for w in near:
-        around[bucket("word", w)] += 1.0
+        beside[bucket("word", w)] += 1.0
     where = [0.0] * BUCKETS
     for w in WORD.findall((path or "").lower()):
         where[bucket("path", w)] += 1.0
@@ -108,9 +136,9 @@ def features(dictionary: Dictionary, value: str, before: str, after: str, path:
         len(set(value)) / len(value),
         dictionary.coverage(value),
         float(any(CREDENTIAL.search(w) for w in near)),
-        float(before.rstrip("\"' ").endswith(("=", ":", "=>"))),
-        float(before.endswith(('"', "'"))),
-        *around,
+        float(sign.endswith(("=", ":", "=>"))),
+        float(around.text[max(0, start - 1) : start] in ('"', "'")),
+        *beside,
         *where,
     ]
 
@@ -129,16 +157,17 @@ def candidates(docs: DataFrame, path: str = "source", model: str = MODEL) -> Dat
             rows = []
             for doc_id, text, where in zip(batch["doc_id"], batch["text"], batch["path"], strict=True):
                 text = text or ""
-                for a, b, assigned in spans(text):
-                    value, before, after = text[a:b], text[max(0, a - AROUND) : a], text[b : b + AROUND]
+                found = spans(text)
+                around = Neighbours(text if found else "")
+                for a, b, assigned in found:
                     rows.append(
                         (
                             None if pd.isna(doc_id) else int(doc_id),
                             a,
                             b - a,
                             assigned,
-                            entropy(value),
-                            features(dictionary, value, before, after, where),
+                            entropy(text[a:b]),
+                            features(dictionary, around, a, b, where),
                         )
                     )
             out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "assigned", "entropy", "features"])
@@ -165,13 +194,16 @@ def score(findings: DataFrame, forest: RandomForestClassificationModel | None) -
     is kept, with score 1."""
     if forest is None:
         return findings.withColumns({"score": F.lit(1.0), "secret": F.lit(True)})
-    data = findings.withColumnRenamed("features", "_features").withColumn("features", array_to_vector("_features"))
+    plain = common.fresh("_features", findings.columns)
+    data = findings.withColumnRenamed("features", plain).withColumn("features", array_to_vector(plain))
     chance = vector_to_array("probability")[1]
     scored = forest.transform(data).withColumns({"score": chance, "secret": chance >= 0.5})
-    return scored.select(*[c for c in findings.columns if c != "features"], F.col("_features").alias("features"), "score", "secret")
+    return scored.select(*[c for c in findings.columns if c != "features"], F.col(plain).alias("features"), "score", "secret")
 
 
 def silver(assigned: Column, entropy: Column, length: Column) -> Column:
     """A label for tables that have no reviewed findings: 1 for a value given to a credential's name that is long and irregular
-    enough to be a generated secret, else 0."""
-    return (assigned & (entropy >= 3.0) & (length >= 12)).cast("double")
+    enough to be a generated secret, 0 for what is short or regular, null for what is irregular with no name to it: that may
+    be a secret or an identifier, and only a review can tell."""
+    strong = (entropy >= 3.0) & (length >= 12)
+    return F.when(assigned | ~strong, strong.cast("double"))

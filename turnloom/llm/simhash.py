@@ -441,6 +441,7 @@ def without_near_copies(docs: DataFrame, least: float = SIMILARITY, leaf: int =
     copies whatever their words; null and empty texts are equal. A null doc_id comes last; of repeated rows one stays. An
     empty table gives no rows.
     """
+    ident, node = (common.fresh(n, docs.columns) for n in ("_id", "_node"))
     sig = signature("text")
     marked = docs.select(F.col("doc_id"), _node(F.col("text")).alias("node"), sig.alias("sig"))
     marked = common.settle(marked.select("doc_id", "node", "sig.*"))
@@ -451,7 +452,7 @@ def without_near_copies(docs: DataFrame, least: float = SIMILARITY, leaf: int =
     component = common.connected_components(similar_links(docs, classes.drop("first"), least, leaf))
     groups = classes.select("node", "first").join(component, "node", "left")
     kept = groups.groupBy(F.coalesce("component", "node")).agg(F.min("first").alias("first"))
-    kept = common.settle(kept.select(F.xxhash64("first.doc_id").alias("_id"), F.col("first.node").alias("_node")))
-    marked = docs.withColumns({"_id": F.xxhash64("doc_id"), "_node": _node(F.col("text"))})
-    alone = marked.join(kept, ["_id", "_node"], "left_semi")
-    return common.one_row_each(alone, [F.col("_id"), F.col("_node")], [F.col("_id")]).drop("_id", "_node")
+    kept = common.settle(kept.select(F.xxhash64("first.doc_id").alias(ident), F.col("first.node").alias(node)))
+    marked = docs.withColumns({ident: F.xxhash64("doc_id"), node: _node(F.col("text"))})
+    alone = marked.join(kept, [ident, node], "left_semi")
+    return common.one_row_each(alone, [F.col(ident), F.col(node)], [F.col(ident)]).drop(ident, node)

@@ -5,11 +5,15 @@ Training, on a bounded sample of labelled documents:
 1. A word's evidence is the number of different contexts (previous word, next word) it has in toxic and in clean
    documents, so copies and repeated lines count once.
 2. Log-odds with a Dirichlet prior proportional to the word's frequency in all documents; a word's score is the
-   lower confidence bound of its log-odds, and words whose bound is not positive, like all others, cost ``DRIFT``.
+   lower confidence bound of its log-odds. Words of at least ``EVIDENCE`` toxic contexts and a bound before the prior of at
+   least ``LEAST_BOUND`` mark, however many they are; all others cost ``DRIFT``.
 3. ``decay`` solves E[exp(decay * score)] = 1 over clean text (Karlin-Altschul), ``rate`` is fitted to the clean
    sample: a text of N words has about ``rate * N * exp(-decay * S)`` passages of score S or more by chance.
 4. A logistic curve maps the surprise of a text's best passage, -ln P(score by chance), to a probability.
 
+Steps 3 (``rate``) and 4 look at texts through words learned without them: the sample is dealt into ``FOLDS`` by the hash of the
+text, so equal texts share a fold, and each fold is scanned with the words that the other folds teach.
+
 Scoring is a linear scan (Ruzzo-Tompa) over the words of each text, without a shuffle.
 """
 
@@ -20,6 +24,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 import xxhash
@@ -31,11 +36,13 @@ from pyspark.sql import functions as F
 from turnloom.llm import common
 
 SAMPLE_ROWS = 20_000
-LEXICON = 4_096
+FOLDS = 5
+EVIDENCE = 3
+LEAST_BOUND = 1.5
 PRIOR = 500.0
 FLOOR = 0.5
-CONFIDENCE = 1.0
-DRIFT = 0.5
+CONFIDENCE = 1.645  # one-sided, 95 %
+DRIFT = 0.1
 PIECE = 50_000
 SIGNIFICANT = 0.01  # chance of a passage, below which it is reported
 WORD = re.compile(r"\w+")
@@ -44,7 +51,7 @@ PASSAGES = "array<struct<start:int,end:int,score:double>>"
 
 @dataclass(frozen=True)
 class Model:
-    """``scores`` of at most ``LEXICON`` words, the extreme-value parameters and the calibration curve."""
+    """``scores`` of the marking words, the extreme-value parameters and the calibration curve."""
 
     scores: dict[str, float]
     decay: float
@@ -113,20 +120,21 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows
     known = labels.filter(learn & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max(label).cast("double").alias("label"))
     sample = common.bounded_sample(known, rows, "doc_id")
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "label")
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(FOLDS)).cast("int").alias("fold")
+    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "label", fold)
 
 
 def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """``word, context, label`` of every word, in pieces of about ``PIECE`` rows."""
-    names = ["word", "context", "label"]
+    """``word, context, label, fold`` of every word, in pieces of about ``PIECE`` rows."""
+    names = ["word", "context", "label", "fold"]
     rows = []
     for batch in batches:
-        for text, label in zip(batch["text"], batch["label"], strict=True):
+        for text, label, fold in zip(batch["text"], batch["label"], batch["fold"], strict=True):
             tokens = ["", *words(text), ""]
             for at in range(0, len(tokens) - 2, PIECE):
                 part = tokens[at : at + PIECE + 2]
                 near = zip(part, part[1:], part[2:], strict=False)
-                rows += {(b, xxhash.xxh64_intdigest(f"{a} {c}") >> 1, label) for a, b, c in near}
+                rows += {(b, xxhash.xxh64_intdigest(f"{a} {c}") >> 1, label, fold) for a, b, c in near}
                 if len(rows) >= PIECE:
                     yield pd.DataFrame(rows, columns=names)
                     rows = []
@@ -147,7 +155,7 @@ def frequencies(docs: DataFrame, known: set[str]) -> tuple[dict[str, int], int]:
             yield pd.DataFrame([*found.items(), ("", total)], columns=["word", "n"])
 
     counted = docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    by_word = {r["word"]: r["n"] for r in counted.collect()}  # at most LEXICON + 1 rows
+    by_word = {r["word"]: r["n"] for r in counted.collect()}  # the known words and one more
     return by_word, by_word.pop("", 0)
 
 
@@ -174,42 +182,65 @@ def decay_of(weighted: list[tuple[float, float]], drift: float) -> float:
     return high
 
 
+def evidence(sample: DataFrame) -> DataFrame:
+    """``word``, ``toxic`` and ``clean``: numbers of contexts as arrays, first of the whole sample, then of the sample without fold 0, 1, ..."""
+    met = sample.mapInPandas(contexts, "word string, context long, label double, fold int")
+    met = met.groupBy("word", "context", "label").agg(F.min("fold").alias("low"), F.max("fold").alias("high"))
+
+    def count(label: float) -> Column:
+        own = F.col("label") == label
+        left = [own & ~((F.col("low") == k) & (F.col("high") == k)) for k in range(FOLDS)]
+        return F.array(*[F.sum(c.cast("long")) for c in (own, *left)])
+
+    return met.groupBy("word").agg(count(1.0).alias("toxic"), count(0.0).alias("clean"))
+
+
+def marking(
+    rows: list[tuple[str, int, int]], nt: int, nc: int, often: dict[str, int], total: int
+) -> tuple[dict[str, float], float]:
+    """Scores of the words that mark, of (word, toxic contexts, clean contexts), and the decay that follows from them."""
+    scores, weighted = {}, []
+    for word, yt, yc in rows:
+        if yt < EVIDENCE or not nt or not nc or log_odds(yt, yc, nt, nc, FLOOR, 2 * FLOOR) < LEAST_BOUND:
+            continue
+        prior = PRIOR * often.get(word, 0) / max(total, 1) + FLOOR
+        score = log_odds(yt, yc, nt, nc, prior, PRIOR)
+        if score > 0:
+            scores[word] = score
+            weighted.append(((yc + prior) / (nc + PRIOR), score))
+    return scores, decay_of(weighted, DRIFT) if scores else 1.0
+
+
 def train(
     docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", rows: int = SAMPLE_ROWS
 ) -> Model:
     """Model from at most ``rows`` labelled documents and the word frequencies of all documents.
 
-    With no toxic or no clean document in the sample the model knows no words and scores every text by the base rate.
+    Words of enough evidence come to the driver; their number grows with the sample and not with ``docs``. With no toxic or no clean
+    document in the sample, or no word that marks, the model scores every text by the base rate.
     """
     sample = common.settle(labelled(docs, labels, label, learn, rows))
-    counts = common.settle(
-        sample.mapInPandas(contexts, "word string, context long, label double")
-        .distinct()
-        .groupBy("word")
-        .agg(F.sum("label").alias("yt"), F.sum(1 - F.col("label")).alias("yc"))
-    )
+    counts = common.settle(evidence(sample))
     by_label = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     toxic, clean = by_label.get(1.0, 0), by_label.get(0.0, 0)
     base = math.log((toxic + 1) / (clean + 1))
-    nt, nc = counts.agg(F.sum("yt"), F.sum("yc")).first()
-    if not toxic or not clean or not nt or not nc:
+    sums = [F.sum(F.col(c)[k]) for k in range(FOLDS + 1) for c in ("toxic", "clean")]
+    totals = [n or 0 for n in counts.agg(*sums).first()]
+    if not toxic or not clean:
         return Model({}, 1.0, 1.0, base, 0.0)
-    a, b = F.col("yt") + FLOOR, F.col("yc") + FLOOR
-    bound = F.log(a / nt) - F.log(b / nc) - CONFIDENCE * F.sqrt(1 / a + 1 / b)
-    chosen = counts.withColumn("bound", bound).filter("bound > 0").orderBy(F.desc("bound"), "word").limit(LEXICON)
-    rows_of = chosen.collect()  # at most LEXICON rows
-    often, total = frequencies(docs, {r["word"] for r in rows_of})
-    scores, weighted = {}, []
-    for r in rows_of:
-        prior = PRIOR * often.get(r["word"], 0) / max(total, 1) + FLOOR
-        score = log_odds(r["yt"], r["yc"], nt, nc, prior, PRIOR)
-        if score > 0:
-            scores[r["word"]] = score
-            weighted.append(((r["yc"] + prior) / (nc + PRIOR), score))
+    known = counts.filter(F.col("toxic")[0] >= EVIDENCE).collect()
+    often, total = frequencies(docs, {r["word"] for r in known})
+    lexica = [
+        marking([(r["word"], r["toxic"][k], r["clean"][k]) for r in known], *totals[2 * k : 2 * k + 2], often, total)
+        for k in range(FOLDS + 1)
+    ]
+    (scores, decay), parts = lexica[0], []
     if not scores:
         return Model({}, 1.0, 1.0, base, 0.0)
-    decay = decay_of(weighted, DRIFT)
-    scanned = common.settle(sample.select("label", scan(scores).alias("s")).select("label", "s.n_words", "s.best"))
+    for k, (others, slower) in enumerate(lexica[1:]):
+        part = sample.filter(F.col("fold") == k).select("label", scan(others).alias("s"))
+        parts.append(part.select("label", "s.n_words", (F.col("s.best") * (slower / decay)).alias("best")))
+    scanned = common.settle(reduce(DataFrame.union, parts))
     by_chance, length = (
         scanned.filter("label = 0").agg(F.sum((F.col("best") > 0).cast("int")), F.sum("n_words")).first()
     )
@@ -237,16 +268,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Whole texts are scanned; null and empty texts have no passage and get the lowest score. Columns of these names are
     replaced, others are kept, rows are neither dropped nor added.
     """
-    s = F.col("_scan")
+    name = common.fresh("_scan", docs.columns)
+    s = F.col(name)
     least = F.log(F.lit(model.rate) * F.greatest(s["n_words"], F.lit(1)) / SIGNIFICANT) / model.decay
-    found = docs.withColumn("_scan", scan(model.scores))
+    found = docs.withColumn(name, scan(model.scores))
     found = found.withColumns(
         {
             "score": probability(model, s),
             "passages": F.filter(s["passages"], lambda p: p["score"] >= least),
         }
     )
-    return found.withColumn("toxic", F.col("score") >= 0.5).drop("_scan")
+    return found.withColumn("toxic", F.col("score") >= 0.5).drop(name)
 
 
 def held_out(parts: int, rest: int) -> Column:
