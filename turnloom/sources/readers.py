@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.sources.arrays import read_elements
+from turnloom.sources.sinks import only_committed
 
 SET_ASIDE = "\ue000\ufdd0\ue000"  # private-use and non-characters that no page has in this order
 INSTRUCTION_ROW = "instruction string, input string, output string"
@@ -109,11 +110,15 @@ def read_exports(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """Evaluation rows written line by line: ``prompt, expected, generated``."""
-    return spark.read.schema("prompt string, expected string, generated string").json(path)
+    """Evaluation rows written line by line: ``prompt, expected, generated``; batches that ``append_json`` names count once."""
+    names = ["prompt", "expected", "generated"]
+    raw = spark.read.schema(", ".join(f"{n} string" for n in names)).option("recursiveFileLookup", True).json(path)
+    return only_committed(raw.select(*names, _file()[0]), path, F.col("file")).drop("file")
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """Training-log lines of one or more runs: ``run, name, step, loss, lr, eval_loss``; the run is the full path of its file."""
-    raw = spark.read.schema("step bigint, loss double, lr double, eval_loss double").json(path)
-    return raw.select(_file()[0].alias("run"), _file()[1], "step", "loss", "lr", "eval_loss")
+    """Training-log lines of one or more runs: ``run, name, step, loss, lr, eval_loss``; the run is the full path of its file. Batches that
+    ``append_json`` names count once."""
+    lines = spark.read.schema("step bigint, loss double, lr double, eval_loss double").option("recursiveFileLookup", True)
+    raw = lines.json(path).select(_file()[0].alias("run"), _file()[1], "step", "loss", "lr", "eval_loss")
+    return only_committed(raw, path, F.col("run"))
