@@ -1,6 +1,7 @@
 """Window and fold versions of the sequential rules against short loops, on random turn lists."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,6 +153,14 @@ def test_a_long_conversation_keeps_its_history(spark, latest):
         assert ("Context:" in r.instruction) == bool(before)
 
 
+def test_written_out_histories_are_not_shuffled(turns):
+    """No exchange or join by the turn: only blocks of turns travel, and turns are ranked once."""
+    plan = pair.pair_history(turns)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert any("_reader" in keys for keys in dealt) and not any("turn#" in keys for keys in dealt)
+    assert plan.count("row_number()") <= 2
+
+
 @pytest.mark.parametrize("scope", ["corpus", "conversation"])
 def test_dedup(turns, rows, scope):
     seen, want = set(), []
