@@ -23,8 +23,9 @@ def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.without_near_copies(docs)
+    """One document of each group of near copies: those whose SimHash fingerprints link, as op6 finds them, joined by those whose
+    shingles are alike."""
+    return simhash.without_near_copies(docs, radius=simhash.RADIUS)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

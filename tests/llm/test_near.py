@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from turnloom.llm import common, lines, sharding, simhash
 from turnloom.llm.queries import QUERIES
 
@@ -122,6 +123,18 @@ def test_near_copies(spark, documents, leaf):
     assert Counter(r.doc_id for r in got.collect()) == near_copies(rows)
 
 
+def test_fingerprints_link_in_the_pipeline(spark, data):
+    """Texts of equal words in runs: one fingerprint, but shingle sets less alike than 0.8; a chain may go on over alike shingles."""
+    own = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(own * 30)), (2, " ".join([*own * 30, *[f"n{i}" for i in range(14)]])), (3, " ".join([*own * 30, *[f"n{i}" for i in range(15)]]))]
+    rows += [(4, "quite another text of its own"), (5, None), (6, " "), (7, "")]
+    prints = [fingerprint(t) for _, t in rows]
+    sets = [set(simhash.shingle_set(t).tolist()) for _, t in rows]
+    assert (prints[0] ^ prints[1]).bit_count() <= 4 and len(sets[0] & sets[1]) < 0.8 * len(sets[0] | sets[1])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, df, data).collect()) == [1, 4, 5]
+
+
 @pytest.mark.parametrize("leaf", [simhash.LEAF, 3])
 def test_near_copies_of_small_vocabulary(spark, leaf):
     """Few distinct words in long texts: a sixth of the shingles new, but most of the distinct words."""

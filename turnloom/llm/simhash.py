@@ -433,23 +433,41 @@ def _node(text: Column) -> Column:
     return F.concat_ws(":", *common.text_key(F.coalesce(text, F.lit(""))))
 
 
-def without_near_copies(docs: DataFrame, least: float = SIMILARITY, leaf: int = LEAF) -> DataFrame:
+def fingerprint_links(classes: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> DataFrame:
+    """``a, b``: nodes of ``classes`` (``node, fp``) whose fingerprints differ in ``radius`` or fewer bits, enough to connect every group."""
+    one = common.settle(classes.groupBy("fp").agg(F.min("node").alias("one")))
+    equal = classes.join(one, "fp").select(F.col("node").alias("a"), F.col("one").alias("b")).filter("a != b")
+    found = links(one.select("fp"), radius, leaf)
+    for end in ("a", "b"):
+        found = found.join(one.select(F.col("fp").alias(end), F.col("one").alias(f"_{end}")), end).drop(end)
+    return equal.union(found.select("_a", "_b"))
+
+
+def without_near_copies(
+    docs: DataFrame, least: float = SIMILARITY, leaf: int = LEAF, radius: int | None = None
+) -> DataFrame:
     """``docs`` (``doc_id, text``, any other columns) with one document of each group of near copies: the smallest doc_id.
 
     Texts are near copies when their sets of five-word shingles (A-Z lower-cased, words cut at white space; fewer words are one
     shingle) have a Jaccard similarity of at least ``least``, and so is what a chain of such links connects. Equal texts are
-    copies whatever their words; null and empty texts are equal. A null doc_id comes last; of repeated rows one stays. An
-    empty table gives no rows.
+    copies whatever their words; null and empty texts are equal. With ``radius`` texts are near copies, too, when their SimHash fingerprints
+    differ in so many bits or fewer, found and linked as ``near_duplicates`` does it; a chain may have links of both kinds. A null
+    doc_id comes last; of repeated rows one stays. An empty table gives no rows.
     """
     ident, node = (common.fresh(n, docs.columns) for n in ("_id", "_node"))
     sig = signature("text")
-    marked = docs.select(F.col("doc_id"), _node(F.col("text")).alias("node"), sig.alias("sig"))
-    marked = common.settle(marked.select("doc_id", "node", "sig.*"))
+    prints = [] if radius is None else [fingerprint("text").alias("fp")]
+    marked = docs.select(F.col("doc_id"), _node(F.col("text")).alias("node"), sig.alias("sig"), *prints)
+    marked = common.settle(marked.select("doc_id", "node", "sig.*", *(["fp"] if prints else [])))
     order, traits = F.struct(F.col("doc_id").isNull(), "doc_id", "node"), ["size", "bits", "keys", "same"]
+    traits += ["fp"] if prints else []
     classes = common.settle(
         marked.groupBy("node").agg(*[F.first(c).alias(c) for c in traits], F.min(order).alias("first"))
     )
-    component = common.connected_components(similar_links(docs, classes.drop("first"), least, leaf))
+    found = similar_links(docs, classes.drop("first", "fp"), least, leaf)
+    if radius is not None:
+        found = found.union(fingerprint_links(classes, radius, leaf))
+    component = common.connected_components(found)
     groups = classes.select("node", "first").join(component, "node", "left")
     kept = groups.groupBy(F.coalesce("component", "node")).agg(F.min("first").alias("first"))
     kept = common.settle(kept.select(F.xxhash64("first.doc_id").alias(ident), F.col("first.node").alias(node)))
