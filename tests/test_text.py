@@ -483,3 +483,16 @@ def test_content_chars(spark):
     text = "a".join(every)
     want = "".join(c for c in text if not c.isspace() and not unicodedata.category(c).startswith("P"))
     assert one(spark, text, script.content_chars) == want
+
+
+@pytest.mark.parametrize("work", [0, 200])
+def test_latin_runs_one_by_one_and_by_automaton(monkeypatch, work):
+    """Both ways give what taking one run after another out of the text gives, with few and with very many runs."""
+    monkeypatch.setattr(script, "WORK", work)
+    left, rng = script._latin_runs_out(), random.Random(5)
+    for n in [*range(60), 400]:
+        text = "".join(rng.choice("ababcAé你") for _ in range(n * 2))
+        rest = text
+        for run in re.findall("[A-Za-z]+", text):
+            rest = rest.replace(run, "")
+        assert sorted(left(text)) == sorted(rest)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import bisect
 import re
+from collections.abc import Callable
 
 import ahocorasick
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BooleanType, StringType
 
 from turnloom.functions import text as T
 from turnloom.functions.binding import let
@@ -24,7 +25,8 @@ ACCENTED_LATIN = r"\x{C0}-\x{24F}"
 
 # whitespace and punctuation, in runs: what is neither letter, number, mark, symbol nor a control other than whitespace
 # (three times as fast in Java as listing the whitespace)
-NON_CONTENT = r"[^\p{L}\p{N}\p{M}\p{S}[\p{C}&&[^\x09-\x0d\x1c-\x1f\x85]]]+"
+CONTENT = r"[\p{L}\p{N}\p{M}\p{S}[\p{C}&&[^\x09-\x0d\x1c-\x1f\x85]]]"
+NON_CONTENT = f"[^{CONTENT[1:]}+"
 
 # Thresholds and replies of the answer filters.
 MOSTLY_SHARE = 0.5
@@ -49,21 +51,38 @@ def script_chars(c: Column, script: str = HAN) -> Column:
     return F.length(F.regexp_replace(c, f"[^{script}]+", ""))
 
 
-def without_latin_runs(c: Column) -> Column:
-    """The characters left (other ones first) when Latin runs are taken out one after another, each wherever it then stands in the
-    text: the letters of a short run also go from the longer runs after it.
+WORK = 200  # characters passed over for one of a text before its runs are put into an automaton
 
-    Runs never grow together, so equal runs always look alike and each different run is worked on once. An automaton of a text's runs finds
-    in one pass over a run which of them it holds; the earliest is taken out, and what is left is passed over again for later ones. So the
-    cost is the length of the text times how many runs go from one run, and not times all runs. Python with Arrow, because a built-in
-    expression has no map to look runs up in; the helper is nested so that it travels to executors by value.
-    """
+
+def _latin_runs_out() -> Callable[[str], str]:
+    """What ``without_latin_runs`` does to one text. The helper is nested so that it travels to executors by value."""
 
     def left(text: str) -> str:
         runs = re.findall("[A-Za-z]+", text)
         if not runs:
             return text
         kinds = list(dict.fromkeys(runs))
+        rests = one_by_one(runs, kinds, WORK * len(text)) or by_automaton(runs, kinds)
+        return "".join([re.sub("[A-Za-z]+", "", text), *[rests[run] for run in runs if rests[run]]])
+
+    def one_by_one(runs: list[str], kinds: list[str], work: int) -> dict[str, str] | None:
+        """Mostly short runs come up early and leave little to look through; None where they do not."""
+        whole, absent = "\n".join(kinds), {}
+        for run in runs:
+            if len(whole) < len(kinds):
+                break
+            if absent.get(run) == len(whole):
+                continue
+            if work < 0:
+                return None
+            work -= len(whole)
+            rest = whole.replace(run, "")
+            if len(rest) == len(whole):
+                absent[run] = len(whole)
+            whole = rest
+        return dict(zip(kinds, whole.split("\n"), strict=True))
+
+    def by_automaton(runs: list[str], kinds: list[str]) -> dict[str, str]:
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for i, kind in enumerate(kinds):
             automaton.add_word(kind, i)
@@ -81,9 +100,22 @@ def without_latin_runs(c: Column) -> Column:
                 if at == len(runs):
                     break
                 rest = rest.replace(runs[at], "")
-            if rest:
-                rests[kind] = rest
-        return "".join([re.sub("[A-Za-z]+", "", text), *[rests[run] for run in runs if run in rests]])
+            rests[kind] = rest
+        return rests
+
+    return left
+
+
+def without_latin_runs(c: Column) -> Column:
+    """The characters left (other ones first) when Latin runs are taken out one after another, each wherever it then stands in the
+    text: the letters of a short run also go from the longer runs after it.
+
+    Runs never grow together, so equal runs always look alike and each different run is worked on once. They are looked through for one run
+    after another, and where that would take long an automaton of a text's runs finds in one pass over a run which of them it holds; the
+    earliest is taken out, and what is left is passed over again for later ones. So the cost is the length of the text times how
+    many runs go from one run, and not times all runs. Python with Arrow, because a built-in expression has no map to look runs up in.
+    """
+    left = _latin_runs_out()
 
     @F.pandas_udf(StringType())
     def taken_out(texts: pd.Series) -> pd.Series:
@@ -92,14 +124,38 @@ def without_latin_runs(c: Column) -> Column:
     return taken_out(c)
 
 
+def _mostly(bare: Column, script: str) -> Column:
+    """Whether the script holds over half of what ``without_latin_runs`` leaves. Runs are taken out only where the letters that stay
+    decide, which they do not when the script outweighs all letters, or not even the other characters."""
+    left = _latin_runs_out()
+    others = re.sub(r"\\x\{([0-9A-Fa-f]+)\}", lambda m: re.escape(chr(int(m[1], 16))), f"[^{script}]+")
+    of_letters = re.sub(others, "", "".join(chr(i) for i in range(128) if chr(i).isalpha())) != ""
+
+    def mostly(text: str) -> bool:
+        rest = re.sub("[A-Za-z]+", "", text)
+        n = len(re.sub(others, "", rest))
+        if not of_letters and rest and (n > MOSTLY_SHARE * len(text) or n <= MOSTLY_SHARE * len(rest)):
+            return n > MOSTLY_SHARE * len(text)
+        rest = left(text)
+        return not rest or len(re.sub(others, "", rest)) > MOSTLY_SHARE * len(rest)
+
+    @F.pandas_udf(BooleanType())
+    def decided(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else mostly(t) for t in texts], dtype=object)
+
+    return decided(bare)
+
+
 def is_mostly_script(c: Column, script: str = HAN_ALL, legacy: bool = True) -> Column:
     """Share of script characters over one half, Latin terms not counted; empty text passes.
 
     ``legacy=False`` takes out exactly the Latin letters, whatever other runs the text has.
     """
     bare = content_chars(c)
+    if legacy:
+        return _mostly(bare, script)
     return let(
-        without_latin_runs(bare) if legacy else F.regexp_replace(bare, "[A-Za-z]+", ""),
+        F.regexp_replace(bare, "[A-Za-z]+", ""),
         lambda rest: (F.length(rest) == 0) | (script_chars(rest, script) > MOSTLY_SHARE * F.length(rest)),
     )
 
