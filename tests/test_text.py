@@ -496,3 +496,17 @@ def test_latin_runs_one_by_one_and_by_automaton(monkeypatch, work):
         for run in re.findall("[A-Za-z]+", text):
             rest = rest.replace(run, "")
         assert sorted(left(text)) == sorted(rest)
+
+
+def test_the_share_gate_counts_content_only_where_it_decides(spark):
+    """Texts under, at and over the gate, with none of the script, and without content, give what the share gives."""
+    texts = ["你" * h + "a" * a + p for h in range(4) for a in range(6) for p in ("", " ,.;", "!" * 9)] + ["", "\x01", "☃", "你(a", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = F.coalesce(script.script_share(F.col("t")) >= script.GATE_SHARE, F.lit(True))
+    got = df.select("t", script._share_reached(F.col("t"), script.HAN).alias("got"), want.alias("want")).collect()
+    assert all(r.got == r.want for r in got if r.t is not None)
+
+
+def test_terms_are_formatted_whatever_bracket_opens_them(spark):
+    texts = ["ab(x)", "ab（x)", "ab(x", "ab x）", "a(b(c)", "你（好）", "", None]
+    assert many(spark, texts, T.format_terms) == ["ab（x）", "ab（x）", "ab(x", "ab x）", "a（b(c）", "你（好）", "", None]

@@ -172,12 +172,22 @@ def passes_gate(c: Column, script: str = HAN, share: float = GATE_SHARE) -> Colu
     return (F.length(c) > 0) & F.coalesce(script_share(c, script) >= share, F.lit(True))
 
 
+def _share_reached(c: Column, script: str) -> Column:
+    """Whether the script share reaches the gate, or there is no content; content is counted only where all characters, or none of the
+    script, do not decide."""
+    return let(
+        script_chars(c, script),
+        lambda n: F.when(n >= GATE_SHARE * F.length(c), True)
+        .when(n == 0, ~F.rlike(c, F.lit(CONTENT)))
+        .otherwise(F.coalesce(n / F.length(content_chars(c)) >= GATE_SHARE, F.lit(True))),
+    )
+
+
 def filter_answer(c: Column, script: str = HAN) -> Column:
     """Full answer filter: the cleaned answer, or NULL when it must be generated again."""
 
     def shaped(bare: Column) -> Column:
-        share_ok = F.coalesce(script_share(bare, script) >= GATE_SHARE, F.lit(True))
-        return F.when(share_ok, T.keep_allowed(T.format_terms(T.segment_sentences(bare)), script))
+        return F.when(_share_reached(bare, script), T.keep_allowed(T.format_terms(T.segment_sentences(bare)), script))
 
     return F.when(F.length(c) > 0, let(T.remove_named_emoji(T.strip_prompt_tags(c)), shaped))
 
