@@ -339,3 +339,18 @@ def test_secrets_of_odd_rows(odd, none):
     assert secret_scan.candidates(none).count() == 0 and secret_scan.candidates(odd.drop("source")).count() == len(found)
     assert secret_scan.train(secret_scan.candidates(odd).withColumn("label", F.lit(1))) is None
     assert all(r.secret for r in secret_scan.score(secret_scan.candidates(odd), None).collect())
+
+
+def test_suffixes_are_sorted_from_several_characters(monkeypatch):
+    """Few sorts: the first takes as many characters as fit into a number."""
+    rng = random.Random(8)
+    sorts, sort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda *a, **k: sorts.append(1) or sort(*a, **k))
+    for letters in ("ab", "abcdefghijklmnop", "a\0é😀"):
+        codes = np.array([ord(rng.choice(letters)) for _ in range(400)], dtype=np.int64)
+        del sorts[:]
+        order = pieces.suffix_array(codes, 16).tolist()
+        assert len(sorts) <= 3
+        assert sorted(order) == list(range(400))
+        heads = [codes[i : i + 16].tolist() for i in order]
+        assert heads == sorted(heads)

@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import pickle
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -31,7 +33,7 @@ from pyspark.sql import types as T
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 SLICE = 200_000  # characters indexed at a time
-KNOWN = 200_000  # encoded units kept while a task goes on
+KNOWN = 600_000  # encoded units kept while a task goes on
 NEVER = np.iinfo(np.int64).max
 
 
@@ -146,15 +148,24 @@ def shipped(spark: SparkSession, model: str) -> Broadcast[bytes]:
 
 
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
-    """Positions in the order of the ``depth`` characters from there on, by prefix doubling."""
-    n, step = len(codes), 1
-    order = np.argsort(codes, kind="stable")
+    """Positions in the order of the ``depth`` characters from there on, by prefix doubling from as many characters as fit into a number."""
+    n = len(codes)
+    present = np.zeros(codes.max() + 1, dtype=np.int64)
+    present[codes] = 1
+    small = np.cumsum(present)[codes]  # from 1; 0 is past the end
+    bits = int(small.max()).bit_length()
+    step = min(depth, 62 // bits)
+    key = np.zeros(n, dtype=np.int64)
+    for i in range(step):
+        key <<= bits
+        key[: n - i] |= small[i:]
+    order = np.argsort(key)
     rank = np.empty(n, dtype=np.int64)
-    rank[order] = np.cumsum(np.concatenate([[0], codes[order][1:] != codes[order][:-1]]))
+    rank[order] = np.cumsum(np.concatenate([[0], key[order][1:] != key[order][:-1]]))
     while step < depth and rank[order[-1]] < n - 1:
         key = rank * (n + 1)
         key[:-step] += rank[step:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         rank[order] = np.cumsum(np.concatenate([[0], key[order][1:] != key[order][:-1]]))
         step *= 2
     return order
@@ -174,9 +185,9 @@ def encode_units(vocabulary: Vocabulary, units: list[str]) -> tuple[np.ndarray,
     suffixes = np.ascontiguousarray(windows).view(f"U{v.longest}").ravel()
     low = np.searchsorted(suffixes, v.text)
     high = np.searchsorted(suffixes, np.char.add(v.text, "\U0010ffff"))
-    count = np.maximum(high - low, 0)
-    which = np.repeat(np.arange(len(v.text)), count)
-    begin = order[np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())]
+    met = np.maximum(high - low, 0)
+    which = np.repeat(np.arange(len(v.text)), met)
+    begin = order[np.repeat(low - np.cumsum(met) + met, met) + np.arange(met.sum())]
     piece, end = v.ids[which], begin + v.lengths[which]
 
     # a character that is no piece is an edge of its own; so is a NUL, whatever the separators are
@@ -232,11 +243,11 @@ class Encoder:
     """Encodes lists of texts; units met before in the task are taken from memory."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        self.v, self.index = vocabulary, {}
+        self.v = vocabulary
         self.forget()
 
     def forget(self) -> None:
-        self.index.clear()
+        self.index = defaultdict(count().__next__)  # unit -> its number; a new one gets the next
         self.flat, self.counts = np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int64)
 
     def learn(self, units: list[str]) -> None:
@@ -261,7 +272,7 @@ class Encoder:
         split, rows = self.v.unit.findall, []
         for text in texts:
             units = split(SPACE + text.replace(" ", SPACE)) if text else []
-            rows.append(np.array([index.setdefault(u, len(index)) for u in units], dtype=np.int32))
+            rows.append(np.fromiter(map(index.__getitem__, units), dtype=np.int32, count=len(units)))
         if len(index) > known:
             self.learn(list(index)[known:])
         units = np.concatenate([np.empty(0, dtype=np.int32), *rows])
