@@ -117,6 +117,17 @@ def test_a_tenth_of_the_pairs_is_scored(spark):
     assert retrieve.scored_pairs(asks, docs, 3).count() * 10 <= docs.count() * asks.count()
 
 
+def test_a_word_is_one_row_a_block(spark):
+    docs = spark.createDataFrame([(d, "", "a b a" if d % 2 else "a") for d in range(200)], "doc_id long, title string, content string")
+    asked = spark.createDataFrame([(1, "a"), (1, "b")], "question_id long, word string")
+    held = retrieve.postings(docs, asked)
+    rows = retrieve.gathered(held).collect()
+    assert len({(r.word, r.block) for r in rows}) == len(rows)
+    assert all(r.most == max(h.tf for h in r.holders) and r.n_docs == len(r.holders) for r in rows)
+    unfolded = [(r.word, r.block, h.doc_id, h.tf) for r in rows for h in r.holders]
+    assert sorted(unfolded) == sorted(tuple(r) for r in held.select("word", "block", "doc_id", "tf").collect())
+
+
 def test_a_hot_word_is_dealt_out(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -50,6 +50,15 @@ def postings(docs: DataFrame, asked: DataFrame) -> DataFrame:
     return counted.agg(F.count("*").alias("tf"))
 
 
+def gathered(held: DataFrame) -> DataFrame:
+    """``word, block, most, n_docs, holders``: one row for the documents of a block that hold a word, with the greatest tf among them. A
+    block has about ``BLOCK`` documents, so a list is short, and steps that look at blocks only do not read it."""
+    holder = F.struct("doc_id", "tf")
+    return held.groupBy("word", "block").agg(
+        F.max("tf").alias("most"), F.count("*").alias("n_docs"), F.collect_list(holder).alias("holders")
+    )
+
+
 def asked_words(questions: DataFrame) -> DataFrame:
     return questions.select("question_id", F.explode(F.array_distinct(words(F.col("question")))).alias("word"))
 
@@ -57,7 +66,7 @@ def asked_words(questions: DataFrame) -> DataFrame:
 def word_weights(asked: DataFrame, docs: DataFrame, held: DataFrame) -> DataFrame:
     """``question_id, word, weight``: the words of every question that weigh something."""
     total = docs.agg(F.count("*").alias("n")).scalar()
-    df = held.groupBy("word").agg(F.count("*").alias("df")).filter(F.col("df") * 2 < total)
+    df = held.groupBy("word").agg(F.sum("n_docs").alias("df")).filter(F.col("df") * 2 < total)
     return asked.join(df, "word").select("question_id", "word", F.log(1 + total / F.col("df")).alias("weight"))
 
 
@@ -68,16 +77,16 @@ def _impact(tf: Column) -> Column:
 def _bounds(weights: DataFrame, held: DataFrame) -> DataFrame:
     """``question_id, block, bound``: no document of the block scores more for the question. The blocks of a word are dealt out over
     ``SALTS`` parts that all meet the questions with the word, and bounds are summed on the way to (question, block)."""
-    greatest = held.groupBy("word", "block").agg(F.max("tf").alias("tf"))
-    dealt = greatest.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(SALTS)).cast("int"))
+    dealt = held.select("word", "block", "most").withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(SALTS)).cast("int"))
     salted = weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     met = dealt.join(salted, ["word", "salt"])
-    return met.groupBy("question_id", "block").agg(F.sum(_impact(F.col("tf")) * F.col("weight")).alias("bound"))
+    return met.groupBy("question_id", "block").agg(F.sum(_impact(F.col("most")) * F.col("weight")).alias("bound"))
 
 
 def _scores(chosen: DataFrame, weights: DataFrame, held: DataFrame) -> DataFrame:
     """``question_id, doc_id, score`` of all documents in the ``chosen`` (question, block)."""
-    met = chosen.join(weights, "question_id").join(held, ["word", "block"])
+    held = held.select("word", "block", "holders")
+    met = chosen.join(weights, "question_id").join(held, ["word", "block"]).select("question_id", "weight", F.inline("holders"))
     scored = met.groupBy("question_id", "doc_id").agg(F.sum(_impact(F.col("tf")) * F.col("weight")).alias("score"))
     return scored.withColumn("score", F.round("score", 6))
 
@@ -87,7 +96,7 @@ def scored_pairs(questions: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     them. The postings are read several times, so they are counted at once and written to the shared
     folder, in buckets that all later joins and groups of them share; the rest is lazy."""
     asked = asked_words(questions)
-    held = written_in_buckets(postings(docs, asked), "word", "block")
+    held = written_in_buckets(postings(docs, asked), "word", "block", within=gathered)
     weights = word_weights(asked, docs, held)
     bounds = _bounds(weights, held)
     order = Window.partitionBy("question_id").orderBy(F.desc("bound"), "block")

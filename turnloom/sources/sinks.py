@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,12 +18,14 @@ def scratch(spark: SparkSession) -> str:
     return f"{named.rstrip('/')}/files-{uuid.uuid4().hex}"
 
 
-def written_in_buckets(df: DataFrame, *columns: str) -> DataFrame:
+def written_in_buckets(
+    df: DataFrame, *columns: str, within: Callable[[DataFrame], DataFrame] = lambda dealt: dealt
+) -> DataFrame:
     """``df`` as a table in the shared folder, in one bucket a shuffle partition: several readers cost its work once, joins and groups by
-    ``columns`` do not move it again, and a lost executor loses none of it."""
+    ``columns`` do not move it again, and a lost executor loses none of it. ``within`` groups the rows by ``columns`` once they are dealt."""
     spark, name = df.sparkSession, f"buckets_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartition(parts, *columns).write.bucketBy(parts, *columns).sortBy(*columns)
+    dealt = within(df.repartition(parts, *columns)).write.bucketBy(parts, *columns).sortBy(*columns)
     dealt.option("path", scratch(spark)).saveAsTable(name)
     return spark.table(name)
 
