@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnloom.operators import dedup, ordered, pair, runlog
-from turnloom.plans import catalog
+from turnloom.plans import catalog, flows
 
 ROLES = ["user", "assistant", "system", "Human", "gpt"]
 
@@ -317,3 +317,26 @@ def test_best_so_far_is_strict(spark):
     losses = [0.5, 0.5, 0.4, 0.6, 0.4, 0.1]
     log = spark.createDataFrame([("r", i + 1, 0.0, 0.0, v) for i, v in enumerate(losses)], "run string, step long, loss double, lr double, eval_loss double")
     assert [i for _, i in got(runlog.best_so_far(log, span=2), "step", "improved")] == [True, False, True, False, False, True]
+
+
+def test_documents_are_read_once_for_the_cuts(spark):
+    """Both readers of a sample share its exchange: what makes a document's text runs once a document."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(i):
+        made.add(1)
+        return "x" * (flows.TURN_CHARS * (i % 5))
+
+    docs = spark.range(40).select("id", text("id").alias("text"))
+    said = [(i, t, "assistant" if t % 2 else "user", f"{i}/{t}") for i in range(40) for t in range(4)]
+    turns = spark.createDataFrame(said, "conv_id long, turn long, role string, text string")
+    rows = pair.pair_carry_forward(turns, span=8, sample=flows.likely_turns(docs, "id", "text"))
+    assert got(rows, "conv_id", "turn", "input") == [(i, t, f"{i}/{t - 1}") for i in range(40) for t in (1, 3)]
+    assert made.value == 40
+
+
+def test_likely_turns(spark):
+    docs = spark.createDataFrame([(1, ""), (2, None), (3, "x" * 800), (None, "x")], "k int, t string")
+    likely = [tuple(r) for r in flows.likely_turns(docs, "k", "t").collect()]
+    assert sorted(likely, key=str) == [(1, 0), (2, 0), (3, 0), (3, 1), (3, 2), (None, 0)]

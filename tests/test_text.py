@@ -510,3 +510,33 @@ def test_the_share_gate_counts_content_only_where_it_decides(spark):
 def test_terms_are_formatted_whatever_bracket_opens_them(spark):
     texts = ["ab(x)", "ab（x)", "ab(x", "ab x）", "a(b(c)", "你（好）", "", None]
     assert many(spark, texts, T.format_terms) == ["ab（x）", "ab（x）", "ab(x", "ab x）", "a（b(c）", "你（好）", "", None]
+
+
+# ---- what makes a text or a document is worked out once
+
+
+def test_hidden_parts_are_found_by_steps(spark):
+    rng = random.Random(11)
+    parts = ["<script>", "<SCRIPT a='>'>", "</script >", "</scrip", "<nav b>", "</nav>", "<!--", "-->", "<", "</", ">", "x", "\n", "<style", "é"]
+    pages = ["".join(rng.choices(parts, k=rng.randrange(14))) for _ in range(1500)]
+    for tags in (markup.HIDDEN_TAGS, ("head", "script", "style")):
+        slow = many(spark, pages, lambda v, tags=tags: F.regexp_replace(v, markup.hidden_pattern(tags), "\n"))
+        assert many(spark, pages, lambda v, tags=tags: markup._without_hidden(v, tags)) == slow
+
+
+def test_state_ends_at_the_first_end_tag(spark):
+    rng = random.Random(12)
+    lazy = r"(?is)<script[^>]*\bid=[\x22\x27]__NEXT_DATA__[\x22\x27][^>]*>(.*?)</script\s*>"
+    parts = ['<script id="__NEXT_DATA__">', "<Script x id='__next_data__' y>", "</script>", "</SCRIPT\n>", "</scrip", "<", ">", "{}", "\n"]
+    pages = ["".join(rng.choices(parts, k=rng.randrange(9))) for _ in range(1500)]
+    want = many(spark, pages, lambda v: F.regexp_extract(v, lazy, 1))
+    assert many(spark, pages, lambda v: F.regexp_extract(v, extract.STATE_SCRIPT, 1)) == want
+
+
+def test_texts_are_made_once(spark):
+    df = spark.createDataFrame([("x",)], "v string")
+    plan = lambda c: df.select(c.alias("c"))._jdf.queryExecution().analyzed().toString()
+    made = F.regexp_replace("v", "made here", "")
+    assert plan(markup.decode_references(made)).count("made here") == 1
+    assert plan(jsonwalk.find_messages(made)).count("made here") == 1
+    assert plan(jsonwalk.find_conversation(made)).count("made here") == 1

@@ -76,6 +76,12 @@ def hidden_pattern(tags) -> str:
     return "(?is)" + "|".join([r"<!--.*?(?:-->|\z)", *subtrees])
 
 
+def _hidden_by_steps(tags) -> str:
+    """What ``hidden_pattern`` matches, for Java only: a look at every ``<``, in a subtree too, instead of one at every character."""
+    subtrees = [rf"{tag}\b{ATTRS}>[^<]*+(?:<(?!/{tag}\s*>)[^<]*+)*+(?:</{tag}\s*>)?+" for tag in tags]
+    return "(?is)<(?:" + "|".join([r"!--.*?(?:-->|\z)", *subtrees]) + ")"
+
+
 def _named() -> tuple[Column, Column]:
     names = {name[:-1]: chars for name, chars in html5.items() if name.endswith(";")}
     common = {name: names[name] for name in COMMON}
@@ -99,8 +105,7 @@ def _numeric(digits: Column) -> Column:
 
 
 def decode_references(c: Column) -> Column:
-    """Named and numeric character references, each decoded once; unknown ones stay as they are."""
-    parts = F.split(c, "&")
+    """Named and numeric character references, each decoded once; unknown ones stay as they are. What makes the text is worked out once."""
     common, names = _named()
 
     def decoded(p: Column) -> Column:
@@ -116,13 +121,15 @@ def decode_references(c: Column) -> Column:
 
         return let(F.regexp_extract(p, REFERENCE, 1), put)
 
-    rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded)
-    whole = F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))
-    return F.when(F.contains(c, F.lit("&")), whole).otherwise(c)
+    def joined(parts: Column) -> Column:
+        rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded)
+        return F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))
+
+    return let(c, lambda t: F.when(F.contains(t, F.lit("&")), let(F.split(t, "&"), joined)).otherwise(t))
 
 
 def _without_hidden(html: Column, tags=HIDDEN_TAGS) -> Column:
-    return F.regexp_replace(html, hidden_pattern(tags), "\n")
+    return F.regexp_replace(html, _hidden_by_steps(tags), "\n")
 
 
 def visible_text(html: Column) -> Column:
