@@ -44,6 +44,19 @@ def test_units_learnt_in_several_slices(library, monkeypatch):
         assert ids.tolist() == library.encode(text)
 
 
+def test_few_new_units(library):
+    """A batch whose new units have fewer characters than a number holds."""
+    for text in ["a", "ab", "abcd", "abcdefgh", "x" * 14, "é", "\0", "日本"]:
+        encoder = pieces.Encoder(pieces.vocabulary_of(pieces.MODEL))
+        for said in ["known words", f"known {text} words", text]:
+            assert encoder.encode([said])[0].tolist() == library.encode(said)
+    rng = np.random.default_rng(4)
+    for n in range(1, 24):
+        codes = rng.integers(0, 3, n)
+        order = pieces.suffix_array(codes, 16)
+        assert [codes[i : i + 16].tolist() for i in order] == sorted(codes[i : i + 16].tolist() for i in range(n))
+
+
 def test_pieces_of_odd_rows(odd, none, library):
     made = pieces.decode(pieces.encode(odd, round_trip="label"))
     assert made.columns == [*[c for c in odd.columns if c not in ("ids", "label")], "ids", "label", "decoded"]

@@ -154,7 +154,7 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     present[codes] = 1
     small = np.cumsum(present)[codes]  # from 1; 0 is past the end
     bits = int(small.max()).bit_length()
-    step = min(depth, 62 // bits)
+    step = min(depth, 62 // bits, n)  # a batch late in a task may have a few new characters only
     key = np.zeros(n, dtype=np.int64)
     for i in range(step):
         key <<= bits
