@@ -161,6 +161,32 @@ def test_written_out_histories_are_not_shuffled(turns):
     assert plan.count("row_number()") <= 2
 
 
+@pytest.mark.parametrize("latest", [None, 2])
+def test_texts_are_dealt_once_for_a_history(turns, latest):
+    """One exchange to the readers, besides those that rank turns for a limit; no task waits for a whole conversation."""
+    plan = pair.pair_history(turns, latest)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert sum("_reader#" in keys for keys in dealt) == 1 and not any("conv_id#" in keys and "_block#" in keys for keys in dealt)
+    assert latest or len(dealt) == 1
+
+
+@pytest.mark.parametrize("span", [3, 7, 1000])
+def test_rows_are_sent_to_later_blocks_of_their_group(turns, rows, span):
+    sent = ordered.sent_on(turns, ["conv_id"], "turn", span).collect()
+    own = {(r.conv_id, r.turn): r._reader for r in sent if r._own}
+    assert sorted(own) == sorted(r[:2] for r in rows) and len(sent) == len({(r.conv_id, r.turn, r._reader) for r in sent})
+    assert sorted(own.values()) == [own[k] for k in sorted(own)]  # blocks follow the keys
+    readers = {}
+    for r in sent:
+        readers.setdefault((r.conv_id, r.turn), []).append(r._reader)
+    for (conv, turn), block in own.items():
+        wanted = {b for (c, _), b in own.items() if c == conv and b >= block}
+        assert wanted <= set(readers[conv, turn]) and min(readers[conv, turn]) == block
+        # past the last block with a row of the group there is at most one, which its last cut begins
+        assert max(readers[conv, turn]) <= max(wanted) + 1
+    assert (len(sent) == len(own)) == (span == 1000)
+
+
 @pytest.mark.parametrize("scope", ["corpus", "conversation"])
 def test_dedup(turns, rows, scope):
     seen, want = set(), []
