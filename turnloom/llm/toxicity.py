@@ -64,7 +64,7 @@ def words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def maximal_segments(hits: list[tuple[int, float]], drift: float = DRIFT) -> list[tuple[int, int, float]]:
+def maximal_segments(hits: list[tuple[int, float]], drift: float = 0.5) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (first word, last word, score), given the words of positive score; others cost ``drift``."""
     found: list[tuple[int, int, float, float, int]] = []  # first, last, total before and after, nearest with less before
     total, at = 0.0, 0
@@ -99,7 +99,7 @@ def scan(scores: dict[str, float]) -> Column:
             tokens = [text[a:b].lower() for a, b in spans]
             hits = [(i, scores[t]) for i, t in enumerate(tokens) if t in known]
             found = [
-                {"start": spans[a][0], "end": spans[b][1], "score": s} for a, b, s in maximal_segments(hits) if s > 0
+                {"start": spans[a][0], "end": spans[b][1], "score": s} for a, b, s in maximal_segments(hits, DRIFT) if s > 0
             ]
             rows.append((len(tokens), max((f["score"] for f in found), default=0.0), found))
         return pd.DataFrame(rows, columns=["n_words", "best", "passages"])
